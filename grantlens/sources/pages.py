@@ -105,8 +105,10 @@ def write_pages(pages: DataFrame, path: str) -> None:
             incoming, ["fiscal_year", "org_state", "batch"], "left_anti"
         )
         incoming = incoming.unionByName(kept)
+    # Rebalancing gathers a partition's pages into few files, and splits a huge one.
     (
-        incoming.write.mode("overwrite")
+        incoming.hint("rebalance", "fiscal_year", "org_state")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("fiscal_year", "org_state")
         .parquet(path)
