@@ -31,32 +31,37 @@ def entries(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "map<string,variant>")
 
 
-def is_object(v: Column, path: str = "$") -> Column:
-    return entries(v, path).isNotNull()
+def is_object(v: Column) -> Column:
+    """Whether a value is an object; casting to no fields copies nothing."""
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
-def is_falsy(v: Column, path: str) -> Column:
+def typed(v: Column, kind: str) -> Column:
+    """All named fields of an object in one walk over it; a field of a wrong kind is NULL.
+
+    In a list of objects an element that is none becomes NULL, the others stay.
+    """
+    return F.try_variant_get(v, "$", kind)
+
+
+def is_falsy(v: Column) -> Column:
     """Absent, null, '', 0, false, or an empty list or object."""
-    value = text(v, path)
+    value = text(v, "$")
     return value.isNull() | value.isin("", "0", "0.0", "false", "[]", "{}")
 
 
-def text_or_absent(v: Column, path: str) -> Column:
-    """Text with an absent field read as '' while an explicit null stays NULL."""
-    explicit_null = F.is_variant_null(F.try_variant_get(v, path, "variant"))
-    return F.when(explicit_null, F.lit(None)).otherwise(F.coalesce(text(v, path), F.lit("")))
+def text_or_absent(v: Column) -> Column:
+    """A field's text, with an absent field read as '' while an explicit null stays NULL."""
+    return F.when(v.isNull(), F.lit("")).otherwise(text(v, "$"))
 
 
-def named_text(v: Column, path: str, field: str = "abbreviation") -> Column:
+def named_text(v: Column, field: str = "abbreviation") -> Column:
     """A field that is an object or plain text: its ``field``, the text itself, or ''."""
-    value = F.try_variant_get(v, path, "variant")
-    inner = F.when(
-        F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")
-    ).otherwise(text(value, f"$.{field}"))
+    inner = F.when(F.schema_of_variant(v) == "STRING", text(v, "$")).otherwise(text(v, f"$.{field}"))
     return F.coalesce(inner, F.lit(""))
 
 
-def joined_field(items: Column, field: str, separator: str = ", ") -> Column:
-    """The non-empty values of ``field`` over an array of VARIANT, joined in order."""
-    values = F.transform(items, lambda item: text(item, f"$.{field}"))
-    return F.coalesce(F.array_join(F.filter(values, lambda value: value != ""), separator), F.lit(""))
+def joined_names(items: Column, field: str, separator: str = ", ") -> Column:
+    """The non-empty values of ``field`` over an array of structs, joined in order."""
+    names = F.filter(F.transform(items, lambda item: item[field]), lambda name: name != "")
+    return F.coalesce(F.array_join(names, separator), F.lit(""))

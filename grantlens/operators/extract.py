@@ -22,44 +22,54 @@ CLEANED = ("pref_terms", "abstract_text", "project_title", "spending_categories_
 DATES = ("date_added", "project_start_date", "project_end_date")
 
 
-def _is_bad(record: Column) -> Column:
-    """A record whose nested fields do not have the expected kind."""
-    def wrong_object(path: str) -> Column:
-        return ~variants.is_falsy(record, path) & ~variants.is_object(record, path)
+# The fields taken from a record. Those whose kind varies stay VARIANT.
+RECORD_TYPE = (
+    "struct<project_num variant, core_project_num variant, fiscal_year int, award_amount double, "
+    "organization variant, principal_investigators variant, agency_ic_admin variant, pref_terms string, "
+    "abstract_text string, project_title string, spending_categories_desc string, date_added string, "
+    "project_start_date string, project_end_date string, award_type string, activity_code string>"
+)
+
 
-    investigators = variants.elements(record, "$.principal_investigators")
-    wrong_list = ~variants.is_falsy(record, "$.principal_investigators") & investigators.isNull()
-    wrong_item = F.coalesce(F.exists(investigators, lambda item: ~variants.is_object(item)), F.lit(False))
-    return wrong_object("$.organization") | wrong_object("$.agency_ic_admin") | wrong_list | wrong_item
+def _wrong_kind(given: str, cast: str) -> Column:
+    """A field that holds something, but not what it was cast to."""
+    return F.col(cast).isNull() & ~variants.is_falsy(F.col(f"r.{given}"))
 
 
 def extract_projects(records: DataFrame, record: str = "record") -> DataFrame:
     """The 16 grant columns of each record, its place (``PAGE_ORDER``) and its kind.
 
     ``is_record`` is false for an element that is no object; it claims no keys.
-    ``is_bad`` marks a record that claims its keys but is not written.
+    ``is_bad`` marks a record that claims its keys but is not written, because a nested
+    field has the wrong kind.
     """
-    v = F.col(record)
-    fields: dict[str, Column] = {
-        "project_num": variants.text_or_absent(v, "$.project_num"),
-        "core_project_num": variants.text_or_absent(v, "$.core_project_num"),
-        "fiscal_year": variants.number(v, "$.fiscal_year", "int"),
-        "org_name": F.coalesce(variants.text(v, "$.organization.org_name"), F.lit("")),
-        "award_amount": variants.number(v, "$.award_amount"),
-        "principal_investigators": variants.joined_field(
-            variants.elements(v, "$.principal_investigators"), "full_name"
-        ),
-        "agency_ic_admin": F.coalesce(variants.text(v, "$.agency_ic_admin.abbreviation"), F.lit("")),
-        "award_type": F.coalesce(variants.text(v, "$.award_type"), F.lit("")),
-        "activity_code": F.coalesce(variants.text(v, "$.activity_code"), F.lit("")),
-    }
-    fields.update({name: clean_text(variants.text(v, f"$.{name}")) for name in CLEANED})
-    fields.update({name: date_prefix(variants.text(v, f"$.{name}")) for name in DATES})
-    return records.select(
+    read = records.select(*PAGE_ORDER, variants.typed(F.col(record), RECORD_TYPE).alias("r"))
+    read = read.select(
+        *PAGE_ORDER,
+        "r",
+        variants.typed(F.col("r.organization"), "struct<org_name string>").alias("organization"),
+        variants.typed(F.col("r.agency_ic_admin"), "struct<abbreviation string>").alias("agency"),
+        variants.typed(F.col("r.principal_investigators"), "array<struct<full_name string>>").alias("people"),
+    )
+    fields: dict[str, Column] = {name: F.coalesce(F.col(f"r.{name}"), F.lit("")) for name in ("award_type", "activity_code")}
+    fields.update({name: clean_text(F.col(f"r.{name}")) for name in CLEANED})
+    fields.update({name: date_prefix(F.col(f"r.{name}")) for name in DATES})
+    fields.update({name: variants.text_or_absent(F.col(f"r.{name}")) for name in ("project_num", "core_project_num")})
+    fields.update({name: F.col(f"r.{name}") for name in ("fiscal_year", "award_amount")})
+    fields["org_name"] = F.coalesce("organization.org_name", F.lit(""))
+    fields["agency_ic_admin"] = F.coalesce("agency.abbreviation", F.lit(""))
+    fields["principal_investigators"] = variants.joined_names(F.col("people"), "full_name")
+    is_bad = (
+        _wrong_kind("organization", "organization")
+        | _wrong_kind("agency_ic_admin", "agency")
+        | _wrong_kind("principal_investigators", "people")
+        | F.coalesce(F.exists("people", lambda person: person.isNull()), F.lit(False))
+    )
+    return read.select(
         *PAGE_ORDER,
         *[fields[name].alias(name) for name in GRANT_COLUMNS],
-        variants.is_object(v).alias("is_record"),
-        _is_bad(v).alias("is_bad"),
+        F.col("r").isNotNull().alias("is_record"),
+        is_bad.alias("is_bad"),
     )
 
 

@@ -1,8 +1,7 @@
 """The grant-paper-author graph: edges, nodes, items with texts, statistics.
 
-Stores have VARIANT metadata (see ``sources.store.open_store``): grants
-``(core_project_num, metadata)``, papers ``(pmid, metadata)``, links
-``(core_project_num, pmid)``.
+Grants and papers are opened stores (``open_grants`` and ``open_papers`` in
+``sources.store``); links are ``(core_project_num, pmid)``.
 """
 
 from __future__ import annotations
@@ -10,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grantlens.functions import variants
 from grantlens.functions.templates import author_text, build_text, paper_text
 from grantlens.functions.text import author_id as hashed_author_id
 from grantlens.functions.text import joined_terms
@@ -21,16 +19,11 @@ AUTHOR_PAPER = "author-paper"
 PAPERS_PER_PART = 1000
 
 
-def _field(path: str) -> Column:
-    return F.coalesce(variants.text(F.col("metadata"), path), F.lit(""))
-
-
 def explode_authors(papers: DataFrame) -> DataFrame:
     """``(pmid, pos, name)`` of every author entry that is an object with a name."""
-    authors = variants.elements(F.col("metadata"), "$.authors")
     return (
-        papers.select("pmid", F.posexplode(authors).alias("pos", "author"))
-        .select("pmid", "pos", variants.text(F.col("author"), "$.name").alias("name"))
+        papers.select("pmid", F.posexplode_outer("authors").alias("pos", "author"))
+        .select("pmid", "pos", F.col("author.name").alias("name"))
         .filter("name <> ''")
     )
 
@@ -66,27 +59,21 @@ def edge_stats(edges: DataFrame) -> DataFrame:
 
 
 def grant_nodes(grants: DataFrame) -> DataFrame:
-    return grants.select(
-        F.col("core_project_num").alias("id"),
-        F.lit("grant").alias("type"),
-        _field("$.project_title").alias("title"),
-        F.to_json("metadata").alias("metadata"),
-    )
+    return grants.select(F.col("core_project_num").alias("id"), F.lit("grant").alias("type"), "title", "metadata")
 
 
 def paper_nodes(papers: DataFrame) -> DataFrame:
     """Paper nodes; the author list has every author object, with '' for no name."""
-    authors = variants.elements(F.col("metadata"), "$.authors")
-    objects = F.filter(authors, lambda author: variants.is_object(author))
-    names = F.transform(objects, lambda author: F.coalesce(variants.text(author, "$.name"), F.lit("")))
+    objects = F.filter("authors", lambda author: author.isNotNull())
+    names = F.transform(objects, lambda author: F.coalesce(author["name"], F.lit("")))
     return papers.select(
         F.col("pmid").alias("id"),
         F.lit("paper").alias("type"),
-        _field("$.title").alias("title"),
-        _field("$.source").alias("journal"),
-        _field("$.pubdate").alias("pubdate"),
+        "title",
+        F.col("source").alias("journal"),
+        "pubdate",
         F.coalesce(names, F.array().cast("array<string>")).alias("authors"),
-        F.to_json("metadata").alias("metadata"),
+        "metadata",
     )
 
 
@@ -118,9 +105,7 @@ def author_first_papers(papers: DataFrame) -> DataFrame:
 
 def representative_papers(papers: DataFrame) -> DataFrame:
     """Per author the source, title and date of the first paper in pmid order."""
-    details = papers.select(
-        "pmid", _field("$.source").alias("source"), _field("$.title").alias("title"), _field("$.pubdate").alias("pubdate")
-    )
+    details = papers.select("pmid", "source", "title", "pubdate")
     return author_first_papers(papers).join(details, "pmid").select("name", "pmid", "source", "title", "pubdate")
 
 
@@ -180,7 +165,7 @@ def build_network(grants: DataFrame, papers: DataFrame, links: DataFrame) -> dic
 
 def listed_grants(grant_rows: DataFrame, grants: DataFrame, pid_column: str = "pid") -> DataFrame:
     """The grant list left-joined to the store; list rows without a stored grant stay."""
-    stored = grants.select(F.col("core_project_num").alias(pid_column), "metadata")
+    stored = grants.withColumnRenamed("core_project_num", pid_column)
     return grant_rows.join(stored, pid_column, "left")
 
 
@@ -225,12 +210,7 @@ def items(
     if scope == "listed":
         papers = listed_papers(papers, links, grant_rows, pid_column)
     none = F.lit(None)
-    meta = F.col("metadata")
-    columns = {
-        "project_title": _field("$.project_title"),
-        "fiscal_year": variants.text(meta, "$.fiscal_year"),
-        "agency_ic_admin": variants.named_text(meta, "$.agency_ic_admin"),
-    }
+    columns = {"project_title": F.col("title"), "agency_ic_admin": F.col("agency")}
     grant_items = listed_grants(_one_per_pid(grant_rows, pid_column), grants).select(
         F.concat(F.lit("grant:"), "pid").alias("item_id"),
         F.lit(0).alias("type_rank"),
@@ -238,27 +218,24 @@ def items(
         "pid",
         none.cast("bigint").alias("pmid"),
         build_text(grant_template, columns).alias("text"),
-        variants.text(meta, "$.project_start_date").alias("date_text"),
-        variants.number(meta, "$.fiscal_year", "int").alias("fiscal_year"),
-        columns["agency_ic_admin"].alias("journal"),
-        columns["project_title"].alias("title"),
-        joined_terms(
-            [F.col("pref_terms"), F.col("spending_categories_desc"), _field("$.organization.org_name")], ";"
-        ).alias("mesh_terms"),
-        variants.number(meta, "$.award_amount").alias("award_amount"),
+        F.col("start_date").alias("date_text"),
+        "fiscal_year",
+        F.coalesce("agency", F.lit("")).alias("journal"),
+        F.coalesce("title", F.lit("")).alias("title"),
+        joined_terms([F.col(name) for name in ("pref_terms", "spending_categories_desc", "org_name")], ";").alias("mesh_terms"),
+        "award_amount",
     )
-    source, title = _field("$.source"), _field("$.title")
     paper_items = papers.select(
         F.concat(F.lit("paper:"), F.col("pmid")).alias("item_id"),
         F.lit(1).alias("type_rank"),
         F.lit("paper").alias("type"),
         F.col("pmid").cast("string").alias("pid"),
         "pmid",
-        paper_text(source, title).alias("text"),
-        _field("$.pubdate").alias("date_text"),
+        paper_text(F.col("source"), F.col("title")).alias("text"),
+        F.col("pubdate").alias("date_text"),
         none.cast("int").alias("fiscal_year"),
-        source.alias("journal"),
-        title.alias("title"),
+        F.col("source").alias("journal"),
+        "title",
         F.lit("").alias("mesh_terms"),
         none.cast("double").alias("award_amount"),
     )

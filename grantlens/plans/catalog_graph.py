@@ -12,11 +12,11 @@ from grantlens.sources import store
 
 
 def _grants(spark: SparkSession, folder: str) -> DataFrame:
-    return store.open_store(inputs.grants(spark, folder))
+    return store.open_grants(inputs.grants(spark, folder))
 
 
 def _papers(spark: SparkSession, folder: str) -> DataFrame:
-    return store.open_store(inputs.papers(spark, folder))
+    return store.open_papers(inputs.papers(spark, folder))
 
 
 def _place(c: Column) -> list[Column]:
@@ -102,7 +102,7 @@ def representative_papers(spark: SparkSession, folder: str) -> DataFrame:
 def listed_grants(spark: SparkSession, folder: str) -> DataFrame:
     """Repeats, missing ids and unknown grants of the list stay."""
     joined = graph.listed_grants(inputs.grant_rows(spark, folder), _grants(spark, folder))
-    return joined.select("pid", "pref_terms", variants.text(F.col("metadata"), "$.project_title").alias("title"))
+    return joined.select("pid", "pref_terms", "title")
 
 
 def _items(spark: SparkSession, folder: str, scope: str = "all", **options: str) -> DataFrame:

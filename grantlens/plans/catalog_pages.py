@@ -142,11 +142,8 @@ def scan_stores(spark: SparkSession, folder: str) -> DataFrame:
     """A paper store written as JSON text and opened again."""
     path = _fresh_path(spark, "papers")
     inputs.papers(spark, folder).write.parquet(path)
-    v = F.col("metadata")
-    return store.read_store(spark, path).select(
-        "pmid", *[variants.text(v, f"$.{name}").alias(name) for name in ("source", "title", "pubdate")],
-        F.size(variants.elements(v, "$.authors")).cast("bigint").alias("n_entries"),
-    )
+    opened = store.open_papers(spark.read.parquet(path))
+    return opened.select("pmid", "source", "title", "pubdate", F.size("authors").cast("bigint").alias("n_entries"))
 
 
 def vectors_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -198,7 +195,7 @@ def paper_rows(spark: SparkSession, folder: str) -> DataFrame:
     v = variants.parse(F.col("metadata"))
     return rows.select(
         "pmid", variants.text(v, "$.source").alias("source"), variants.text(v, "$.title").alias("title"),
-        variants.joined_field(variants.elements(v, "$.authors"), "name", ";").alias("names"),
+        variants.joined_names(F.try_variant_get(v, "$.authors", "array<struct<name string>>"), "name", ";").alias("names"),
     )
 
 
@@ -212,7 +209,7 @@ def grant_list(spark: SparkSession, folder: str) -> DataFrame:
 def edges_json(spark: SparkSession, folder: str) -> DataFrame:
     """Edges and statistics as JSON, read back."""
     path = _fresh_path(spark, "edges")
-    edges = graph.all_edges(inputs.links(spark, folder), store.open_store(inputs.papers(spark, folder)))
+    edges = graph.all_edges(inputs.links(spark, folder), store.open_papers(inputs.papers(spark, folder)))
     store.write_edges(edges, graph.edge_stats(edges), path)
     return spark.read.schema("source string, target bigint, type string").json(f"{path}/edges")
 
@@ -221,8 +218,8 @@ def network_json(spark: SparkSession, folder: str) -> DataFrame:
     """A whole network as JSON, read back and counted by table."""
     path = _fresh_path(spark, "network")
     network = graph.build_network(
-        store.open_store(inputs.grants(spark, folder)),
-        store.open_store(inputs.papers(spark, folder)),
+        store.open_grants(inputs.grants(spark, folder)),
+        store.open_papers(inputs.papers(spark, folder)),
         inputs.links(spark, folder),
     )
     store.write_network(network, path)

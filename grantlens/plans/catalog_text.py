@@ -7,7 +7,7 @@ from string import Formatter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.functions import templates, text, variants
+from grantlens.functions import templates, text
 from grantlens.operators import stats
 from grantlens.plans import inputs, oracle
 from grantlens.sources import store
@@ -120,13 +120,7 @@ def category_colour(spark: SparkSession, folder: str) -> DataFrame:
 
 def agency_name(spark: SparkSession, folder: str) -> DataFrame:
     """A field that is an object, a text or a number."""
-    grants = store.open_store(inputs.grants(spark, folder))
-    v = F.col("metadata")
-    return grants.select(
-        "core_project_num",
-        variants.named_text(v, "$.agency_ic_admin").alias("agency"),
-        F.coalesce(variants.text(v, "$.organization.org_name"), F.lit("")).alias("org_name"),
-    )
+    return store.open_grants(inputs.grants(spark, folder)).select("core_project_num", "agency", "org_name")
 
 
 def author_id(spark: SparkSession, folder: str) -> DataFrame:

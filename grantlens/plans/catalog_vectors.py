@@ -48,8 +48,8 @@ def network_map(spark: SparkSession, folder: str) -> DataFrame:
     """Stores to items, vectors, 2-D places and network points."""
     return flows.network_map(
         inputs.grant_rows(spark, folder),
-        store.open_store(inputs.grants(spark, folder)),
-        store.open_store(inputs.papers(spark, folder)),
+        store.open_grants(inputs.grants(spark, folder)),
+        store.open_papers(inputs.papers(spark, folder)),
         inputs.links(spark, folder),
         inputs.citations(spark, folder),
     )

@@ -36,6 +36,7 @@ def network_map(
     pid_column: str = "pid", scope: str = "all", encoder=None, landmarks: DataFrame | None = None,
 ) -> DataFrame:
     """Stores and a grant list as network points, placed by the item texts."""
+    papers = stage(papers.drop("metadata"), "papers")
     items = stage(graph.items(grant_rows, grants, papers, links, pid_column, scope), "items")
     placed = place_texts(items.select("item_id", "text"), encoder=encoder, landmarks=landmarks)
     return points.network_points(items, placed, citations)

@@ -8,7 +8,7 @@ order of these three texts, then the position in the page: :data:`PAGE_ORDER`.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlens.functions import variants
@@ -46,38 +46,45 @@ def scan_pages(spark: SparkSession, root: str) -> DataFrame:
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """Pages with ``page`` (VARIANT), ``results`` (array of VARIANT) and ``is_bad``.
+    """Page keys with ``page`` (VARIANT, NULL where the body does not parse).
 
-    Bad are pages that are no JSON object, or whose ``results`` is there but no list.
+    Exploding the one-element array keeps later filters from repeating the parse.
     """
-    parsed = pages.withColumn("page", variants.parse(F.col("body"))).drop("body")
-    results = variants.elements(F.col("page"), "$.results")
+    return pages.select(*PAGE_KEY, F.explode_outer(F.array(variants.parse(F.col("body")))).alias("page"))
+
+
+def _results() -> Column:
+    return variants.elements(F.col("page"), "$.results")
+
+
+def _is_bad() -> Column:
+    """A page that is no JSON object, or whose ``results`` is there but no list."""
     given = F.try_variant_get("page", "$.results", "variant").isNotNull()
-    return parsed.withColumn("results", results).withColumn(
-        "is_bad", F.col("page").isNull() | ~variants.is_object(F.col("page")) | (given & F.col("results").isNull())
-    )
+    return F.col("page").isNull() | ~variants.is_object(F.col("page")) | (given & _results().isNull())
 
 
 def bad_pages(pages: DataFrame) -> DataFrame:
     """Keys of the pages a scan leaves out."""
-    return parse_pages(pages).filter("is_bad").select(*PAGE_KEY)
+    return parse_pages(pages).filter(_is_bad()).select(*PAGE_KEY)
 
 
 def page_totals(pages: DataFrame) -> DataFrame:
-    """Per page: its key, ``batch``, ``total`` (0 where absent) and ``n_results``."""
-    parsed = parse_pages(pages).filter(~F.col("is_bad"))
-    return parsed.select(
+    """Per good page: its key, ``batch``, ``total`` (0 where absent) and ``n_results``."""
+    return parse_pages(pages).filter(~_is_bad()).select(
         *PAGE_KEY,
         F.regexp_extract("page_file", r"^(.*)\.json$", 1).try_cast("int").alias("batch"),
         F.coalesce(variants.number(F.col("page"), "$.meta.total", "bigint"), F.lit(0).cast("bigint")).alias("total"),
-        F.coalesce(F.size("results"), F.lit(0)).cast("bigint").alias("n_results"),
+        F.coalesce(F.size(_results()), F.lit(0)).cast("bigint").alias("n_results"),
     )
 
 
 def flatten_results(pages: DataFrame) -> DataFrame:
-    """One row per record of every good page, with its ``pos`` in the page."""
-    good = parse_pages(pages).filter(~F.col("is_bad"))
-    return good.select(*PAGE_KEY, F.posexplode("results").alias("pos", "record"))
+    """One row per record of every good page, with its ``pos`` in the page.
+
+    A bad page has no list of results, so it gives no rows.
+    """
+    exploded = parse_pages(pages).select(*PAGE_KEY, F.posexplode_outer(_results()).alias("pos", "record"))
+    return exploded.filter("pos is not null")
 
 
 def read_page(stored: DataFrame, fiscal_year: str, org_state: str, batch: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlens.functions import variants
@@ -13,13 +13,47 @@ from grantlens.sources.pages import path_exists
 CITATION_SCHEMA = "pmid bigint, citation_count bigint, relative_citation_ratio double"
 
 
-def open_store(store: DataFrame, metadata: str = "metadata") -> DataFrame:
-    """A grant or paper store with its JSON text parsed to VARIANT."""
-    return store.withColumn(metadata, variants.parse(F.col(metadata)))
+# The fields taken from a grant's and a paper's metadata.
+GRANT_TYPE = (
+    "struct<project_title string, fiscal_year int, award_amount double, project_start_date string, "
+    "organization variant, agency_ic_admin variant>"
+)
+PAPER_TYPE = "struct<source string, title string, pubdate string, authors variant>"
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return open_store(spark.read.parquet(path))
+def _filled(path: str) -> Column:
+    return F.coalesce(path, F.lit(""))
+
+
+def open_grants(store: DataFrame) -> DataFrame:
+    """A grant store ``(core_project_num, metadata JSON)`` with its fields as columns."""
+    read = store.withColumn("m", variants.typed(variants.parse(F.col("metadata")), GRANT_TYPE))
+    return read.select(
+        "core_project_num",
+        _filled("m.project_title").alias("title"),
+        F.col("m.fiscal_year").alias("fiscal_year"),
+        variants.named_text(F.col("m.agency_ic_admin")).alias("agency"),
+        F.coalesce(variants.text(F.col("m.organization"), "$.org_name"), F.lit("")).alias("org_name"),
+        F.col("m.project_start_date").alias("start_date"),
+        F.col("m.award_amount").alias("award_amount"),
+        "metadata",
+    )
+
+
+def open_papers(store: DataFrame) -> DataFrame:
+    """A paper store ``(pmid, metadata JSON)`` with its fields as columns.
+
+    ``authors`` keeps every entry: NULL for one that is no object.
+    """
+    read = store.withColumn("m", variants.typed(variants.parse(F.col("metadata")), PAPER_TYPE))
+    return read.select(
+        "pmid",
+        _filled("m.source").alias("source"),
+        _filled("m.title").alias("title"),
+        _filled("m.pubdate").alias("pubdate"),
+        variants.typed(F.col("m.authors"), "array<struct<name string>>").alias("authors"),
+        "metadata",
+    )
 
 
 def read_citations(spark: SparkSession, path: str | None) -> DataFrame | None:
