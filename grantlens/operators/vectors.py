@@ -11,6 +11,7 @@ from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 MAX_LANDMARKS = 10_000
 ENCODER_BATCH = 32
@@ -44,7 +45,7 @@ def embed_text(
 
 
 def _encode(rows: DataFrame, text: str, item_id: str, encoder, batch_size: int) -> DataFrame:
-    schema = rows.select(item_id).schema.add("embedding", "array<float>")
+    schema = rows.select(item_id).schema.add("embedding", ArrayType(FloatType()))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder()

@@ -42,9 +42,6 @@ def projects(spark: SparkSession, folder: str) -> DataFrame:
         .when(priority == "3-MEDIUM", None)
         .otherwise(F.concat(F.lit("C"), customer, F.lit("-"), F.substring(priority, 1, 1)))
     )
-    agency = F.when(
-        (F.col("o_orderstatus") == "P") & (priority == "2-HIGH"), F.to_json(F.struct(F.lit("plain").alias("k")))
-    )
     record = F.struct(
         F.concat(F.lit("P"), customer, F.lit("-"), F.month(date)).alias("project_num"),
         core.alias("core_project_num"),
@@ -58,7 +55,6 @@ def projects(spark: SparkSession, folder: str) -> DataFrame:
             F.struct(segment.alias("full_name")),
         ).alias("principal_investigators"),
         F.struct(F.when(segment != "FURNITURE", segment).alias("abbreviation")).alias("agency_ic_admin"),
-        agency.alias("odd_agency"),
         F.concat(F.lit(" "), priority, F.lit("\t;\r\n"), segment).alias("pref_terms"),
         F.concat(name, F.lit("\n\n "), priority, F.lit(" \t"), F.col("o_orderstatus")).alias("abstract_text"),
         F.concat(segment, F.lit("  "), priority).alias("project_title"),
@@ -74,23 +70,24 @@ def projects(spark: SparkSession, folder: str) -> DataFrame:
         state_of_nation(F.col("c_nationkey")).alias("page_state"),
         "o_orderkey",
         F.col("o_orderstatus").alias("status"),
+        ((F.col("o_orderstatus") == "P") & (priority == "2-HIGH")).alias("is_odd"),
         record.alias("record"),
     )
 
 
-def _record_json(record: Column) -> Column:
-    """A project as JSON text, its agency a plain string where ``odd_agency`` is set."""
-    plain = F.to_json(record.dropFields("odd_agency"), {"ignoreNullFields": "false"})
-    odd = F.to_json(record.dropFields("odd_agency", "agency_ic_admin").withField("agency_ic_admin", F.lit("plain")))
-    return F.when(record["odd_agency"].isNull(), plain).otherwise(odd)
+def _record_json() -> Column:
+    """A project as JSON text; where ``is_odd``, its agency is a plain text."""
+    common = F.to_json(F.col("record").dropFields("agency_ic_admin"), {"ignoreNullFields": "false"})
+    agency = F.when(F.col("is_odd"), F.lit('"plain"')).otherwise(F.to_json("record.agency_ic_admin"))
+    return F.concat(F.substring(common, F.lit(1), F.length(common) - 1), F.lit(',"agency_ic_admin":'), agency, F.lit("}"))
 
 
 def project_pages(spark: SparkSession, folder: str, page_size: int = PAGE_SIZE) -> DataFrame:
     """Result pages ``(page_year, page_state, page_file, body)`` of at most ``page_size`` records."""
-    rows = projects(spark, folder).select(
-        "page_year", "page_state", "o_orderkey", _record_json(F.col("record")).alias("json")
+    rows = projects(spark, folder).drop("status")
+    numbered = number_rows(rows, ["o_orderkey"], ["page_year", "page_state"], "nth").select(
+        "page_year", "page_state", "nth", _record_json().alias("json")
     )
-    numbered = number_rows(rows, ["o_orderkey"], ["page_year", "page_state"], "nth")
     batch = F.floor((F.col("nth") - 1) / F.lit(page_size)).cast("int")
     totals = numbered.groupBy("page_year", "page_state").agg(F.count(F.lit(1)).alias("total"))
     bodies = numbered.groupBy("page_year", "page_state", batch.alias("batch")).agg(
@@ -282,7 +279,7 @@ def grant_responses(spark: SparkSession, folder: str) -> DataFrame:
     rows = projects(spark, folder)
     return rows.select(
         F.col("o_orderkey").alias("seq"),
-        F.concat(F.lit('{"results":['), _record_json(F.col("record")), F.lit("]}")).alias("body"),
+        F.concat(F.lit('{"results":['), _record_json(), F.lit("]}")).alias("body"),
     )
 
 

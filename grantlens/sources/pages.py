@@ -37,7 +37,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_pages(spark: SparkSession, root: str) -> DataFrame:
-    """One row per page file; no rows where the folder is missing."""
+    """One row per page file; no rows where the folder is missing.
+
+    A file of zero bytes gives no row, so it is skipped without being listed as bad.
+    """
     pattern = f"{root}/*/*/*.json"
     if not path_exists(spark, pattern):
         return spark.createDataFrame([], PAGE_SCHEMA)
