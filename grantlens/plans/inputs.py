@@ -14,10 +14,14 @@ from grantlens.operators.harvest import ORG_STATES, PAGE_SIZE
 from grantlens.operators.numbering import number_rows
 
 SUMMARY_BATCH = 200
+LARGE = ("orders", "lineitem", "documents", "events")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table; one held in fewer pieces than there are cores is spread over them."""
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if name in LARGE and rows.rdd.getNumPartitions() < cores else rows
 
 
 def _priority() -> Column:
