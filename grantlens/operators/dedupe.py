@@ -109,7 +109,7 @@ def two_key_label(
 ) -> DataFrame:
     """All columns of ``rows`` with ``skipped_project`` and ``skipped_core``."""
     status = two_key_status(rows, project, core, order_by, **options)
-    return rows.join(status, list(order_by)).select(
+    return skew.null_safe_join(rows, status, order_by).select(
         *rows.columns,
         (F.col("status") == "project").alias("skipped_project"),
         (F.col("status") == "core").alias("skipped_core"),
@@ -121,7 +121,7 @@ def two_key_dedupe(
 ) -> DataFrame:
     """The rows a first-wins reading keeps."""
     status = two_key_status(rows, project, core, order_by, **options)
-    return rows.join(status.filter("status = 'keep'"), list(order_by), "left_semi")
+    return skew.null_safe_join(rows, status.filter("status = 'keep'"), order_by, "left_semi")
 
 
 def two_key_flag(
@@ -142,7 +142,7 @@ def two_key_flag(
         (F.col("ord") > F.col("first_p")).alias("skipped_project"),
         (F.col("ord") > F.col("first_c")).alias("skipped_core"),
     )
-    return rows.join(flags, list(order_by))
+    return skew.null_safe_join(rows, flags, order_by)
 
 
 def latest(rows: DataFrame, key: str, order_by: str) -> DataFrame:

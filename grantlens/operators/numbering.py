@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from grantlens.operators.skew import null_safe_join
 from grantlens.session import stage
 
 ROW_BITS = 33
@@ -29,7 +30,7 @@ def number_rows(
     A window would bring each group into one task. Here a range sort spreads even one
     huge group over many partitions; each (partition, group) piece is counted, and the
     counts of the pieces before it give its offset. ``order_by`` must be unique within
-    a group, and no column null.
+    a group.
     """
     placed = stage(ordered(rows, [*partition_by, *order_by], "_place"), "numbered")
     placed = placed.withColumn("_piece", F.shiftright("_place", ROW_BITS))
@@ -43,7 +44,7 @@ def number_rows(
     )
     number = F.col("_place") - F.col("_first") + F.col("_before") + 1
     return (
-        placed.join(offsets, ["_piece", *partition_by])
+        null_safe_join(placed, offsets, ["_piece", *partition_by])
         .withColumn(name, number)
         .select(*rows.columns, name)
     )

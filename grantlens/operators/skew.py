@@ -1,7 +1,11 @@
-"""Equi-joins against a side with unique keys, safe for hot keys on the other side."""
+"""Equi-joins that keep NULL keys, and joins that hold when one key has very many rows."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +14,13 @@ HOT_MIN_ROWS = 1_000_000
 SALTS = 64
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on all ``keys`` in which NULL equals NULL; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    condition = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_right_{key}")) for key in keys])
+    return left.join(renamed, condition, how).drop(*[f"_right_{key}" for key in keys])
+
+
 def hot_values(counts: DataFrame, key: str, total: int, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> list:
     """The keys that hold at least ``share`` of ``total`` rows.
 

@@ -7,6 +7,10 @@ order of these three texts, then the position in the page: :data:`PAGE_ORDER`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,26 +29,28 @@ def page_path_columns(path):
     return [F.element_at(parts, index).alias(name) for index, name in zip((-3, -2, -1), PAGE_KEY)]
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` (which may hold wildcards) names anything."""
+def _read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or None where its path names nothing. Files are listed once."""
     try:
-        spark.read.text(path)
-        return True
+        return read()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return False
+            return None
         raise
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _read_if_there(lambda: spark.read.text(path)) is not None
+
+
 def scan_pages(spark: SparkSession, root: str) -> DataFrame:
     """One row per page file; no rows where the folder is missing.
 
     A file of zero bytes gives no row, so it is skipped without being listed as bad.
     """
-    pattern = f"{root}/*/*/*.json"
-    if not path_exists(spark, pattern):
+    files = _read_if_there(lambda: spark.read.option("wholetext", True).text(f"{root}/*/*/*.json"))
+    if files is None:
         return spark.createDataFrame([], PAGE_SCHEMA)
-    files = spark.read.option("wholetext", True).text(pattern)
     return files.select(*page_path_columns(F.col("_metadata.file_path")), F.col("value").alias("body"))
 
 
@@ -101,6 +107,18 @@ def read_stored_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(path)
 
 
+def _touched(incoming: DataFrame) -> Column:
+    """A filter on the partitions that get new pages: at most one per year and state.
+
+    Literal values let the scan skip all other partitions.
+    """
+    states: dict[str, list[str]] = {}
+    for row in incoming.select("fiscal_year", "org_state").distinct().collect():
+        states.setdefault(row["fiscal_year"], []).append(row["org_state"])
+    tests = [(F.col("fiscal_year") == year) & F.col("org_state").isin(names) for year, names in states.items()]
+    return reduce(or_, tests, F.lit(False))
+
+
 def write_pages(pages: DataFrame, path: str) -> None:
     """Keep pages by ``(fiscal_year, org_state, batch)``; a page with a known key replaces it.
 
@@ -108,12 +126,9 @@ def write_pages(pages: DataFrame, path: str) -> None:
     """
     spark = pages.sparkSession
     incoming = pages.select("fiscal_year", "org_state", "batch", "body")
-    if path_exists(spark, path):
-        old = read_stored_pages(spark, path)
-        touched = incoming.select("fiscal_year", "org_state").distinct()
-        kept = old.join(touched, ["fiscal_year", "org_state"], "left_semi").join(
-            incoming, ["fiscal_year", "org_state", "batch"], "left_anti"
-        )
+    old = _read_if_there(lambda: read_stored_pages(spark, path))
+    if old is not None:
+        kept = old.filter(_touched(incoming)).join(incoming, ["fiscal_year", "org_state", "batch"], "left_anti")
         incoming = incoming.unionByName(kept)
     # Rebalancing gathers a partition's pages into few files, and splits a huge one.
     (
