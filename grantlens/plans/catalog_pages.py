@@ -13,6 +13,7 @@ from grantlens.operators.numbering import number_rows
 from grantlens.plans import inputs, oracle
 from grantlens.session import shared_folder
 from grantlens.sources import pages, responses, store, tsv
+from grantlens.streaming import ingest
 
 
 def _fresh_path(spark: SparkSession, label: str) -> str:
@@ -233,6 +234,26 @@ def network_json(spark: SparkSession, folder: str) -> DataFrame:
     return counts
 
 
+def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages taken as a stream into the grant store (S15, D2): the last record per core in reading order."""
+    source, path, checkpoint = (_fresh_path(spark, label) for label in ("pages", "ingested", "ingest-checkpoint"))
+    inputs.project_pages(spark, folder).write.parquet(source)
+    stream = spark.readStream.schema(pages.PAGE_SCHEMA).parquet(source)
+    ingest.ingest_grants(stream, path, checkpoint).awaitTermination()
+    v = variants.parse(F.col("metadata"))
+    return ingest.ingested_grants(spark, path).select(
+        "core_project_num", variants.text(v, "$.project_num").alias("project_num"),
+        variants.number(v, "$.award_amount").alias("award_amount"),
+    )
+
+
+def citation_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored citation table."""
+    path = _fresh_path(spark, "citations")
+    inputs.citations(spark, folder).write.parquet(path)
+    return store.read_citations(spark, path)
+
+
 QUERIES = {
     "s1_page_order": page_order,
     "s2_bad_pages": bad_pages,
@@ -243,6 +264,7 @@ QUERIES = {
     "s7_tsv_round_trip": tsv_round_trip,
     "s8_skipped_keys": skipped_keys,
     "s9_scan_stores": scan_stores,
+    "s10_citation_table": citation_table,
     "s11_edges_json": edges_json,
     "s12_network_json": network_json,
     "s13_vectors_round_trip": vectors_round_trip,
@@ -257,6 +279,7 @@ QUERIES = {
     "a3_conversion_stats_flag_only": conversion_stats_flag_only,
     "e1_convert_pages": convert_pages,
     "e1_top_agencies": top_agencies,
+    "stream_ingest_grants": stream_ingest,
 }
 
 _KEYS = ", ".join(extract.GRANT_COLUMNS)
@@ -265,6 +288,11 @@ SELECT core_project_num AS source, pmid AS target, 'grant-paper' AS type FROM li
 UNION ALL SELECT substr(md5(name), 1, 12), pmid, 'author-paper' FROM authors"""
 
 ORACLES = {
+    "s10_citation_table": f"WITH {oracle.CITATIONS} SELECT * FROM citations",
+    "stream_ingest_grants": f"""WITH {oracle.paged()},
+placed AS (SELECT *, row_number() OVER (ORDER BY {oracle.PAGE_ORDER}) AS ord FROM paged WHERE core_project_num <> '')
+SELECT core_project_num, arg_max(project_num, ord) AS project_num, arg_max(award_amount, ord) AS award_amount
+FROM placed GROUP BY core_project_num""",
     "s1_page_order": f"""WITH {oracle.paged(5)}
 SELECT page_year, page_state, page_file, row_number() OVER (ORDER BY page_year, page_state, page_file) AS nth
 FROM (SELECT DISTINCT page_year, page_state, page_file FROM paged)""",

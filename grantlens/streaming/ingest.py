@@ -40,10 +40,8 @@ def grant_stream(pages: DataFrame) -> DataFrame:
     return rows.filter("core_project_num <> ''")
 
 
-def ingest_grants(
-    spark: SparkSession, root: str, path: str, checkpoint: str, files_per_batch: int = 1000
-) -> StreamingQuery:
-    """Start a run that takes all files present and not yet taken, then stops.
+def ingest_grants(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Start a run that takes all pages of the stream not yet taken, then stops.
 
     Each batch has a folder of its own that a repeated batch overwrites, so a run that
     fails and starts again neither loses nor doubles rows.
@@ -52,9 +50,9 @@ def ingest_grants(
     def keep(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
-    stream = grant_stream(page_stream(spark, root, files_per_batch))
     return (
-        stream.writeStream.foreachBatch(keep)
+        grant_stream(pages)
+        .writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -62,7 +60,10 @@ def ingest_grants(
 
 
 def ingested_grants(spark: SparkSession, path: str) -> DataFrame:
-    """The grant store the batches amount to: per core the record that came last."""
+    """The grant store the batches amount to: per core the record that came last.
+
+    Within a batch that is the last in reading order.
+    """
     rows = spark.read.schema(INGESTED_SCHEMA).parquet(path)
     placed = rows.select("core_project_num", "metadata", F.struct("batch", *PAGE_ORDER).alias("place"))
     return latest(placed, "core_project_num", "place").drop("place")

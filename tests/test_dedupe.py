@@ -66,6 +66,21 @@ def test_two_key_status_on_a_chain(spark):
     assert fates_of(spark, rows, finish_rows=0) == first_wins(rows)
 
 
+def test_nothing_to_dedupe(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert dedupe.two_key_status(empty, "p", "c", ["i"]).count() == 0
+    assert dedupe.two_key_flag(empty, "p", "c", ["i"]).count() == 0
+    assert number_rows(empty, ["i"]).count() == 0
+
+
+def test_places_may_be_null(spark):
+    frame = spark.createDataFrame([(None, "p1", "A"), (1, "p1", "B"), (2, "p2", "A")], SCHEMA)
+    kept = dedupe.two_key_dedupe(frame, "p", "c", ["i"])
+    assert [(row["i"], row["p"]) for row in kept.collect()] == [(None, "p1")]
+    numbered = number_rows(frame, ["p"], ["i"]).collect()
+    assert sorted((str(row["i"]), row["row_number"]) for row in numbered) == [("1", 1), ("2", 1), ("None", 1)]
+
+
 def test_two_key_label_and_flag(spark):
     frame = spark.createDataFrame([(0, "p1", "A"), (1, "p1", "A"), (2, "p2", "A")], SCHEMA)
     labelled = dedupe.two_key_label(frame, "p", "c", ["i"]).orderBy("i").collect()

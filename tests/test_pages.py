@@ -21,7 +21,10 @@ def page(*records, total=None):
 
 
 def test_missing_folder_gives_no_pages(spark, tmp_path):
-    assert pages.scan_pages(spark, str(tmp_path / "nothing")).count() == 0
+    found = pages.scan_pages(spark, str(tmp_path / "nothing"))
+    assert found.count() == 0
+    stats = extract.conversion_stats(extract.convert(found)).first().asDict()
+    assert set(stats.values()) == {0}
 
 
 def test_scan_order_and_bad_files(spark, tmp_path):
