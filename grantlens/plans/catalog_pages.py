@@ -11,7 +11,7 @@ from grantlens.functions import variants
 from grantlens.operators import dedupe, extract, graph, stats
 from grantlens.operators.numbering import number_rows
 from grantlens.plans import inputs, oracle
-from grantlens.session import shared_folder
+from grantlens.session import shared_folder, stage
 from grantlens.sources import pages, responses, store, tsv
 from grantlens.streaming import ingest
 
@@ -50,10 +50,10 @@ def _stored(rows: DataFrame) -> DataFrame:
 
 def _stored_pages(spark: SparkSession, folder: str) -> DataFrame:
     path = _fresh_path(spark, "page-store")
-    harvested = _stored(inputs.project_pages(spark, folder, page_size=20))
+    harvested = stage(_stored(inputs.project_pages(spark, folder, page_size=20)), "harvested")
     pages.write_pages(harvested, path)
     again = _stored(inputs.project_pages(spark, folder, page_size=50)).filter(F.col("org_state").isin("AL", "GA"))
-    pages.write_pages(again, path)
+    pages.write_pages(stage(again, "harvested"), path)
     return pages.read_stored_pages(spark, path)
 
 

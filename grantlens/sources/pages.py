@@ -122,7 +122,8 @@ def _touched(incoming: DataFrame) -> Column:
 def write_pages(pages: DataFrame, path: str) -> None:
     """Keep pages by ``(fiscal_year, org_state, batch)``; a page with a known key replaces it.
 
-    Only the year/state partitions that get new pages are rewritten.
+    Only the year/state partitions that get new pages are rewritten. ``pages`` is read
+    more than once: stage it where it is costly to make.
     """
     spark = pages.sparkSession
     incoming = pages.select("fiscal_year", "org_state", "batch", "body")
