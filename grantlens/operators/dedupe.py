@@ -14,6 +14,10 @@ from grantlens.operators.numbering import ordered
 from grantlens.session import shared_folder, stage_counted
 
 
+# Live keys that one task may finish: a fixed number, some megabytes, whatever the data size.
+FINISH_ROWS = 50_000
+
+
 def _key(c: Column) -> Column:
     """A text key as a non-null value, so that NULL is a key like any other."""
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
@@ -54,7 +58,7 @@ def two_key_status(
     project: str,
     core: str,
     order_by: Sequence[str],
-    finish_rows: int = 10_000,
+    finish_rows: int = FINISH_ROWS,
     hot_min_rows: int = skew.HOT_MIN_ROWS,
 ) -> DataFrame:
     """``keep``, ``project`` or ``core`` per row, as ``(*order_by, status)``.

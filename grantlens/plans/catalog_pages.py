@@ -119,6 +119,13 @@ def convert_pages(spark: SparkSession, folder: str) -> DataFrame:
     return extract.written_grants(extract.convert(inputs.project_pages(spark, folder)))
 
 
+def grants_tsv(spark: SparkSession, folder: str) -> DataFrame:
+    """The converted table written as TSV and read with its schema."""
+    path = _fresh_path(spark, "grants-tsv")
+    tsv.write_tsv(convert_pages(spark, folder), path)
+    return tsv.read_tsv(spark, path, tsv.GRANT_SCHEMA, multi_line=False)
+
+
 def conversion_stats(spark: SparkSession, folder: str) -> DataFrame:
     """A3"""
     return extract.conversion_stats(extract.convert(inputs.project_pages(spark, folder)))
@@ -278,11 +285,15 @@ QUERIES = {
     "a3_conversion_stats": conversion_stats,
     "a3_conversion_stats_flag_only": conversion_stats_flag_only,
     "e1_convert_pages": convert_pages,
+    "e1_grants_tsv": grants_tsv,
     "e1_top_agencies": top_agencies,
     "stream_ingest_grants": stream_ingest,
 }
 
 _KEYS = ", ".join(extract.GRANT_COLUMNS)
+_READ_BACK = ", ".join(
+    name if name in ("fiscal_year", "award_amount") else f"nullif({name}, '') AS {name}" for name in extract.GRANT_COLUMNS
+)
 _EDGES = """
 SELECT core_project_num AS source, pmid AS target, 'grant-paper' AS type FROM links
 UNION ALL SELECT substr(md5(name), 1, 12), pmid, 'author-paper' FROM authors"""
@@ -353,6 +364,7 @@ SELECT count(*) AS processed, count_if(NOT is_bad)::BIGINT AS written, count_if(
   count_if(by_c)::BIGINT AS skipped_core_project_num, (count_if(by_p) + count_if(by_c))::BIGINT AS skipped_total
 FROM placed JOIN flags USING (ord)""",
     "e1_convert_pages": f"""{oracle.CONVERTED} SELECT {_KEYS} FROM converted WHERE written""",
+    "e1_grants_tsv": f"""{oracle.CONVERTED} SELECT {_READ_BACK} FROM converted WHERE written""",
     "e1_top_agencies": f"""{oracle.CONVERTED}
 SELECT agency_ic_admin, count(*) AS count FROM converted WHERE written AND agency_ic_admin <> ''
 GROUP BY agency_ic_admin ORDER BY count DESC, agency_ic_admin LIMIT 20""",

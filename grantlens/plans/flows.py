@@ -25,8 +25,11 @@ def grant_map(
     grants: DataFrame, item_id: str = "item_id", template: str = "abstract", encoder=None,
     landmarks: DataFrame | None = None, scale: float = 1.0,
 ) -> DataFrame:
-    """Flat grant rows as merged points, placed by their texts."""
-    rows = grants.withColumnRenamed(item_id, "item_id")
+    """Flat grant rows as merged points, placed by their texts.
+
+    ``item_id`` names a unique column.
+    """
+    rows = grants.withColumn("item_id", F.col(item_id))
     texts = rows.select("item_id", grant_text(template).alias("text"))
     return points.merged_points(rows, place_texts(texts, encoder=encoder, landmarks=landmarks, scale=scale))
 
