@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 HOT_SHARE = 0.005
 HOT_MIN_ROWS = 1_000_000
-SALTS = 64
+MIN_SALTS = 64
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -38,15 +38,17 @@ def key_counts(rows: DataFrame, key: str) -> DataFrame:
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, hot: list, spread_by: Column, salts: int = SALTS
+    left: DataFrame, right: DataFrame, key: str, how: str, hot: list, spread_by: Column, salts: int | None = None
 ) -> DataFrame:
     """``left`` joined to ``right`` on ``key``, with the rows of hot keys spread.
 
-    Rows of a hot key on the left go to one of ``salts`` groups by ``spread_by``;
-    the right side, unique in ``key``, is repeated once per group for those keys only.
+    Rows of a hot key on the left go to one of ``salts`` groups by ``spread_by``, by
+    default as many as there are shuffle partitions; the right side, unique in ``key``,
+    is repeated once per group for those keys only.
     """
     if not hot:
         return left.join(right, key, how)
+    salts = salts or max(MIN_SALTS, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     is_hot = F.col(key).isin(hot)
     left = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0))
     groups = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))

@@ -174,11 +174,10 @@ def stage_reuse(spark: SparkSession, folder: str) -> DataFrame:
         return lambda: orders.withColumn("mark", F.lit(mark))
 
     store.stage_output(spark, path, marked("first"))
-    reused = store.stage_output(spark, path, marked("second")).groupBy("mark").count()
-    rows = reused.select(F.lit("reuse").alias("how"), "mark", F.col("count").alias("n")).collect()
-    again = store.stage_output(spark, path, marked("third"), "overwrite").groupBy("mark").count()
-    now = again.select(F.lit("overwrite").alias("how"), "mark", F.col("count").alias("n"))
-    return spark.createDataFrame(rows, now.schema).unionByName(now)
+    reused = store.stage_output(spark, path, marked("second")).groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
+    before = stage(reused.withColumn("how", F.lit("reuse")), "reused")
+    again = store.stage_output(spark, path, marked("third"), "overwrite").groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
+    return before.unionByName(again.withColumn("how", F.lit("overwrite")))
 
 
 def grant_rows(spark: SparkSession, folder: str) -> DataFrame:
