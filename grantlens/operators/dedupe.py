@@ -40,17 +40,25 @@ def _first_per_round(live: DataFrame) -> DataFrame:
     return first_of_project.join(first_of_core, "ord")
 
 
-def _keep_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    projects: set[str] = set()
-    cores: set[str] = set()
-    for batch in batches:
-        chosen = []
-        for place, (p, c) in enumerate(zip(batch["p"], batch["c"])):
-            if p not in projects and c not in cores:
-                projects.add(p)
-                cores.add(c)
-                chosen.append(place)
-        yield batch.iloc[chosen]
+def _in_order():
+    """The rule read off row by row, for a few rows in order.
+
+    An inner function travels to the workers whole; they need not have this package.
+    """
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        projects: set[str] = set()
+        cores: set[str] = set()
+        for batch in batches:
+            chosen = []
+            for place, (p, c) in enumerate(zip(batch["p"], batch["c"])):
+                if p not in projects and c not in cores:
+                    projects.add(p)
+                    cores.add(c)
+                    chosen.append(place)
+            yield batch.iloc[chosen]
+
+    return keep
 
 
 def two_key_status(
@@ -96,7 +104,7 @@ def two_key_status(
         n_live = seen.get["n"]
         turn += 1
     rest = live.select("ord", "p", "c").repartition(1).sortWithinPartitions("ord")
-    rest.mapInPandas(_keep_in_order, kept_schema).write.parquet(f"{folder}/kept/round={turn}")
+    rest.mapInPandas(_in_order(), kept_schema).write.parquet(f"{folder}/kept/round={turn}")
 
     kept = spark.read.schema(kept_schema).parquet(f"{folder}/kept").select("p", F.col("ord").alias("kept_ord"))
     labelled = skew.salted_join(slim, kept, "p", "left", hot_p, F.col("ord"))
