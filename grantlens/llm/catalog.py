@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.llm import bpe, exact, simhash
+from grantlens.llm import bpe, exact, simhash, suffix
 from grantlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,12 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of fingerprints; DuckDB has no XXH64, tests compare with brute force."""
     return simhash.near_groups(table(spark, folder, "documents"))
+
+
+@query("op10_suffix_dedup")
+def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes that stay once repeated strings are removed; tests compare with brute force."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
