@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.llm import bpe, exact, simhash, suffix
+from grantlens.llm import bpe, exact, packing, quality, simhash, suffix
 from grantlens.llm.common import table
+from grantlens.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +66,29 @@ def suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.remove_repeats(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+def digest_pieces(docs: DataFrame) -> DataFrame:
+    """Pieces of ``docs`` with the CRC of their ids, written to the shared folder."""
+    pieces = packing.token_pieces(
+        docs,
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        {"<|endoftext|>": 50256},
+    )
+    slim = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return stage(slim, "pieces")
+
+
+@query("op7_packing")
+def pack_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Token pieces and their places; tests check ids, gaps and room of every sequence."""
+    return packing.pack(digest_pieces(table(spark, folder, "documents")))
+
+
+@query("op8_quality")
+def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores by a classifier fitted on the other folds; tests measure held-out accuracy."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score(docs, model).select("doc_id", "held_out", "score", "predicted")
