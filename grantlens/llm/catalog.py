@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.llm import bpe, exact, packing, quality, simhash, suffix
+from grantlens.llm import bpe, exact, packing, quality, simhash, suffix, warc
 from grantlens.llm.common import table
-from grantlens.session import stage
+from grantlens.session import shared_folder, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +93,21 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, folder, "labels"))
     return quality.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+@query(
+    "op5_warc",
+    """
+    WITH sized AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+    seen AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d FROM sized),
+    first AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS f FROM seen)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+           CASE WHEN n >= 100 AND f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND f <> page_id THEN f END AS refers_to
+    FROM first
+    """,
+)
+def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    archive = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    manifest = warc.write_archive(table(spark, folder, "pages"), archive)
+    return warc.read_archive(manifest, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
