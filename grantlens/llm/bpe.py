@@ -23,55 +23,11 @@ from pyspark.sql import DataFrame
 
 from grantlens.llm.common import small_batches
 
-WORD, SHIFT, MASK = 64, 6, 63
+#: A word of the bitmap has 2**SHIFT bits.
+SHIFT, MASK = 8, 255
+BIT = [1 << k for k in range(1 << 11)]
 #: Pieces of at most so many characters are remembered, and at most so many of them.
-REMEMBERED_CHARS, REMEMBERED = 48, 400_000
-
-
-class RankQueue:
-    """Positions by rank; the least rank comes first, within it the leftmost position."""
-
-    def __init__(self, ranks: int) -> None:
-        self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        while not self.levels or ranks > 1:
-            ranks = (ranks + WORD - 1) // WORD
-            self.levels.append([0] * max(ranks, 1))
-        self.top = self.levels[-1]
-        self.down = self.levels[::-1]
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        for words in self.levels:
-            bit, rank = 1 << (rank & MASK), rank >> SHIFT
-            before = words[rank]
-            words[rank] = before | bit
-            if before:
-                return
-
-    def pop(self) -> tuple[int, int] | None:
-        """The next rank and position, or None when nothing waits."""
-        if not self.top[0]:
-            return None
-        rank = 0
-        for words in self.down:
-            word = words[rank]
-            rank = (rank << SHIFT) + (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        if len(bucket) > 1:
-            return rank, heappop(bucket)
-        del self.buckets[rank]
-        place = rank
-        for words in self.levels:
-            bit, place = 1 << (place & MASK), place >> SHIFT
-            words[place] ^= bit
-            if words[place]:
-                break
-        return rank, bucket[0]
+REMEMBERED_CHARS, REMEMBERED = 48, 600_000
 
 
 class Encoder(dict):
@@ -82,7 +38,9 @@ class Encoder(dict):
         self.ranks = ranks
         self.size = max(ranks.values(), default=0) + 1
         self.bytes_of = [b""] * self.size
-        self.queue = RankQueue(self.size)
+        self.two = {(piece[0], piece[1]): rank for piece, rank in ranks.items() if len(piece) == 2}
+        self.buckets: list[list[int]] = [[] for _ in range(self.size)]
+        self.words = [0] * ((self.size >> SHIFT) + 1)
         for piece, rank in ranks.items():
             self.bytes_of[rank] = piece
         # White space by the Unicode property, as the rank files' own libraries read it.
@@ -97,34 +55,63 @@ class Encoder(dict):
         return packed
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one piece."""
-        ranks = self.ranks
+        """The ids of one piece.
+
+        The queue: ``buckets`` has the positions that wait at a rank, as a heap, so that the
+        leftmost comes first; a bit of ``words`` says that a rank has a bucket, a bit of
+        ``top`` that a word has bits. It is empty before and after.
+        """
+        ranks, buckets, words, bit = self.ranks, self.buckets, self.words, BIT
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
-        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        waiting = self.queue  # empty before and after
-        for i in range(n - 1):
-            rank = ranks.get(piece[i : i + 2])
+        n, get, top = len(piece), ranks.get, 0
+        end, before = list(range(1, n + 2)), list(range(-1, n))
+        at = list(map(self.two.get, zip(piece, piece[1:], strict=False)))  # rank of the pair that begins here
+        at.append(None)
+        for i, rank in enumerate(at):
             if rank is not None:
-                waiting.push(rank, i)
-        while (least := waiting.pop()) is not None:
-            rank, i = least
+                if not buckets[rank]:
+                    words[rank >> SHIFT] |= bit[rank & MASK]
+                    top |= bit[rank >> SHIFT]
+                buckets[rank].append(i)
+        while top:
+            place = (top & -top).bit_length() - 1
+            bits = words[place]
+            lowest = bits & -bits
+            rank = (place << SHIFT) + lowest.bit_length() - 1
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                bits ^= lowest
+                words[place] = bits
+                if not bits:
+                    top ^= bit[place]
+            if at[i] != rank:
+                continue  # stale: one of its parts has been merged since
             middle = end[i]
-            if middle <= 0 or middle >= n or ranks.get(piece[i : end[middle]]) != rank:
-                continue  # one of its parts has been merged since
-            end[i], end[middle] = end[middle], 0
-            after = end[i]
+            after = end[i] = end[middle]
+            at[middle] = None
             if after < n:
                 before[after] = i
-                joined = ranks.get(piece[i : end[after]])
-                if joined is not None:
-                    waiting.push(joined, i)
+                at[i] = rank = get(piece[i : end[after]])
+                if rank is not None:
+                    bucket = buckets[rank]
+                    if not bucket:
+                        words[rank >> SHIFT] |= bit[rank & MASK]
+                        top |= bit[rank >> SHIFT]
+                    heappush(bucket, i)
+            else:
+                at[i] = None
             if i:
-                joined = ranks.get(piece[before[i] : after])
-                if joined is not None:
-                    waiting.push(joined, before[i])
+                i = before[i]
+                at[i] = rank = get(piece[i:after])
+                if rank is not None:
+                    bucket = buckets[rank]
+                    if not bucket:
+                        words[rank >> SHIFT] |= bit[rank & MASK]
+                        top |= bit[rank >> SHIFT]
+                    heappush(bucket, i)
         ids, i = [], 0
         while i < n:
             ids.append(ranks[piece[i : end[i]]])
