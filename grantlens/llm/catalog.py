@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.llm import bpe, exact, packing, quality, simhash, suffix, warc
+from grantlens.llm import ann, bpe, exact, packing, quality, simhash, suffix, warc
 from grantlens.llm.common import table
 from grantlens.session import shared_folder, stage
 
@@ -111,3 +111,9 @@ def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     archive = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     manifest = warc.write_archive(table(spark, folder, "pages"), archive)
     return warc.read_archive(manifest, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_nearest")
+def nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """Approximate neighbours of every hundredth vector; tests measure recall against brute force."""
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
