@@ -91,33 +91,33 @@ def flipped(width: int, most: int) -> Column:
     return F.array(*pairs)
 
 
-def visits(fps: DataFrame, most: int) -> list[tuple[int, DataFrame]]:
+def visits(fps: DataFrame, count: int, most: int) -> list[tuple[int, DataFrame]]:
     """Per depth of the index: ``node``, ``fp`` and the bits ``spent`` of who visits its leaves.
 
-    ``fps`` is staged and holds distinct fingerprints. A pair of nodes is visited in one
-    direction only.
+    ``fps`` is staged and holds ``count`` distinct fingerprints. A pair of nodes is visited in
+    one direction only.
     """
-    leaves, depth = [], 0
-    going = fps.select(F.lit(0).cast("long").alias("node"), "fp", F.lit(0).alias("spent"))
+    root = fps.select(F.lit(0).cast("long").alias("node"), "fp", F.lit(0).alias("spent"))
+    if count <= NODE:
+        return [(0, root)]
+    leaves, depth, parents = [], 0, root
     while True:
-        sizes = fps.groupBy(front(F.col("fp"), depth).alias("node")).agg(F.count(F.lit(1)).alias("held"))
-        found = going.join(sizes, "node")
-        small = (F.col("held") <= NODE) if depth < BITS else F.lit(True)
-        leaves.append((depth, found.where(small).select("node", "fp", "spent")))
-        if depth >= BITS or sizes.where(~small).isEmpty():
-            return leaves
         depth += STEP
+        own = front(F.col("fp"), depth)
+        # the own child of the visitor below this node, and those its remaining bits reach
+        child = F.shiftleft("node", STEP).bitwiseOR(own.bitwiseAND(F.lit((1 << STEP) - 1))).bitwiseXOR(F.col("flip.mask"))
         going = (
-            found.where(~small)
-            .withColumn("flip", F.explode(flipped(STEP, most)))
-            .select(
-                (F.shiftleft("node", STEP).bitwiseOR(front(F.col("fp"), depth).bitwiseAND(F.lit((1 << STEP) - 1)))).bitwiseXOR(F.col("flip.mask")).alias("node"),
-                "fp",
-                (F.col("spent") + F.col("flip.ones")).alias("spent"),
-            )
-            .where((F.col("spent") <= most) & (F.col("node") <= front(F.col("fp"), depth)))
+            parents.withColumn("flip", F.explode(flipped(STEP, most)))
+            .select(child.alias("node"), "fp", (F.col("spent") + F.col("flip.ones")).alias("spent"))
+            .where((F.col("spent") <= most) & (F.col("node") <= own))
         )
-        going, _ = stage_counted(going, "gray-visits")
+        sizes = stage(fps.groupBy(own.alias("node")).agg(F.count(F.lit(1)).alias("held")), "gray-nodes")
+        found = stage(going.join(sizes, "node"), "gray-visits")
+        small = F.col("held") <= NODE
+        leaves.append((depth, found.where(small).select("node", "fp", "spent")))
+        if sizes.where(~small).isEmpty():
+            return leaves
+        parents = found.where(~small).select("node", "fp", "spent")
 
 
 def ones(values: np.ndarray) -> np.ndarray:
@@ -190,10 +190,13 @@ def spanning(links: np.ndarray, size: int) -> np.ndarray:
     return np.stack((node, label[node]), 1)
 
 
-def near_links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """Links ``u``, ``v`` whose components are those of all pairs at ``most`` or fewer bits."""
+def near_links(fps: DataFrame, count: int, most: int = MOST_BITS) -> DataFrame:
+    """Links ``u``, ``v`` whose components are those of all pairs at ``most`` or fewer bits.
+
+    ``fps`` is staged and holds ``count`` distinct fingerprints.
+    """
     links = None
-    for depth, going in visits(fps, most):
+    for depth, going in visits(fps, count, most):
         held = fps.select(front(F.col("fp"), depth).alias("node"), "fp", F.lit(-1).alias("spent"))
         held = held.join(going.select("node").distinct(), "node", "left_semi")
 
@@ -240,8 +243,8 @@ def near_groups(
     ``doc_id``, NULL only if none of its rows has one.
     """
     marked = stage(fingerprints(docs, doc_id, text, shingle), "simhash")
-    first = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(near_links(first.select("fp"), most), "simhash-links")
+    first, count = stage_counted(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    roots = components(near_links(first.select("fp"), count, most), "simhash-links")
     rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = rooted.join(least, "root").select("fp", "component_id")
