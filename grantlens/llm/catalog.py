@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.llm import ann, bpe, exact, packing, quality, simhash, suffix, warc
+from grantlens.llm import ann, bpe, exact, licenses, packing, quality, simhash, suffix, warc
 from grantlens.llm.common import table
 from grantlens.session import shared_folder, stage
 
@@ -117,3 +117,8 @@ def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 def nearest(spark: SparkSession, folder: str) -> DataFrame:
     """Approximate neighbours of every hundredth vector; tests measure recall against brute force."""
     return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op2_license_scan", licenses.check_sql(licenses.NOTICES))
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
