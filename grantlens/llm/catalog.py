@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.llm import ann, bpe, exact, licenses, packing, quality, simhash, suffix, warc
+from grantlens.llm import ann, bpe, exact, licenses, lines, packing, quality, simhash, suffix, warc
 from grantlens.llm.common import table
 from grantlens.session import shared_folder, stage
 
@@ -122,3 +122,9 @@ def nearest(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_license_scan", licenses.check_sql(licenses.NOTICES))
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
+
+
+@query("op4_line_dedup")
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines to drop per document; classes are transitive, so tests compare with brute force."""
+    return lines.dedup_lines(table(spark, folder, "documents"))
