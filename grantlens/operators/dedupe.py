@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantlens.operators import skew
 from grantlens.operators.numbering import ordered
-from grantlens.session import shared_folder, stage_counted
-
-
-# Live keys that one task may finish: a fixed number, some megabytes, whatever the data size.
-FINISH_ROWS = 50_000
+from grantlens.session import stage_counted, stage_observed, staged_folder
 
 
 def _key(c: Column) -> Column:
@@ -33,95 +27,126 @@ def _keys(rows: DataFrame, project: str, core: str, order_by: Sequence[str]) ->
     return rows.select(*order_by, _key(F.col(project)).alias("p"), _key(checked).alias("c"))
 
 
-def _first_per_round(live: DataFrame) -> DataFrame:
-    """Live rows that come first for both of their keys. These are kept for certain."""
-    first_of_project = live.groupBy("p").agg(F.min("ord").alias("ord"))
-    first_of_core = live.groupBy("c").agg(F.min("ord").alias("ord"))
-    return first_of_project.join(first_of_core, "ord")
+def _earlier(live: DataFrame, key: str, hot: list) -> DataFrame:
+    """``live`` with the rows before each one that share ``key``.
+
+    Adds ``<key>_n`` (0, 1 or 2 for more) and, where it is 1, ``<key>_up``: that row's place.
+    The least and the second least place of a key tell; both are partial aggregates.
+    """
+    least, second, count, up = f"{key}_least", f"{key}_second", f"{key}_n", f"{key}_up"
+    spread = F.col("ord")
+    first = live.groupBy(key).agg(F.min("ord").alias(least))
+    known = skew.salted_join(live, first, key, "inner", hot, spread)
+    after = known.filter(F.col("ord") > F.col(least)).groupBy(key).agg(F.min("ord").alias(second))
+    both = skew.salted_join(known, after, key, "left", hot, spread)
+    before = F.when(F.col("ord") == F.col(least), 0).when(F.col("ord") == F.col(second), 1).otherwise(2)
+    return both.withColumns({count: before, up: F.when(before == 1, F.col(least))}).drop(least, second)
+
+
+def _twice(chains: DataFrame) -> DataFrame:
+    """Chains that reach from each row to where the row they pointed at pointed."""
+    known = chains.select(F.col("ord").alias("up"), F.col("up").alias("further"), F.col("odd").alias("also_odd"))
+    found = F.col("further").isNotNull()
+    return chains.join(known, "up", "left").select(
+        "ord",
+        F.when(found, F.col("further")).otherwise(F.col("up")).alias("up"),
+        F.when(found, F.col("odd") != F.col("also_odd")).otherwise(F.col("odd")).alias("odd"),
+        found.alias("open"),
+    )
 
 
-def _in_order():
-    """The rule read off row by row, for a few rows in order.
+def _follow(single: DataFrame) -> DataFrame:
+    """The row that ends each chain of rows with one row before them, and whether it is an odd number of steps away.
 
-    An inner function travels to the workers whole; they need not have this package.
+    Each table written reaches four times as far as the last, so a chain of n rows needs log4(n).
     """
+    chains, is_open = single.select("ord", "up", F.lit(True).alias("odd")), True
+    while is_open:
+        chains, seen = stage_observed(_twice(_twice(chains)), "chains", open=F.count_if("open"))
+        is_open = bool(seen["open"])
+    return chains.select("ord", "up", "odd")
 
-    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        projects: set[str] = set()
-        cores: set[str] = set()
-        for batch in batches:
-            chosen = []
-            for place, (p, c) in enumerate(zip(batch["p"], batch["c"])):
-                if p not in projects and c not in cores:
-                    projects.add(p)
-                    cores.add(c)
-                    chosen.append(place)
-            yield batch.iloc[chosen]
 
-    return keep
+def kept_pairs(slim: DataFrame, hot_p: list, hot_c: list) -> tuple[DataFrame, int]:
+    """The pairs ``(ord, p, c)`` that a first-wins reading keeps, and the rounds it took.
+
+    A row with no row before it under either key is kept. One with a single such row has the
+    opposite fate; these rows form trees, which are settled by doubling steps. All rows that
+    share a key with a kept one then go, and the next round begins. The first live row is
+    kept in each round, so the rounds end; every table is written to the shared folder.
+    """
+    spark = slim.sparkSession
+    folder = staged_folder(spark, "two-key")
+    schema = "ord bigint, p string, c string"
+    live, n_live = stage_counted(slim.groupBy("p", "c").agg(F.min("ord").alias("ord")), "pairs")
+    kept = spark.createDataFrame([], schema)
+    spread, turn = F.col("ord"), 0
+    while n_live:
+        marked = _earlier(_earlier(live, "p", hot_p), "c", hot_c)
+        single = F.col("p_n") + F.col("c_n") == 1
+        marked, seen = stage_observed(
+            marked.select(
+                "ord", "p", "c",
+                (F.col("p_n") + F.col("c_n") == 0).alias("is_first"),
+                F.when(single, F.coalesce("p_up", "c_up")).alias("up"),
+            ),
+            "marked",
+            single=F.count("up"),
+        )
+        now = firsts = marked.filter("is_first").select("ord", "p", "c")
+        if seen["single"]:
+            even = _follow(marked.filter("up is not null")).filter("not odd")
+            even = even.join(firsts.select(F.col("ord").alias("up")), "up", "left_semi")
+            now = firsts.unionByName(marked.select("ord", "p", "c").join(even.select("ord"), "ord", "left_semi"))
+        now.write.parquet(f"{folder}/round={turn}")
+        now = spark.read.schema(schema).parquet(f"{folder}/round={turn}")
+        left = skew.salted_join(live, now.select("p"), "p", "left_anti", hot_p, spread)
+        left = skew.salted_join(left, now.select("c"), "c", "left_anti", hot_c, spread)
+        live, n_live = stage_counted(left.select("p", "c", "ord"), "live")
+        turn += 1
+    if turn:
+        kept = spark.read.schema(schema).parquet(folder)
+    return kept.select("ord", "p", "c"), turn
 
 
 def two_key_status(
-    rows: DataFrame,
-    project: str,
-    core: str,
-    order_by: Sequence[str],
-    finish_rows: int = FINISH_ROWS,
-    hot_min_rows: int = skew.HOT_MIN_ROWS,
+    rows: DataFrame, project: str, core: str, order_by: Sequence[str], row_id: str | None = None
 ) -> DataFrame:
-    """``keep``, ``project`` or ``core`` per row, as ``(*order_by, status)``.
+    """``keep``, ``project`` or ``core`` per row, as ``(*order_by, status)`` or ``(row_id, status)``.
 
     Reading in order, a row is dropped as ``project`` when a kept row before it has its
     project key, else as ``core`` when one has its core key. Only kept rows claim keys,
-    so a dropped row never blocks another.
-
-    Each round keeps the live rows that come first for both keys and removes all rows
-    sharing a key with them. Repeats of a key pair are merged beforehand, and
-    the first live row is always kept, so the rounds end. Once at most ``finish_rows``
-    are live (0 for never) they share no key with a kept row and are finished in
-    order by one task. Every round's tables are written to the shared folder.
+    so a dropped row never blocks another. Repeats of a key pair are merged beforehand, and
+    keys with more rows than a mean partition are salted in every join.
     """
-    spark = rows.sparkSession
-    folder = f"{shared_folder(spark)}/two-key-{uuid.uuid4().hex}"
-    slim, total = stage_counted(ordered(_keys(rows, project, core, order_by), order_by), "keys")
-    hot_p = skew.hot_values(skew.key_counts(slim, "p"), "p", total, min_rows=hot_min_rows)
-    hot_c = skew.hot_values(skew.key_counts(slim, "c"), "c", total, min_rows=hot_min_rows)
-    live, n_live = stage_counted(slim.groupBy("p", "c").agg(F.min("ord").alias("ord")), "pairs")
-    kept_schema = "ord bigint, p string, c string"
-
-    turn = 0
-    while n_live > finish_rows:
-        kept_path = f"{folder}/kept/round={turn}"
-        _first_per_round(live).select("ord", "p", "c").write.parquet(kept_path)
-        kept = spark.read.schema(kept_schema).parquet(kept_path)
-        spread = F.col("ord")
-        left = skew.salted_join(live, kept.select("p"), "p", "left_anti", hot_p, spread)
-        left = skew.salted_join(left, kept.select("c"), "c", "left_anti", hot_c, spread)
-        seen = Observation()
-        live_path = f"{folder}/live/round={turn}"
-        left.select("p", "c", "ord").observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(live_path)
-        live = spark.read.schema("p string, c string, ord bigint").parquet(live_path)
-        n_live = seen.get["n"]
-        turn += 1
-    rest = live.select("ord", "p", "c").repartition(1).sortWithinPartitions("ord")
-    rest.mapInPandas(_in_order(), kept_schema).write.parquet(f"{folder}/kept/round={turn}")
-
-    kept = spark.read.schema(kept_schema).parquet(f"{folder}/kept").select("p", F.col("ord").alias("kept_ord"))
-    labelled = skew.salted_join(slim, kept, "p", "left", hot_p, F.col("ord"))
+    carried = [row_id] if row_id else list(order_by)
+    slim, total = stage_counted(ordered(_keys(rows, project, core, [*order_by, *([row_id] if row_id else [])]), order_by), "keys")
+    hot_p = skew.hot_values(skew.key_counts(slim, "p"), "p", total)
+    hot_c = skew.hot_values(skew.key_counts(slim, "c"), "c", total)
+    kept, _ = kept_pairs(slim, hot_p, hot_c)
+    labelled = skew.salted_join(slim, kept.select("p", F.col("ord").alias("kept_ord")), "p", "left", hot_p, F.col("ord"))
     status = (
         F.when(F.col("kept_ord") == F.col("ord"), "keep")
         .when(F.col("kept_ord") < F.col("ord"), "project")
         .otherwise("core")
     )
-    return labelled.select(*order_by, status.alias("status"))
+    return labelled.select(*carried, status.alias("status"))
+
+
+def _joined(rows: DataFrame, fates: DataFrame, order_by: Sequence[str], row_id: str | None, how: str = "inner") -> DataFrame:
+    """Fates joined to the rows, on ``row_id`` where there is one: a single number."""
+    return rows.join(fates, row_id, how) if row_id else skew.null_safe_join(rows, fates, order_by, how)
 
 
 def two_key_label(
-    rows: DataFrame, project: str, core: str, order_by: Sequence[str], **options: object
+    rows: DataFrame, project: str, core: str, order_by: Sequence[str], row_id: str | None = None
 ) -> DataFrame:
-    """All columns of ``rows`` with ``skipped_project`` and ``skipped_core``."""
-    status = two_key_status(rows, project, core, order_by, **options)
-    return skew.null_safe_join(rows, status, order_by).select(
+    """All columns of ``rows`` with ``skipped_project`` and ``skipped_core``.
+
+    ``row_id`` names a column that is unique and written, if there is one.
+    """
+    status = two_key_status(rows, project, core, order_by, row_id)
+    return _joined(rows, status, order_by, row_id).select(
         *rows.columns,
         (F.col("status") == "project").alias("skipped_project"),
         (F.col("status") == "core").alias("skipped_core"),
@@ -129,56 +154,67 @@ def two_key_label(
 
 
 def two_key_dedupe(
-    rows: DataFrame, project: str, core: str, order_by: Sequence[str], **options: object
+    rows: DataFrame, project: str, core: str, order_by: Sequence[str], row_id: str | None = None
 ) -> DataFrame:
     """The rows a first-wins reading keeps."""
-    status = two_key_status(rows, project, core, order_by, **options)
-    return skew.null_safe_join(rows, status.filter("status = 'keep'"), order_by, "left_semi")
+    status = two_key_status(rows, project, core, order_by, row_id)
+    return _joined(rows, status.filter("status = 'keep'"), order_by, row_id, "left_semi")
 
 
 def two_key_flag(
-    rows: DataFrame, project: str, core: str, order_by: Sequence[str], hot_min_rows: int = skew.HOT_MIN_ROWS
+    rows: DataFrame, project: str, core: str, order_by: Sequence[str], row_id: str | None = None
 ) -> DataFrame:
     """All rows kept and every key claimed: which rows repeat a key seen before.
 
     A row may be both ``skipped_project`` and ``skipped_core``.
     """
-    slim, total = stage_counted(ordered(_keys(rows, project, core, order_by), order_by), "keys")
+    carried = [row_id] if row_id else list(order_by)
+    slim, total = stage_counted(ordered(_keys(rows, project, core, [*order_by, *([row_id] if row_id else [])]), order_by), "keys")
     flagged = slim
     for key in ("p", "c"):
         firsts = slim.groupBy(key).agg(F.min("ord").alias(f"first_{key}"), F.count(F.lit(1)).alias("n"))
-        hot = skew.hot_values(firsts, key, total, min_rows=hot_min_rows)
+        hot = skew.hot_values(firsts, key, total)
         flagged = skew.salted_join(flagged, firsts.drop("n"), key, "inner", hot, F.col("ord"))
     flags = flagged.select(
-        *order_by,
+        *carried,
         (F.col("ord") > F.col("first_p")).alias("skipped_project"),
         (F.col("ord") > F.col("first_c")).alias("skipped_core"),
     )
-    return skew.null_safe_join(rows, flags, order_by)
+    return _joined(rows, flags, order_by, row_id).select(*rows.columns, "skipped_project", "skipped_core")
+
+
+def latest(rows: DataFrame, key: str, order_by: str | Sequence[str]) -> DataFrame:
+    """The row with the greatest ``order_by`` per key.
+
+    The greatest place per key is found on slim rows and joined back, so the wide columns
+    are neither sorted nor merged. Of rows alike in key and order one is taken.
+    """
+    return _extreme(rows, key, order_by, F.max)
 
 
-def latest(rows: DataFrame, key: str, order_by: str) -> DataFrame:
-    """The row with the greatest ``order_by`` per key, merged before the shuffle."""
-    others = [name for name in rows.columns if name != key]
-    best = F.max_by(F.struct(*others), F.col(order_by))
-    return rows.groupBy(key).agg(best.alias("_row")).select(key, "_row.*").select(*rows.columns)
+def first_per_key(rows: DataFrame, key: str, order_by: str | Sequence[str]) -> DataFrame:
+    """The row with the least ``order_by`` per key."""
+    return _extreme(rows, key, order_by, F.min)
 
 
-def first_per_key(rows: DataFrame, key: str, order_by: str) -> DataFrame:
-    """The row with the least ``order_by`` per key, merged before the shuffle."""
-    others = [name for name in rows.columns if name != key]
-    best = F.min_by(F.struct(*others), F.col(order_by))
-    return rows.groupBy(key).agg(best.alias("_row")).select(key, "_row.*").select(*rows.columns)
+def _extreme(rows: DataFrame, key: str, order_by: str | Sequence[str], pick) -> DataFrame:
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    best = rows.groupBy(key).agg(pick(place).alias("_best")).withColumnRenamed(key, "_key")
+    same = F.col(key).eqNullSafe(F.col("_key")) & place.eqNullSafe(F.col("_best"))
+    tied = Window.partitionBy(key).orderBy(*order)
+    found = rows.join(best, same).withColumn("_nth", F.row_number().over(tied))
+    return found.filter("_nth = 1").select(*rows.columns)
 
 
-def upsert(store: DataFrame, incoming: DataFrame, key: str, order_by: str) -> DataFrame:
+def upsert(store: DataFrame, incoming: DataFrame, key: str, order_by: str | Sequence[str]) -> DataFrame:
     """The store with incoming rows put in place of those with the same key.
 
-    Of several incoming rows with one key the last by ``order_by`` wins. The store,
+    Of several incoming rows with one key the last by ``order_by`` (one column or several) wins. The store,
     unique in ``key``, is only anti-joined, so it is not shuffled where the incoming
     keys are few enough for AQE to broadcast.
     """
-    newest = latest(incoming, key, order_by).drop(order_by)
+    newest = latest(incoming, key, order_by)
     kept = store.join(incoming.select(key).distinct(), key, "left_anti")
     return kept.select(*store.columns).unionByName(newest.select(*store.columns))
 

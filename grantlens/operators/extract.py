@@ -80,14 +80,15 @@ def convert(pages: DataFrame, skip_duplicates: bool = True) -> DataFrame:
     ``skip_duplicates`` off, duplicates are flagged but written all the same.
     Records are parsed once: the flat rows are staged, and the rounds read only keys.
     """
-    rows = stage(extract_projects(flatten_results(pages)), "grant-rows")
+    flat = extract_projects(flatten_results(pages)).withColumn("row_id", F.monotonically_increasing_id())
+    rows = stage(flat, "grant-rows")  # from here on a row's number stands
     records = rows.filter("is_record")
     label = two_key_label if skip_duplicates else two_key_flag
-    labelled = label(records, "project_num", "core_project_num", list(PAGE_ORDER))
+    labelled = label(records, "project_num", "core_project_num", list(PAGE_ORDER), "row_id")
     no_record = rows.filter(~F.col("is_record")).withColumns(
         {"skipped_project": F.lit(False), "skipped_core": F.lit(False)}
     )
-    fates = labelled.unionByName(no_record)
+    fates = labelled.unionByName(no_record).drop("row_id")
     kept = F.lit(True) if not skip_duplicates else ~F.col("skipped_project") & ~F.col("skipped_core")
     return fates.withColumn("written", F.col("is_record") & ~F.col("is_bad") & kept)
 

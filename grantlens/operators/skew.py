@@ -9,8 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.005
-HOT_MIN_ROWS = 1_000_000
 MIN_SALTS = 64
 
 
@@ -21,16 +19,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"_right_{key}" for key in keys])
 
 
-def hot_values(counts: DataFrame, key: str, total: int, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS) -> list:
-    """The keys that hold at least ``share`` of ``total`` rows.
+def hot_values(counts: DataFrame, key: str, total: int) -> list:
+    """The keys with more rows than a mean shuffle partition, of ``total`` rows in all.
 
-    ``counts`` has a key and ``n`` per row. At most ``1 / share`` keys can qualify,
-    so the list on the driver is bounded whatever the data size. Below ``min_rows``
-    in total no key can be too big for one task and nothing is computed.
+    ``counts`` has a key and ``n`` per row. There are fewer such keys than partitions,
+    whatever the data size.
     """
-    if total < min_rows:
-        return []
-    return [row[key] for row in counts.filter(F.col("n") >= total * share).select(key).collect()]
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [row[key] for row in counts.filter(F.col("n") * parts > total).select(key).collect()]
 
 
 def key_counts(rows: DataFrame, key: str) -> DataFrame:

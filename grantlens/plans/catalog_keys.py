@@ -34,13 +34,25 @@ def two_key_status(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def two_key_status_few_cores(spark: SparkSession, folder: str) -> DataFrame:
-    """D1 with few, large core groups, in rounds to the last row."""
-    return dedupe.two_key_status(_lines(spark, folder), "l_orderkey", "l_suppkey", ORDER, finish_rows=0)
+    """D1 with few, large core groups."""
+    return dedupe.two_key_status(_lines(spark, folder), "l_orderkey", "l_suppkey", ORDER)
+
+
+def _hot(rows: DataFrame) -> DataFrame:
+    """Line keys of which one project has every second line and one core every third."""
+    project = F.when(F.col("l_orderkey") % 2 == 0, "hot").otherwise(F.concat(F.lit("p"), "l_orderkey"))
+    core = F.when(F.col("l_partkey") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), "l_partkey"))
+    return rows.select(*ORDER, project.alias("project"), core.alias("core"))
+
+
+def two_key_status_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """D1 with keys so common that their joins are salted."""
+    return dedupe.two_key_status(_hot(_lines(spark, folder)), "project", "core", ORDER)
 
 
 def two_key_dedupe_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    """D1 with missing and empty keys: the kept rows. Rounds go on for long."""
-    return dedupe.two_key_dedupe(_gappy(_lines(spark, folder)), "project", "core", ORDER, finish_rows=1_000)
+    """D1 with missing and empty keys: the kept rows."""
+    return dedupe.two_key_dedupe(_gappy(_lines(spark, folder)), "project", "core", ORDER)
 
 
 def two_key_flag(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,8 +67,8 @@ def upsert(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("C"), "c_custkey", F.lit("-1")).alias("core_project_num"),
         F.to_json(F.struct(F.lit("old").alias("project_num"))).alias("metadata"),
     )
-    incoming = responses.grant_rows(inputs.grant_responses(spark, folder), carry=["seq"]).drop("pos")
-    merged = dedupe.upsert(store, incoming, "core_project_num", "seq")
+    incoming = responses.grant_rows(inputs.grant_responses(spark, folder), carry=["seq"])
+    merged = dedupe.upsert(store, incoming, "core_project_num", ["seq", "pos"])
     v = variants.parse(F.col("metadata"))
     return merged.select(
         "core_project_num", variants.text(v, "$.project_num").alias("project_num"),
@@ -130,6 +142,7 @@ def number_groups(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "d1_two_key_status": two_key_status,
     "d1_two_key_status_few_cores": two_key_status_few_cores,
+    "d1_two_key_status_hot": two_key_status_hot,
     "d1_two_key_dedupe_gaps": two_key_dedupe_gaps,
     "d1b_two_key_flag": two_key_flag,
     "d2_upsert": upsert,
@@ -161,6 +174,11 @@ SELECT {_ORDER}, status FROM placed JOIN fates USING (ord)"""
 ORACLES = {
     "d1_two_key_status": _status("l_partkey"),
     "d1_two_key_status_few_cores": _status("l_suppkey"),
+    "d1_two_key_status_hot": f"""WITH {_LINES},
+hot AS (SELECT *, CASE WHEN l_orderkey % 2 = 0 THEN 'hot' ELSE 'p' || l_orderkey END AS project,
+  CASE WHEN l_partkey % 3 = 0 THEN 'hot' ELSE 'c' || l_partkey END AS core FROM lines),
+{oracle.slim_keys('hot', _ORDER, 'project', 'core')}, {oracle.two_key_rounds()}
+SELECT {_ORDER}, status FROM placed JOIN fates USING (ord)""",
     "d1_two_key_dedupe_gaps": f"""WITH {_GAPPY}, {oracle.slim_keys('gappy', _ORDER, 'project', 'core')}, {oracle.two_key_rounds()}
 SELECT {_ORDER}, project, core FROM placed JOIN fates USING (ord) WHERE status = 'keep'""",
     "d1b_two_key_flag": f"""WITH {_GAPPY}, {oracle.slim_keys('gappy', _ORDER, 'project', 'core')}

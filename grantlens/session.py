@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,20 +29,44 @@ def build_session(app_name: str = "grantlens", master: str | None = None, **conf
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """This application's folder below ``spark.checkpoint.dir``.
 
-    Where it is unset, a temporary folder is made for a local master only: on a
-    cluster no machine-local folder is visible to all executors.
+    Where that is unset the folder is below ``spark.sql.warehouse.dir``, which all executors
+    of a cluster share as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="grantlens-"))
-    return context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def staged_folder(spark: SparkSession, label: str) -> str:
+    """A new folder for one table, noted for :func:`drop_staged`."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for flow in _FLOWS.get():
+        flow.append(path)
+    return path
+
+
+#: Tables staged by the flows that are open, innermost last.
+_FLOWS: ContextVar[tuple[list[str], ...]] = ContextVar("flows", default=())
+
+
+@contextmanager
+def staging() -> Iterator[list[str]]:
+    """Collects what is staged inside, so that it can be dropped once the result is written."""
+    paths: list[str] = []
+    token = _FLOWS.set((*_FLOWS.get(), paths))
+    try:
+        yield paths
+    finally:
+        _FLOWS.reset(token)
+
+
+def drop_staged(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Remove tables noted by :func:`staging`; nothing may read them any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -49,14 +75,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Unlike a cached block the table outlives any executor, and its columns can be
     pruned when it is read again.
     """
-    staged, _ = stage_counted(df, label)
+    staged, _ = stage_observed(df, label)
     return staged
 
 
 def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Like :func:`stage`, with the row count taken during the write."""
+    staged, seen = stage_observed(df, label, rows=F.count(F.lit(1)))
+    return staged, seen["rows"]
+
+
+def stage_observed(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """Like :func:`stage`, with aggregates taken during the write."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = staged_folder(spark, label)
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+    watched = df.observe(seen, *[value.alias(name) for name, value in figures.items()]) if figures else df
+    watched.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get if figures else {}

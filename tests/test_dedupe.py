@@ -42,7 +42,6 @@ def fates_of(spark, rows, **options):
 )
 def test_two_key_status(spark, rows, expected):
     assert fates_of(spark, rows) == expected == first_wins(rows)
-    assert fates_of(spark, rows, finish_rows=0) == expected
 
 
 keys = st.sampled_from([None, "", "a", "b", "c", "d", "e", "f"])
@@ -51,19 +50,31 @@ keys = st.sampled_from([None, "", "a", "b", "c", "d", "e", "f"])
 @settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(keys, keys), min_size=1, max_size=60))
 def test_two_key_status_equals_reading_in_order(spark, rows):
-    assert fates_of(spark, rows, finish_rows=0) == first_wins(rows)
     assert fates_of(spark, rows) == first_wins(rows)
 
 
 def test_two_key_status_with_a_hot_project_and_a_hot_core(spark):
     rows = [("hot" if i % 3 == 0 else f"p{i % 50}", "HOT" if i % 3 == 1 else f"c{i % 40}") for i in range(600)]
-    assert fates_of(spark, rows, finish_rows=0, hot_min_rows=1) == first_wins(rows)
+    assert fates_of(spark, rows) == first_wins(rows)
 
 
 def test_two_key_status_on_a_chain(spark):
-    """Each row shares a key with the one before, so every round settles one pair."""
-    rows = [(f"p{(i + 1) // 2}", f"c{i // 2}") for i in range(12)]
-    assert fates_of(spark, rows, finish_rows=0) == first_wins(rows)
+    """Each row shares a key with the one before; doubling settles them in a few rounds."""
+    frame = spark.range(100_000).select(
+        F.col("id").alias("ord"), F.floor((F.col("id") + 1) / 2).cast("string").alias("p"), F.floor(F.col("id") / 2).cast("string").alias("c")
+    )
+    kept, rounds = dedupe.kept_pairs(frame, [], [])
+    assert rounds <= 3
+    assert kept.count() == 50_000 and kept.filter("ord % 2 = 1").isEmpty()
+
+
+def test_two_key_status_over_the_table(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    rows = sorted(map(tuple, lines.distinct().collect()))
+    status = dedupe.two_key_status(lines.distinct(), "l_orderkey", "l_suppkey", order).collect()
+    expected = first_wins([(str(row[0]), str(row[3])) for row in rows])
+    assert [row["status"] for row in sorted(status)] == expected
 
 
 def test_nothing_to_dedupe(spark):
@@ -85,9 +96,8 @@ def test_two_key_label_and_flag(spark):
     frame = spark.createDataFrame([(0, "p1", "A"), (1, "p1", "A"), (2, "p2", "A")], SCHEMA)
     labelled = dedupe.two_key_label(frame, "p", "c", ["i"]).orderBy("i").collect()
     assert [(r["skipped_project"], r["skipped_core"]) for r in labelled] == [(False, False), (True, False), (False, True)]
-    for options in ({}, {"hot_min_rows": 1}):
-        flagged = dedupe.two_key_flag(frame, "p", "c", ["i"], **options).orderBy("i").collect()
-        assert [(r["skipped_project"], r["skipped_core"]) for r in flagged] == [(False, False), (True, True), (False, True)]
+    flagged = dedupe.two_key_flag(frame, "p", "c", ["i"]).orderBy("i").collect()
+    assert [(r["skipped_project"], r["skipped_core"]) for r in flagged] == [(False, False), (True, True), (False, True)]
 
 
 def test_upsert(spark):
@@ -95,6 +105,8 @@ def test_upsert(spark):
     incoming = spark.createDataFrame([("A", 1, 1), ("A", 2, 2), ("C", 3, 0)], "k string, v int, seq int")
     merged = dedupe.upsert(store, incoming, "k", "seq")
     assert sorted(map(tuple, merged.collect())) == [("A", 2), ("B", 0), ("C", 3)]
+    many = spark.createDataFrame([("A", 1, 1, 0), ("A", 2, 1, 1), ("A", 3, 0, 5)], "k string, v int, seq int, pos int")
+    assert ("A", 2) in set(map(tuple, dedupe.upsert(store, many, "k", ["seq", "pos"]).collect()))
     again = dedupe.upsert(merged, incoming, "k", "seq")
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, merged.collect()))
 
@@ -128,9 +140,7 @@ def test_salted_join_equals_plain_join(spark, how):
 
 def test_hot_values(spark):
     rows = spark.range(100).select(F.when(F.col("id") < 40, 0).otherwise(F.col("id")).alias("k"))
-    counts = skew.key_counts(rows, "k")
-    assert skew.hot_values(counts, "k", 100, share=0.3, min_rows=1) == [0]
-    assert skew.hot_values(counts, "k", 100, share=0.3, min_rows=1000) == []
+    assert skew.hot_values(skew.key_counts(rows, "k"), "k", 100) == [0]  # of four partitions
 
 
 def test_number_rows_with_one_huge_group(spark):
