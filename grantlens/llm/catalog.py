@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from grantlens.llm import ann, bpe, exact, licenses, lines, packing, quality, simhash, suffix, warc
 from grantlens.llm.common import table
-from grantlens.session import shared_folder, stage
+from grantlens.session import stage, staged_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,7 +107,7 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    archive = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    archive = staged_folder(spark, "warc")
     manifest = warc.write_archive(table(spark, folder, "pages"), archive)
     return warc.read_archive(manifest, archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 

@@ -113,6 +113,12 @@ def deep_shallow(groups: np.ndarray, strings: list[bytes], shallow: int) -> tupl
     words[:, 0] = group.view(np.uint64)
     words[:, 1:] = np.ascontiguousarray(heads).view(">u8")
     order, equal = multikey_quicksort(words)
+    deep = []
+    for low, high in equal:
+        members = order[low:high].tolist()
+        inner, prefixes = blind_trie([own[k] for k in members], shallow)
+        order[low:high] = [members[k] for k in inner]
+        deep.append((low + 1, high, prefixes[1:]))
     lengths = np.fromiter(map(len, own), np.int64, len(own))
     shared = np.full(len(own), -1, np.int64)
     if len(own) > 1:
@@ -120,11 +126,8 @@ def deep_shallow(groups: np.ndarray, strings: list[bytes], shallow: int) -> tupl
         apart = heads[a] != heads[b]
         first = np.where(apart.any(axis=1), apart.argmax(axis=1), shallow)
         shared[1:] = np.where(group[a] == group[b], np.minimum(first, np.minimum(lengths[a], lengths[b])), -1)
-    for low, high in equal:
-        members = order[low:high].tolist()
-        inner, prefixes = blind_trie([own[k] for k in members], shallow)
-        order[low:high] = [members[k] for k in inner]
-        shared[low + 1 : high] = prefixes[1:]
+    for low, high, prefixes in deep:
+        shared[low:high] = prefixes
     place = np.empty(len(own), np.int64)
     place[order] = np.arange(len(own))
     whole = np.argsort(place[of], kind="stable")
