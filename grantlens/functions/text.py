@@ -27,7 +27,8 @@ CATEGORY_PALETTE = (
 DATE_SHAPES = (
     (r"^\d{4} [A-Za-z]{3} \d{1,2}$", "yyyy MMM d"),
     (r"^\d{4} [A-Za-z]{3}$", "yyyy MMM"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{2}:\d{2}:\d{2}$", "yyyy-M-d'T'HH:mm:ss"),
+    (r"^\d{4} [A-Za-z]{4,} \d{1,2}$", "yyyy MMMM d"),
+    (r"^\d{4} [A-Za-z]{4,}$", "yyyy MMMM"),
     (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
     (r"^\d{4}-\d{1,2}$", "yyyy-M"),
     (r"^\d{4}$", "yyyy"),
@@ -35,6 +36,11 @@ DATE_SHAPES = (
     (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
 )
 
+# A time after the day, with or without fraction and zone; the start of a month range; a leading year.
+TIME_OF_DAY = r"T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
+RANGE_START = r"^(\d{4} [A-Za-z]{3})(?:[^A-Za-z]|$)"
+YEAR_START = r"^(\d{4})(?: |$)"
+
 # Dates given to rows that have none, or none that parses.
 DATE_IF_EMPTY = "1900-01-01"
 DATE_IF_UNPARSABLE = "2020-01-01"
@@ -78,14 +84,18 @@ def year_start(year: Column) -> Column:
 def parse_date(c: Column, fiscal_year: Column | None = None) -> Column:
     """Text in one of ``DATE_SHAPES`` as ``yyyy-MM-dd``.
 
-    Partial dates take the first day of their period. Empty and unparsable texts
+    A time of day is left out. Partial dates take the first day of their period, and so do month
+    ranges and seasons: of their leading year and, if it is given, month. Empty and unparsable texts
     take 1 January of ``fiscal_year`` where it is given, else a fixed date. The
     shape is tested first, so the parser never has to fail on the other patterns.
     """
-    text = F.trim(c)
+    text = F.regexp_replace(F.trim(c), TIME_OF_DAY, "")
     parsed = F.lit(None).cast("date")
     for shape, pattern in reversed(DATE_SHAPES):
         parsed = F.when(text.rlike(shape), F.try_to_date(text, pattern)).otherwise(parsed)
+    in_month = F.try_to_date(F.nullif(F.regexp_extract(text, RANGE_START, 1), F.lit("")), "yyyy MMM")
+    in_year = F.try_to_date(F.nullif(F.regexp_extract(text, YEAR_START, 1), F.lit("")), "yyyy")
+    parsed = F.coalesce(parsed, in_month, in_year)
     year = F.lit(None).cast("string") if fiscal_year is None else year_start(F.nullif(fiscal_year, F.lit(0)))
     fallback = F.when(F.coalesce(c, F.lit("")) == "", F.lit(DATE_IF_EMPTY)).otherwise(F.lit(DATE_IF_UNPARSABLE))
     return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), year, fallback)

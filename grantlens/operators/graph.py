@@ -16,7 +16,6 @@ from grantlens.operators.numbering import number_rows
 
 GRANT_PAPER = "grant-paper"
 AUTHOR_PAPER = "author-paper"
-PAPERS_PER_PART = 1000
 
 
 def explode_authors(papers: DataFrame) -> DataFrame:
@@ -77,25 +76,18 @@ def paper_nodes(papers: DataFrame) -> DataFrame:
     )
 
 
-def author_papers(papers: DataFrame, part_size: int = PAPERS_PER_PART) -> DataFrame:
-    """``(name, part, papers)``: each author's pmids in ascending order, repeats kept.
+def author_papers(papers: DataFrame) -> DataFrame:
+    """``(name, nth, pmid)``: each author's papers, numbered from 1 in ascending order, repeats kept.
 
-    A list longer than ``part_size`` continues in further parts, so no task gathers
-    one author's whole output however many papers bear the name.
+    One row per paper, so no task gathers an author's whole output however many bear the name.
     """
-    numbered = number_rows(explode_authors(papers), ["pmid", "pos"], ["name"], "nth")
-    part = F.floor((F.col("nth") - 1) / F.lit(part_size)).cast("int")
-    return (
-        numbered.groupBy("name", part.alias("part"))
-        .agg(F.array_sort(F.collect_list("pmid")).alias("papers"))
-    )
+    return number_rows(explode_authors(papers), ["pmid", "pos"], ["name"], "nth").select("name", "nth", "pmid")
 
 
-def author_nodes(papers: DataFrame, part_size: int = PAPERS_PER_PART) -> DataFrame:
-    """Author nodes by name; see :func:`author_papers` for ``part``."""
-    return author_papers(papers, part_size).select(
-        F.col("name").alias("id"), F.lit("author").alias("type"), "name", "part", "papers"
-    )
+def author_nodes(papers: DataFrame) -> DataFrame:
+    """One node per author name with its number of papers; :func:`author_papers` lists them."""
+    counts = explode_authors(papers).groupBy("name").agg(F.count(F.lit(1)).alias("n_papers"))
+    return counts.select(F.col("name").alias("id"), F.lit("author").alias("type"), "name", "n_papers")
 
 
 def author_first_papers(papers: DataFrame) -> DataFrame:
@@ -140,8 +132,8 @@ def network_stats(grants: DataFrame, papers: DataFrame, links: DataFrame) -> Dat
 
 
 def node_counts(nodes: dict[str, DataFrame]) -> DataFrame:
-    """``(type, n)`` over node tables; an author counts once whatever its parts."""
-    kinds = [table.filter("part = 0") if "part" in table.columns else table for table in nodes.values()]
+    """``(type, n)`` over node tables."""
+    kinds = list(nodes.values())
     union = kinds[0].select("type")
     for kind in kinds[1:]:
         union = union.unionByName(kind.select("type"))
@@ -158,29 +150,34 @@ def build_network(grants: DataFrame, papers: DataFrame, links: DataFrame) -> dic
         "grants": grant_nodes(grants),
         "papers": paper_nodes(papers),
         "authors": author_nodes(papers),
+        "author_papers": author_papers(papers),
         "edges": all_edges(links, papers, author_id="name"),
         "stats": network_stats(grants, papers, links),
     }
 
 
 def listed_grants(grant_rows: DataFrame, grants: DataFrame, pid_column: str = "pid") -> DataFrame:
-    """The grant list left-joined to the store; list rows without a stored grant stay."""
+    """The grant list left-joined to the store; list rows without a stored grant stay.
+
+    Missing ids match nothing, so they pass by the join and cannot meet in one task.
+    """
     stored = grants.withColumnRenamed("core_project_num", pid_column)
-    return grant_rows.join(stored, pid_column, "left")
+    joined = grant_rows.filter(F.col(pid_column).isNotNull()).join(stored, pid_column, "left")
+    missing = grant_rows.filter(F.col(pid_column).isNull())
+    return joined.unionByName(missing, allowMissingColumns=True)
 
 
 def _one_per_pid(grant_rows: DataFrame, pid_column: str) -> DataFrame:
-    """Distinct, non-missing ids with their terms and categories."""
+    """Distinct, non-missing ids with the terms and categories of one row, the least of theirs."""
     def extra(name: str) -> Column:
-        return F.min(F.col(name)) if name in grant_rows.columns else F.lit(None).cast("string")
+        return (F.col(name) if name in grant_rows.columns else F.lit(None)).cast("string").alias(name)
 
+    row = F.struct(extra("pref_terms"), extra("spending_categories_desc"))
     return (
         grant_rows.filter(F.col(pid_column).isNotNull())
         .groupBy(F.col(pid_column).cast("string").alias("pid"))
-        .agg(
-            extra("pref_terms").alias("pref_terms"),
-            extra("spending_categories_desc").alias("spending_categories_desc"),
-        )
+        .agg(F.min(row).alias("row"))
+        .select("pid", "row.*")
     )
 
 

@@ -47,21 +47,24 @@ def with_citations(papers: DataFrame, citations: DataFrame | None) -> DataFrame:
 
 
 def join_coordinates(rows: DataFrame, vectors: DataFrame, item_id: str = "item_id") -> DataFrame:
-    """Rows with ``x`` and ``y``, matched by id.
+    """Rows with ``x`` and ``y``, matched one to one by id; NULL is an id like any other.
 
-    Every row must have a vector and every vector a row: the plan itself fails on the
-    first one unmatched, so no counting pass over either side is needed.
+    Ids are counted over both sides in the plan itself, which fails on the first that is not
+    once in either. Only ids take part in that; the rows meet the vectors in a plain join.
     """
-    placed = vectors.select(F.col(item_id).alias("_vector_id"), "x", "y")
-    both = F.col(item_id).isNotNull() & F.col("_vector_id").isNotNull()
+    ids = rows.select(F.col(item_id).alias("_id"), F.lit(1).alias("_row"), F.lit(0).alias("_vector")).unionByName(
+        vectors.select(F.col(item_id).alias("_id"), F.lit(0).alias("_row"), F.lit(1).alias("_vector"))
+    )
+    counts = ids.groupBy("_id").agg(F.sum("_row").alias("_row"), F.sum("_vector").alias("_vector"))
     problem = F.raise_error(
-        F.concat(
-            F.lit("rows and vectors do not match at item "),
-            F.coalesce(F.col(item_id).cast("string"), F.col("_vector_id").cast("string"), F.lit("NULL")),
-        )
+        F.concat(F.lit("rows and vectors do not match at item "), F.coalesce(F.col("_id").cast("string"), F.lit("NULL")))
     )
-    joined = rows.join(placed, F.col(item_id) == F.col("_vector_id"), "full_outer")
-    return joined.filter(F.when(both, F.lit(True)).otherwise(problem.cast("boolean"))).drop("_vector_id")
+    once = (F.col("_row") == 1) & (F.col("_vector") == 1)
+    broken = counts.filter(F.when(once, F.lit(False)).otherwise(problem.cast("boolean")))
+    placed = vectors.select(F.col(item_id).alias("_vector_id"), "x", "y")
+    joined = rows.join(placed, F.col(item_id).eqNullSafe(F.col("_vector_id"))).drop("_vector_id")
+    nothing = broken.select(*[F.lit(None).cast(kind).alias(name) for name, kind in joined.dtypes])
+    return joined.unionByName(nothing)
 
 
 def merged_points(grants: DataFrame, vectors: DataFrame, item_id: str = "item_id") -> DataFrame:

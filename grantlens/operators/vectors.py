@@ -9,11 +9,14 @@ import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-MAX_LANDMARKS = 10_000
+from grantlens.session import stage_counted
+
+#: Landmarks and rows that one task compares.
+LANDMARK_BLOCK, ROW_BLOCK = 1024, 8192
 ENCODER_BATCH = 32
 
 
@@ -63,56 +66,92 @@ def project_2d(
 ) -> DataFrame:
     """``(item_id, x, y)`` on the two main axes of the vectors, times ``scale``.
 
-    The fit aggregates a square matrix of the vector size and reads the rows twice,
-    so stage vectors that are costly to make.
+    The largest loading of each axis is positive, so the map is never mirrored. Rows without
+    a vector get NULL. The fit aggregates a square matrix of the vector size and reads the
+    rows twice, so stage vectors that are costly to make.
     """
-    prepared = rows.select(item_id, array_to_vector(F.col(vector).cast("array<double>")).alias("_vector"))
+    known = rows.filter(F.col(vector).isNotNull())
+    prepared = known.select(item_id, array_to_vector(F.col(vector).cast("array<double>")).alias("_vector"))
+    nowhere = rows.filter(F.col(vector).isNull()).select(item_id, *[F.lit(None).cast("double").alias(name) for name in ("x", "y")])
+    if known.isEmpty():
+        return nowhere
     model = PCA(k=2, inputCol="_vector", outputCol="_axes").fit(prepared)
+    loadings = model.pc.toArray()
+    signs = [1.0 if axis[abs(axis).argmax()] > 0 else -1.0 for axis in loadings.T]
     axes = vector_to_array("_axes")
-    return model.transform(prepared).select(
-        item_id, (axes[0] * F.lit(scale)).alias("x"), (axes[1] * F.lit(scale)).alias("y")
+    placed = model.transform(prepared).select(
+        item_id, (axes[0] * F.lit(scale * signs[0])).alias("x"), (axes[1] * F.lit(scale * signs[1])).alias("y")
     )
+    return placed.unionByName(nowhere)
 
 
 def place_by_landmarks(
-    rows: DataFrame,
-    landmarks: DataFrame,
-    k: int = 3,
-    vector: str = "embedding",
-    item_id: str = "item_id",
-    max_landmarks: int = MAX_LANDMARKS,
+    rows: DataFrame, landmarks: DataFrame, k: int = 3, vector: str = "embedding", item_id: str = "item_id"
 ) -> DataFrame:
     """``(item_id, x, y)`` from landmarks ``(embedding, x, y)`` laid out beforehand.
 
     A row goes to the mean of its ``k`` nearest landmarks by cosine, weighted by their
-    similarity (negative ones count nothing; if none is positive the plain mean).
-    Landmarks are a small table by nature: more than ``max_landmarks`` is an error. Ties
-    go by landmark order in (x, y).
+    similarity (negative ones count nothing; if none is positive the plain mean). Ties
+    go by landmark order in (x, y). Rows without a vector get NULL.
+
+    Landmarks and rows are dealt out in blocks. A task holds one block of each, and returns the
+    best ``k`` of that block per row; these are merged by an aggregate of at most ``k`` for each block.
     """
-    table = landmarks.select("embedding", "x", "y").limit(max_landmarks + 1).toPandas()
-    if len(table) > max_landmarks:
-        raise ValueError(f"more than {max_landmarks} landmarks")
-    if table.empty:
+    known, n_rows = stage_counted(
+        rows.filter(F.col(vector).isNotNull()).select(
+            F.monotonically_increasing_id().alias("_row"), item_id, F.col(vector).cast("array<double>").alias("_vector")
+        ),
+        "placed-rows",
+    )
+    marks, n_marks = stage_counted(
+        landmarks.select(F.col("embedding").cast("array<double>").alias("_vector"), F.col("x").cast("double"), F.col("y").cast("double")), "landmarks"
+    )
+    if not n_marks:
         raise ValueError("no landmarks")
-    table = table.sort_values(["x", "y"], kind="stable")
-    places = table[["x", "y"]].to_numpy(dtype="float64")
-    axes = np.stack(table["embedding"].to_list()).astype("float64")
-    axes /= np.maximum(np.linalg.norm(axes, axis=1, keepdims=True), 1e-300)
-    nearest = min(k, len(table))
+    mark_blocks, row_blocks = -(-n_marks // LANDMARK_BLOCK), -(-max(n_rows, 1) // ROW_BLOCK)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if frame.empty:
-                continue
-            vectors = np.stack(frame[vector].to_list()).astype("float64")
-            norms = np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
-            similarity = (vectors / norms) @ axes.T
-            chosen = np.argsort(-similarity, axis=1, kind="stable")[:, :nearest]
-            weights = np.maximum(np.take_along_axis(similarity, chosen, axis=1), 0.0)
-            weights[weights.sum(axis=1) == 0] = 1.0
-            weights /= weights.sum(axis=1, keepdims=True)
-            xy = np.einsum("nk,nkd->nd", weights, places[chosen])
-            yield pd.DataFrame({item_id: frame[item_id], "x": xy[:, 0], "y": xy[:, 1]})
-
-    slim = rows.select(item_id, vector)
-    return slim.mapInPandas(run, slim.select(item_id).schema.add("x", "double").add("y", "double"))
+    def numbers(count: int) -> Column:
+        return F.sequence(F.lit(0), F.lit(count - 1))
+
+    left = known.select(
+        F.pmod(F.xxhash64("_row"), F.lit(row_blocks)).cast("int").alias("_rows"), F.explode(numbers(mark_blocks)).alias("_marks"), "_row", "_vector"
+    )
+    right = marks.select(
+        F.explode(numbers(row_blocks)).alias("_rows"), F.pmod(F.xxhash64("x", "y", "_vector"), F.lit(mark_blocks)).cast("int").alias("_marks"), "_vector", "x", "y"
+    )
+    found = left.groupBy("_rows", "_marks").cogroup(right.groupBy("_rows", "_marks")).applyInPandas(
+        _nearest(k), "_row long, away double, x double, y double"
+    )
+    best = found.groupBy("_row").agg(F.slice(F.sort_array(F.collect_list(F.struct("away", "x", "y"))), 1, k).alias("near"))
+    weights = F.transform("near", lambda mark: F.greatest(-mark["away"], F.lit(0.0)))
+    summed = F.aggregate("weights", F.lit(0.0), lambda total, weight: total + weight)
+    settled = F.when(F.col("total") > 0, F.col("weights")).otherwise(F.transform("weights", lambda _: F.lit(1.0)))
+
+    def mean(name: str) -> Column:
+        parts = F.zip_with("settled", "near", lambda weight, mark: weight * mark[name])
+        add = lambda total, value: total + value
+        return (F.aggregate(parts, F.lit(0.0), add) / F.aggregate("settled", F.lit(0.0), add)).alias(name)
+
+    placed = best.withColumn("weights", weights).withColumn("total", summed).withColumn("settled", settled)
+    placed = placed.select("_row", mean("x"), mean("y"))
+    nowhere = rows.filter(F.col(vector).isNull()).select(item_id, *[F.lit(None).cast("double").alias(name) for name in ("x", "y")])
+    return known.select("_row", item_id).join(placed, "_row").select(item_id, "x", "y").unionByName(nowhere)
+
+
+def _nearest(k: int):
+    """The best ``k`` landmarks of one block for each row of another, with the negative cosine."""
+
+    def run(rows: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or marks.empty:
+            return pd.DataFrame({"_row": [], "away": [], "x": [], "y": []})
+        marks = marks.sort_values(["x", "y"], kind="stable")
+        axes, vectors = (np.stack(table["_vector"].to_list()) for table in (marks, rows))
+        axes = axes / np.maximum(np.linalg.norm(axes, axis=1, keepdims=True), 1e-300)
+        vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
+        away = -(vectors @ axes.T)
+        chosen = np.argsort(away, axis=1, kind="stable")[:, :k]
+        places = marks[["x", "y"]].to_numpy(dtype="float64")[chosen.ravel()]
+        row = np.repeat(rows["_row"].to_numpy(), chosen.shape[1])
+        return pd.DataFrame({"_row": row, "away": np.take_along_axis(away, chosen, axis=1).ravel(), "x": places[:, 0], "y": places[:, 1]})
+
+    return run

@@ -68,8 +68,9 @@ def paper_nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 def author_nodes(spark: SparkSession, folder: str) -> DataFrame:
     """G6, A11"""
-    nodes = graph.author_nodes(_papers(spark, folder), part_size=100)
-    return nodes.withColumn("papers", F.array_join(F.col("papers").cast("array<string>"), ","))
+    papers = _papers(spark, folder)
+    nodes = graph.author_nodes(papers)
+    return nodes.join(graph.author_papers(papers), "name").select("id", "type", "name", "n_papers", "nth", "pmid")
 
 
 def node_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -141,14 +142,12 @@ def paper_citations_absent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def join_coordinates(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows matched to separately made coordinates."""
-    rows = inputs.table(spark, folder, "embeddings").select(F.col("vec_id").alias("item_id"), "label")
-    placed = inputs.table(spark, folder, "embeddings").select(
-        F.col("vec_id").alias("item_id"),
-        F.col("embedding")[0].cast("double").alias("x"),
-        F.col("embedding")[1].cast("double").alias("y"),
+    """Rows matched to separately made coordinates; one id on either side is missing."""
+    vectors = inputs.table(spark, folder, "embeddings").select(
+        F.when(F.col("vec_id") != 7, F.col("vec_id")).alias("item_id"), "label", "embedding"
     )
-    return points.join_coordinates(rows, placed)
+    x, y = (F.aggregate("embedding", F.lit(0.0), lambda total, value: total + value.cast("double") * F.lit(sign)) for sign in (1.0, 0.5))
+    return points.join_coordinates(vectors.select("item_id", "label"), vectors.select("item_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y")))
 
 
 def _merged(spark: SparkSession, folder: str) -> DataFrame:
@@ -226,9 +225,9 @@ SELECT core_project_num AS id, 'grant' AS type, project_title AS title, core_pro
 SELECT pmid AS id, 'paper' AS type, title, source AS journal, pubdate,
   c_name || '||' || source || '|Group ' || c_mktsegment AS authors, pmid::VARCHAR AS metadata FROM papers""",
     "g6_a11_author_nodes": f"""WITH {oracle.PAPERS},
-numbered AS (SELECT name, pmid, row_number() OVER (PARTITION BY name ORDER BY pmid, pos) - 1 AS nth FROM authors)
-SELECT name AS id, 'author' AS type, name, (nth // 100)::INTEGER AS part, string_agg(pmid::VARCHAR, ',' ORDER BY nth) AS papers
-FROM numbered GROUP BY name, nth // 100""",
+numbered AS (SELECT name, pmid, row_number() OVER (PARTITION BY name ORDER BY pmid, pos) AS nth,
+  count(*) OVER (PARTITION BY name) AS n_papers FROM authors)
+SELECT name AS id, 'author' AS type, name, n_papers, nth, pmid FROM numbered""",
     "g7_network_stats": f"""{_STORES}
 SELECT (SELECT count(*) FROM grants) AS total_grants, (SELECT count(*) FROM papers) AS total_papers,
   (SELECT count(DISTINCT name) FROM authors) AS total_authors,
@@ -262,7 +261,8 @@ FROM orders LEFT JOIN citations ON pmid = o_orderkey""",
     "j5_paper_citations_absent": """
 SELECT o_orderkey AS pmid, 0::BIGINT AS citation_count, 1.0::DOUBLE AS relative_citation_ratio FROM orders""",
     "j6_join_coordinates": """
-SELECT vec_id AS item_id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings""",
+SELECT nullif(vec_id, 7) AS item_id, label, round(list_sum(embedding::DOUBLE[]), 6) AS x,
+  round(list_sum(embedding::DOUBLE[]) * 0.5::DOUBLE, 6) AS y FROM embeddings""",
     "p24_merged_points": f"{_MERGED} SELECT * FROM points",
     "p25_network_points": f"""{_STORES}, {oracle.CITATIONS}, {oracle.items()}
 SELECT i.pid, {_X} AS x, {_Y} AS y, {oracle.parsed_date('date_text', 'fiscal_year')} AS date, journal, title, mesh_terms,

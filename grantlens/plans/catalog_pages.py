@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,13 +9,13 @@ from grantlens.functions import variants
 from grantlens.operators import dedupe, extract, graph, stats
 from grantlens.operators.numbering import number_rows
 from grantlens.plans import inputs, oracle
-from grantlens.session import shared_folder, stage
+from grantlens.session import stage, staged_folder
 from grantlens.sources import pages, responses, store, tsv
 from grantlens.streaming import ingest
 
 
 def _fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return staged_folder(spark, label)
 
 
 def page_order(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,8 +50,9 @@ def _stored_pages(spark: SparkSession, folder: str) -> DataFrame:
     path = _fresh_path(spark, "page-store")
     harvested = stage(_stored(inputs.project_pages(spark, folder, page_size=20)), "harvested")
     pages.write_pages(harvested, path)
-    again = _stored(inputs.project_pages(spark, folder, page_size=50)).filter(F.col("org_state").isin("AL", "GA"))
-    pages.write_pages(stage(again, "harvested"), path)
+    sizes = [_stored(inputs.project_pages(spark, folder, page_size=size)).withColumn("size", F.lit(size)) for size in (50, 20)]
+    again = sizes[0].unionByName(sizes[1]).filter(F.col("org_state").isin("AL", "GA"))  # keys come twice
+    pages.write_pages(stage(again, "harvested"), path, ["size"])
     return pages.read_stored_pages(spark, path)
 
 
@@ -151,7 +150,8 @@ def scan_stores(spark: SparkSession, folder: str) -> DataFrame:
     path = _fresh_path(spark, "papers")
     inputs.papers(spark, folder).write.parquet(path)
     opened = store.open_papers(spark.read.parquet(path))
-    return opened.select("pmid", "source", "title", "pubdate", F.size("authors").cast("bigint").alias("n_entries"))
+    names = F.transform("authors", lambda author: F.coalesce(author["name"], F.lit("none")))
+    return opened.select("pmid", "source", "title", "pubdate", F.array_join(names, ";").alias("entries"))
 
 
 def vectors_round_trip(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,10 +159,8 @@ def vectors_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = _fresh_path(spark, "vectors")
     rows = inputs.table(spark, folder, "embeddings").select(F.col("vec_id").cast("string").alias("item_id"), "embedding")
     store.write_vectors(rows, path)
-    total = F.aggregate("embedding", F.lit(0.0), lambda acc, value: acc + value.cast("double"))
-    return store.read_vectors(spark, path).select(
-        "item_id", F.size("embedding").cast("bigint").alias("n"), F.round(total, 6).alias("total")
-    )
+    read = store.read_vectors(spark, path)
+    return read.select("item_id", F.posexplode("embedding").alias("pos", "value")).withColumn("value", F.col("value").cast("double"))
 
 
 def stage_reuse(spark: SparkSession, folder: str) -> DataFrame:
@@ -218,11 +216,26 @@ def edges_json(spark: SparkSession, folder: str) -> DataFrame:
     path = _fresh_path(spark, "edges")
     edges = graph.all_edges(inputs.links(spark, folder), store.open_papers(inputs.papers(spark, folder)))
     store.write_edges(edges, graph.edge_stats(edges), path)
-    return spark.read.schema("source string, target bigint, type string").json(f"{path}/edges")
+    read = spark.read.schema("source string, target bigint, type string").json(f"{path}/edges")
+    stats = spark.read.schema("total_edges bigint, grant_paper_edges bigint, author_paper_edges bigint").json(f"{path}/stats")
+    return read.unionByName(
+        stats.select(F.concat_ws("/", "grant_paper_edges", "author_paper_edges").alias("source"), F.col("total_edges").alias("target"), F.lit("stats").alias("type"))
+    )
+
+
+#: The plain fields of each table of a network.
+NETWORK_FIELDS = {
+    "grants": ("id", "type", "title"),
+    "papers": ("id", "type", "title", "journal", "pubdate"),
+    "authors": ("id", "type", "name", "n_papers"),
+    "author_papers": ("name", "nth", "pmid"),
+    "edges": ("source", "target", "type"),
+    "stats": ("total_grants", "total_papers", "total_authors", "total_edges"),
+}
 
 
 def network_json(spark: SparkSession, folder: str) -> DataFrame:
-    """A whole network as JSON, read back and counted by table."""
+    """A whole network as JSON, read back: the digest of each row's fields, by table."""
     path = _fresh_path(spark, "network")
     network = graph.build_network(
         store.open_grants(inputs.grants(spark, folder)),
@@ -230,14 +243,13 @@ def network_json(spark: SparkSession, folder: str) -> DataFrame:
         inputs.links(spark, folder),
     )
     store.write_network(network, path)
-    counts = None
-    for name in network:
-        rows = spark.read.text(f"{path}/{name}")
-        if name == "authors":
-            rows = rows.filter(variants.number(variants.parse(F.col("value")), "$.part", "int") == 0)
-        count = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        counts = count if counts is None else counts.unionByName(count)
-    return counts
+    found = None
+    for name, fields in NETWORK_FIELDS.items():
+        rows = variants.parse(F.col("value"))
+        values = [F.coalesce(variants.text(rows, f"$.{field}"), F.lit("none")) for field in fields]
+        part = spark.read.text(f"{path}/{name}").select(F.lit(name).alias("name"), F.md5(F.concat_ws("|", *values)).alias("digest"))
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
@@ -331,15 +343,21 @@ SELECT doc_id, '"q" ' || replace(text, '.', chr(9) || '"." ') || ' ' AS text, la
 SELECT status AS kind, CASE status WHEN 'project' THEN coalesce(project_num, '')
   ELSE coalesce(project_num, '') || chr(9) || coalesce(core_project_num, '') END AS line
 FROM converted WHERE status <> 'keep'""",
-    "s9_scan_stores": f"""WITH {oracle.PAPERS} SELECT pmid, source, title, pubdate, 5::BIGINT AS n_entries FROM papers""",
-    "s11_edges_json": f"""WITH {oracle.LINKS}, {oracle.PAPERS} {_EDGES}""",
+    "s9_scan_stores": f"""WITH {oracle.PAPERS} SELECT pmid, source, title, pubdate, c_name || ';none;;' || source || ';Group ' || c_mktsegment AS entries FROM papers""",
+    "s11_edges_json": f"""WITH {oracle.LINKS}, {oracle.PAPERS} {_EDGES} UNION ALL
+SELECT (SELECT count(*) FROM links) || '/' || (SELECT count(*) FROM authors),
+  (SELECT count(*) FROM links) + (SELECT count(*) FROM authors), 'stats'""",
     "s12_network_json": f"""WITH {oracle.GRANTS}, {oracle.LINKS}, {oracle.PAPERS}
-SELECT 'grants' AS name, count(*) AS n FROM grants UNION ALL SELECT 'papers', count(*) FROM papers
-UNION ALL SELECT 'authors', count(DISTINCT name) FROM authors
-UNION ALL SELECT 'edges', (SELECT count(*) FROM links) + (SELECT count(*) FROM authors) UNION ALL SELECT 'stats', 1""",
+SELECT 'grants' AS name, md5(concat_ws('|', core_project_num, 'grant', project_title)) AS digest FROM grants
+UNION ALL SELECT 'papers', md5(concat_ws('|', pmid, 'paper', title, source, pubdate)) FROM papers
+UNION ALL SELECT 'authors', md5(concat_ws('|', name, 'author', name, count(*))) FROM authors GROUP BY name
+UNION ALL SELECT 'author_papers', md5(concat_ws('|', name, row_number() OVER (PARTITION BY name ORDER BY pmid, pos), pmid)) FROM authors
+UNION ALL SELECT 'edges', md5(concat_ws('|', core_project_num, pmid, 'grant-paper')) FROM links
+UNION ALL SELECT 'edges', md5(concat_ws('|', name, pmid, 'author-paper')) FROM authors
+UNION ALL SELECT 'stats', md5(concat_ws('|', (SELECT count(*) FROM grants), (SELECT count(*) FROM papers),
+  (SELECT count(DISTINCT name) FROM authors), (SELECT count(*) FROM links) + (SELECT count(*) FROM authors)))""",
     "s13_vectors_round_trip": """
-SELECT vec_id::VARCHAR AS item_id, len(embedding)::BIGINT AS n,
-  round(list_reduce(list_prepend(0.0::DOUBLE, embedding::DOUBLE[]), lambda a, b: a + b), 6) AS total FROM embeddings""",
+SELECT vec_id::VARCHAR AS item_id, unnest(range(0, len(embedding)))::INTEGER AS pos, unnest(embedding)::DOUBLE AS value FROM embeddings""",
     "s14_stage_reuse": """
 SELECT 'reuse' AS how, 'first' AS mark, count(*) AS n FROM orders UNION ALL SELECT 'overwrite', 'third', count(*) FROM orders""",
     "s15_grant_rows": f"""WITH {oracle.PROJECTS}

@@ -30,10 +30,10 @@ def equal_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def present_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows with a core number, and whether three characters of the project number are digits."""
+    """Rows with a core number, and whether the whole key, without its letter, is digits."""
     rows = inputs.flat_grants(spark, folder).filter(text.present(F.col("core_project_num")).isNotNull())
-    digits = F.substring("project_num", 2, 3).rlike("^[0-9]+$")
-    return rows.select("item_id", "core_project_num", digits.alias("is_digits"))
+    whole = F.when(F.col("fiscal_year") % 2 == 0, F.col("item_id").cast("string")).otherwise(F.col("project_num"))
+    return rows.select("item_id", "core_project_num", whole.rlike("^[0-9]+$").alias("is_digits"))
 
 
 def grant_text(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,13 +131,10 @@ def author_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rescale(spark: SparkSession, folder: str) -> DataFrame:
-    """P23"""
+    """P23 on all numbers of the vectors."""
     rows = inputs.table(spark, folder, "embeddings")
-    return rows.select(
-        "vec_id",
-        F.round(text.rescale(F.col("embedding")[0].cast("double")), 9).alias("x"),
-        F.round(text.rescale(F.col("embedding")[1].cast("double")), 9).alias("y"),
-    )
+    numbers = rows.select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+    return numbers.select("vec_id", "pos", F.round(text.rescale(F.col("value").cast("double")), 9).alias("value"))
 
 
 def value_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,7 +218,7 @@ SELECT o_orderkey AS item_id, coalesce(substr(project_start_date, 1, 10), '') AS
 SELECT o_orderkey AS item_id, project_num, core_project_num, fiscal_year, award_amount, agency_ic_admin FROM projects
 WHERE agency_ic_admin = 'BUILDING'""",
     "p7_present_keys": f"""WITH {oracle.PROJECTS}
-SELECT o_orderkey AS item_id, core_project_num, regexp_full_match(substr(project_num, 2, 3), '[0-9]+') AS is_digits
+SELECT o_orderkey AS item_id, core_project_num, regexp_full_match(CASE WHEN fiscal_year % 2 = 0 THEN o_orderkey::VARCHAR ELSE project_num END, '[0-9]+') AS is_digits
 FROM projects WHERE core_project_num <> ''""",
     "p8_grant_text": f"""WITH {oracle.PROJECTS}
 SELECT o_orderkey AS item_id, {_filled(templates.GRANT_TEMPLATES['abstract'])} AS text FROM projects""",
@@ -242,8 +239,8 @@ UNION ALL SELECT 'd' || doc_id, {oracle.colour("(' ' || text || ' ; rest')")} FR
 SELECT core_project_num, agency, coalesce(org_name, '') AS org_name FROM grants""",
     "p22_author_id": """SELECT name, substr(md5(name), 1, 12) AS id
 FROM (SELECT c_name AS name FROM customer UNION ALL SELECT text FROM documents)""",
-    "p23_rescale": """SELECT vec_id, round(embedding[1]::DOUBLE * 5.5::DOUBLE, 9) AS x, round(embedding[2]::DOUBLE * 5.5::DOUBLE, 9) AS y
-FROM embeddings""",
+    "p23_rescale": """SELECT vec_id, pos, round(value * 5.5::DOUBLE, 9) AS value
+FROM (SELECT vec_id, unnest(range(0, len(embedding)))::INTEGER AS pos, unnest(embedding)::DOUBLE AS value FROM embeddings)""",
     "a1_value_counts": f"""WITH {oracle.PROJECTS}
 SELECT core_project_num AS core, count(*) AS count FROM projects WHERE core_project_num <> '' GROUP BY core""",
     "l2_top_values": """SELECT l_partkey AS part, count(*) AS count FROM lineitem GROUP BY part ORDER BY count DESC, part LIMIT 20""",

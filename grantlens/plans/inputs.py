@@ -14,14 +14,10 @@ from grantlens.operators.harvest import ORG_STATES, PAGE_SIZE
 from grantlens.operators.numbering import number_rows
 
 SUMMARY_BATCH = 200
-LARGE = ("orders", "lineitem", "documents", "events")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table; one held in fewer pieces than there are cores is spread over them."""
-    rows = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if name in LARGE and rows.rdd.getNumPartitions() < cores else rows
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def _priority() -> Column:
@@ -108,13 +104,14 @@ def project_pages(spark: SparkSession, folder: str, page_size: int = PAGE_SIZE)
 
 
 def damaged_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The same pages with some bodies cut short, made a bare list, or without results."""
+    """The same pages with some bodies cut short, made a bare list, without results, or with repeated names."""
     half = F.substring(F.col("body"), F.lit(1), (F.length("body") / 2).cast("int"))
     body = (
         F.when(F.col("page_state") == "CT", half)
         .when(F.col("page_state") == "DE", F.lit("[1, 2]"))
         .when(F.col("page_state") == "FL", F.lit('{"meta":{"total":0}}'))
         .when(F.col("page_state") == "GA", F.lit('{"results":{"a":1}}'))
+        .when(F.col("page_state") == "AL", F.regexp_replace("body", r'^\{"meta"', '{"results":[],"meta":{},"meta"'))
         .otherwise(F.col("body"))
     )
     return project_pages(spark, folder).withColumn("body", body)
@@ -172,10 +169,10 @@ def grant_rows(spark: SparkSession, folder: str) -> DataFrame:
     pid = F.when(F.col("l_linestatus") == "O", F.concat(F.lit("G"), F.col("l_suppkey") * 2)).otherwise(
         F.when(F.col("l_returnflag") != "N", F.concat(F.lit("G"), "l_suppkey"))
     )
-    categories = F.concat(F.lit("Area "), F.pmod(F.substring(pid, 2, 20).cast("bigint"), F.lit(7)))
+    categories = F.concat(F.lit("Area "), F.lit(9) - F.col("l_linenumber"))
     return lines.select(
         pid.alias("pid"),
-        F.concat(F.lit("term "), pid).alias("pref_terms"),
+        F.concat(F.lit("term "), pid, F.lit("/"), F.col("l_linenumber")).alias("pref_terms"),
         F.when(~pid.endswith("0"), categories).alias("spending_categories_desc"),
     )
 
@@ -193,15 +190,18 @@ def links(spark: SparkSession, folder: str) -> DataFrame:
 
 def pubdate(date: Column) -> Column:
     """Publication dates in every shape the parser takes, and some it does not."""
-    priority, status = _priority(), F.col("o_orderstatus")
+    priority, status, odd = _priority(), F.col("o_orderstatus"), F.dayofmonth(date) % 2 == 1
     return (
         F.when((priority == "1-URGENT") & (status == "P"), F.date_format(date, "yyyy 'Winter'"))
         .when((priority == "2-HIGH") & (status == "P"), F.lit(""))
         .when((priority == "3-MEDIUM") & (status == "P"), F.date_format(date, "yyyy MMM'-Dec'"))
         .when((priority == "4-NOT SPECIFIED") & (status == "P"), F.date_format(date, "yyyy-MM"))
         .when((priority == "5-LOW") & (status == "P"), F.date_format(date, "MM-dd-yyyy"))
+        .when((priority == "1-URGENT") & (status == "F") & odd, F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
         .when((priority == "1-URGENT") & (status == "F"), F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss"))
+        .when((priority == "1-URGENT") & odd, F.date_format(date, "yyyy MMMM d"))
         .when(priority == "1-URGENT", F.date_format(date, "yyyy MMM d"))
+        .when((priority == "2-HIGH") & odd, F.date_format(date, "yyyy MMMM"))
         .when(priority == "2-HIGH", F.date_format(date, "yyyy MMM"))
         .when(priority == "3-MEDIUM", F.date_format(date, "yyyy"))
         .when(priority == "4-NOT SPECIFIED", F.date_format(date, "yyyy-MM-dd"))

@@ -145,9 +145,9 @@ grants AS (
 
 GRANT_ROWS = """
 grant_rows AS (
-  SELECT pid, 'term ' || pid AS pref_terms,
-    CASE WHEN NOT ends_with(pid, '0') THEN 'Area ' || (substr(pid, 2)::BIGINT % 7) END AS spending_categories_desc
-  FROM (SELECT CASE WHEN l_linestatus = 'O' THEN 'G' || (l_suppkey * 2)
+  SELECT pid, 'term ' || pid || '/' || l_linenumber AS pref_terms,
+    CASE WHEN NOT ends_with(pid, '0') THEN 'Area ' || (9 - l_linenumber) END AS spending_categories_desc
+  FROM (SELECT l_linenumber, CASE WHEN l_linestatus = 'O' THEN 'G' || (l_suppkey * 2)
     WHEN l_returnflag <> 'N' THEN 'G' || l_suppkey END AS pid FROM lineitem)
 )"""
 
@@ -162,8 +162,11 @@ papers AS (
       WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y %b') || '-Dec'
       WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN strftime(o_orderdate, '%Y-%m')
       WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN strftime(o_orderdate, '%m-%d-%Y')
+      WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' AND day(o_orderdate) % 2 = 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000Z')
       WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+      WHEN o_orderpriority = '1-URGENT' AND day(o_orderdate) % 2 = 1 THEN strftime(o_orderdate, '%Y %B %-d')
       WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%Y %b %-d')
+      WHEN o_orderpriority = '2-HIGH' AND day(o_orderdate) % 2 = 1 THEN strftime(o_orderdate, '%Y %B')
       WHEN o_orderpriority = '2-HIGH' THEN strftime(o_orderdate, '%Y %b')
       WHEN o_orderpriority = '3-MEDIUM' THEN strftime(o_orderdate, '%Y')
       WHEN o_orderpriority = '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%Y-%m-%d')
@@ -175,12 +178,15 @@ authors AS (
 )"""
 
 DATE_FORMATS = sql_list(
-    ["%Y %b %-d", "%Y %b", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d", "%Y-%m", "%Y", "%m/%d/%Y", "%m-%d-%Y"]
+    ["%Y %b %-d", "%Y %b", "%Y %B %-d", "%Y %B", "%Y-%m-%d", "%Y-%m", "%Y", "%m/%d/%Y", "%m-%d-%Y"]
 )
 
 
 def parsed_date(c: str, year: str | None = None) -> str:
-    parsed = f"strftime(try_strptime({c}, {DATE_FORMATS}), '%Y-%m-%d')"
+    day = f"CASE WHEN {c} LIKE '____-__-__T%' THEN substr({c}, 1, 10) ELSE {c} END"
+    month = f"try_strptime(regexp_extract({c}, '^([0-9]{{4}} [A-Za-z]{{3}})([^A-Za-z]|$)', 1), '%Y %b')"
+    start = f"CASE WHEN regexp_matches({c}, '^[0-9]{{4}} ') THEN make_date(substr({c}, 1, 4)::INTEGER, 1, 1) END"
+    parsed = f"strftime(coalesce(try_strptime({day}, {DATE_FORMATS}), {month}, {start}), '%Y-%m-%d')"
     fallback = f"CASE WHEN coalesce({c}, '') = '' THEN '1900-01-01' ELSE '2020-01-01' END"
     return f"coalesce({parsed}, {f'{year} || ' if year else 'NULL || '}'-01-01', {fallback})"
 
@@ -196,8 +202,8 @@ citations AS (
 def items(papers: str = "papers") -> str:
     return f"""
 one_per_pid AS (
-  SELECT pid, min(pref_terms) AS pref_terms, min(spending_categories_desc) AS spending_categories_desc
-  FROM grant_rows WHERE pid IS NOT NULL GROUP BY pid
+  SELECT pid, pref_terms, spending_categories_desc FROM grant_rows WHERE pid IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY pid ORDER BY pref_terms NULLS FIRST, spending_categories_desc NULLS FIRST) = 1
 ),
 scoped AS (SELECT * FROM {papers}),
 author_first AS (SELECT name, min(pmid) AS pmid FROM authors WHERE pmid IN (SELECT pmid FROM scoped) GROUP BY name),

@@ -21,6 +21,7 @@ def build_session(app_name: str = "grantlens", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.variant.allowDuplicateKeys": "true",
         **conf,
     }
     for key, value in settings.items():

@@ -7,15 +7,14 @@ order of these three texts, then the position in the page: :data:`PAGE_ORDER`.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-from operator import or_
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grantlens.functions import variants
+from grantlens.session import stage
 
 PAGE_KEY = ("page_year", "page_state", "page_file")
 PAGE_ORDER = (*PAGE_KEY, "pos")
@@ -57,8 +56,10 @@ def scan_pages(spark: SparkSession, root: str) -> DataFrame:
 def parse_pages(pages: DataFrame) -> DataFrame:
     """Page keys with ``page`` (VARIANT, NULL where the body does not parse).
 
+    Of a repeated name the last value counts; the session is set to allow such names.
     Exploding the one-element array keeps later filters from repeating the parse.
     """
+    pages.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return pages.select(*PAGE_KEY, F.explode_outer(F.array(variants.parse(F.col("body")))).alias("page"))
 
 
@@ -107,30 +108,23 @@ def read_stored_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(path)
 
 
-def _touched(incoming: DataFrame) -> Column:
-    """A filter on the partitions that get new pages: at most one per year and state.
-
-    Literal values let the scan skip all other partitions.
-    """
-    states: dict[str, list[str]] = {}
-    for row in incoming.select("fiscal_year", "org_state").distinct().collect():
-        states.setdefault(row["fiscal_year"], []).append(row["org_state"])
-    tests = [(F.col("fiscal_year") == year) & F.col("org_state").isin(names) for year, names in states.items()]
-    return reduce(or_, tests, F.lit(False))
-
-
-def write_pages(pages: DataFrame, path: str) -> None:
+def write_pages(pages: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
     """Keep pages by ``(fiscal_year, org_state, batch)``; a page with a known key replaces it.
 
-    Only the year/state partitions that get new pages are rewritten. ``pages`` is read
-    more than once: stage it where it is costly to make.
+    Of pages that come with one key the last by ``order_by`` (then by body) is kept. Only the
+    year/state partitions that get new pages are rewritten; which these are stays a table.
+    ``pages`` is read more than once: stage it where it is costly to make.
     """
     spark = pages.sparkSession
-    incoming = pages.select("fiscal_year", "org_state", "batch", "body")
+    key = ["fiscal_year", "org_state", "batch"]
+    last = Window.partitionBy(*key).orderBy(*[F.desc(name) for name in (*order_by, "body")])
+    incoming = pages.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").select(*key, "body")
     old = _read_if_there(lambda: read_stored_pages(spark, path))
     if old is not None:
-        kept = old.filter(_touched(incoming)).join(incoming, ["fiscal_year", "org_state", "batch"], "left_anti")
-        incoming = incoming.unionByName(kept)
+        touched = incoming.select("fiscal_year", "org_state").distinct()
+        kept = old.join(touched, ["fiscal_year", "org_state"], "left_semi").join(incoming.select(*key), key, "left_anti")
+        # a table cannot be read while its partitions are replaced
+        incoming = stage(incoming.unionByName(kept.select(*incoming.columns)), "pages")
     # Rebalancing gathers a partition's pages into few files, and splits a huge one.
     (
         incoming.hint("rebalance", "fiscal_year", "org_state")

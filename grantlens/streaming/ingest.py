@@ -6,6 +6,8 @@ the store: the stream's checkpoint knows the files taken so far.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -15,7 +17,7 @@ from grantlens.operators.dedupe import latest
 from grantlens.sources.pages import PAGE_ORDER, flatten_results, page_path_columns
 
 INGESTED_SCHEMA = (
-    "core_project_num string, metadata string, page_year string, page_state string, page_file string, pos int, batch bigint"
+    "core_project_num string, metadata string, page_year string, page_state string, page_file string, pos int, taken_at timestamp, run string, batch bigint"
 )
 
 
@@ -43,12 +45,14 @@ def grant_stream(pages: DataFrame) -> DataFrame:
 def ingest_grants(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Start a run that takes all pages of the stream not yet taken, then stops.
 
-    Each batch has a folder of its own that a repeated batch overwrites, so a run that
-    fails and starts again neither loses nor doubles rows.
+    Each batch has a folder of its own, by checkpoint and number, that a repeated batch
+    overwrites, so a run that fails and starts again neither loses nor doubles rows, and a
+    run with a new checkpoint keeps what earlier ones took.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def keep(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        rows.withColumn("taken_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch}")
 
     return (
         grant_stream(pages)
@@ -65,5 +69,5 @@ def ingested_grants(spark: SparkSession, path: str) -> DataFrame:
     Within a batch that is the last in reading order.
     """
     rows = spark.read.schema(INGESTED_SCHEMA).parquet(path)
-    placed = rows.select("core_project_num", "metadata", F.struct("batch", *PAGE_ORDER).alias("place"))
+    placed = rows.select("core_project_num", "metadata", F.struct("taken_at", "batch", *PAGE_ORDER).alias("place"))
     return latest(placed, "core_project_num", "place").drop("place")

@@ -59,7 +59,7 @@ def test_nodes_and_stats(stores):
     assert by_id[3]["authors"] == ["B", "", "B", ""] and by_id[2]["authors"] == [] and by_id[2]["journal"] == ""
     assert json.loads(by_id[1]["metadata"])["title"] == "T1"
     assert {row["id"]: row["title"] for row in network["grants"].collect()} == {"G1": "one", "G2": "two"}
-    assert {row["id"]: row["papers"] for row in network["authors"].collect()} == {"A": [1], "B": [1, 3, 3]}
+    assert {row["id"]: row["n_papers"] for row in network["authors"].collect()} == {"A": 1, "B": 3}
     assert network["stats"].first().asDict() == {
         "total_grants": 2, "total_papers": 3, "total_authors": 2, "total_edges": 7, "grant_paper_edges": 3, "author_paper_edges": 4,
     }
@@ -67,10 +67,10 @@ def test_nodes_and_stats(stores):
     assert {row["type"]: row["n"] for row in graph.node_counts(nodes).collect()} == {"grant": 2, "paper": 3, "author": 2}
 
 
-def test_long_author_lists_continue_in_parts(stores):
+def test_author_papers_are_rows(stores):
     _, papers, _ = stores
-    parts = {(row["name"], row["part"]): row["papers"] for row in graph.author_papers(papers, part_size=2).collect()}
-    assert parts == {("A", 0): [1], ("B", 0): [1, 3], ("B", 1): [3]}
+    rows = {tuple(row) for row in graph.author_papers(papers).collect()}
+    assert rows == {("A", 1, 1), ("B", 1, 1), ("B", 2, 3), ("B", 3, 3)}
 
 
 def test_representative_papers(stores):

@@ -52,9 +52,16 @@ def test_date_prefix(one, given_text, expected):
         ("07/05/2021", None, "2021-07-05"),
         ("7-5-2021", None, "2021-07-05"),
         ("2020 Winter", None, "2020-01-01"),
-        ("2021 Sep-Oct", None, "2020-01-01"),
+        ("2021 Sep-Oct", None, "2021-09-01"),
+        ("1998 Winter", None, "1998-01-01"),
+        ("2019 Dec-2020 Jan", None, "2019-12-01"),
+        ("2021 September 3", None, "2021-09-03"),
+        ("2021 September", 2018, "2021-09-01"),
+        ("2021-09-15T00:00:00Z", None, "2021-09-15"),
+        ("2021-09-15T12:00:00.000+02:00", None, "2021-09-15"),
+        ("Winter 2020", 2018, "2018-01-01"),
         ("2021-13-40", None, "2020-01-01"),
-        ("2020 Winter", 2018, "2018-01-01"),
+        ("2020 Winter", 2018, "2020-01-01"),
         ("", None, "1900-01-01"),
         (None, None, "1900-01-01"),
         ("", 2023, "2023-01-01"),

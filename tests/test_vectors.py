@@ -17,10 +17,10 @@ def test_project_2d_equals_main_axes(spark):
     _, axes = np.linalg.eigh(np.cov(values.T))
     for name, axis in (("x", axes[:, -1]), ("y", axes[:, -2])):
         expected = values @ axis * 2.0
-        assert np.allclose(found[name], expected) or np.allclose(found[name], -expected)
+        assert np.allclose(found[name], expected * np.sign(axis[abs(axis).argmax()]))
 
 
-def test_place_by_landmarks_equals_brute_force(spark):
+def test_place_by_landmarks_equals_brute_force(spark, monkeypatch):
     values, rows = matrix(spark)
     marks = np.random.default_rng(5).normal(size=(7, 5))
     table = spark.createDataFrame([([float(v) for v in m], float(i), float(i * i)) for i, m in enumerate(marks)], "embedding array<double>, x double, y double")
@@ -32,8 +32,20 @@ def test_place_by_landmarks_equals_brute_force(spark):
         weights = weights / weights.sum() if weights.sum() else np.array([0.5, 0.5])
         assert found["x"][i] == pytest.approx(weights @ best)
         assert found["y"][i] == pytest.approx(weights @ best**2)
+    for blocks in ((2, 7), (3, 1000)):
+        monkeypatch.setattr(vectors, "LANDMARK_BLOCK", blocks[0])
+        monkeypatch.setattr(vectors, "ROW_BLOCK", blocks[1])
+        again = vectors.place_by_landmarks(rows, table, k=2).orderBy("item_id").toPandas()
+        assert np.allclose(again[["x", "y"]], found[["x", "y"]])
     with pytest.raises(ValueError):
-        vectors.place_by_landmarks(rows, table, max_landmarks=6)
+        vectors.place_by_landmarks(rows, table.limit(0))
+
+
+def test_rows_without_a_vector_get_no_place(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])], "item_id int, embedding array<float>")
+    table = spark.createDataFrame([([1.0, 0.0], 5.0, 6.0)], "embedding array<double>, x double, y double")
+    for placed in (vectors.place_by_landmarks(rows, table), vectors.project_2d(rows)):
+        assert [row["x"] is None for row in placed.orderBy("item_id").collect()] == [False, True, False]
 
 
 def test_embed_text(spark):
