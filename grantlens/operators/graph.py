@@ -13,6 +13,7 @@ from grantlens.functions.templates import author_text, build_text, paper_text
 from grantlens.functions.text import author_id as hashed_author_id
 from grantlens.functions.text import joined_terms
 from grantlens.operators.numbering import number_rows
+from grantlens.session import stage
 
 GRANT_PAPER = "grant-paper"
 AUTHOR_PAPER = "author-paper"
@@ -204,8 +205,10 @@ def items(
     """
     if scope not in ("all", "listed"):
         raise ValueError(f"scope must be all or listed, not {scope!r}")
+    papers = papers.drop("metadata")
     if scope == "listed":
         papers = listed_papers(papers, links, grant_rows, pid_column)
+    papers = stage(papers, "item-papers")  # read three times below, parsed once
     none = F.lit(None)
     columns = {"project_title": F.col("title"), "agency_ic_admin": F.col("agency")}
     grant_items = listed_grants(_one_per_pid(grant_rows, pid_column), grants).select(

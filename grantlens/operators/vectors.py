@@ -6,8 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from grantlens.session import stage_counted
 #: Landmarks and rows that one task compares.
 LANDMARK_BLOCK, ROW_BLOCK = 1024, 8192
 ENCODER_BATCH = 32
+BETWEEN_TOKENS = r"[^\p{L}\p{N}]+"
 
 
 def embed_text(
@@ -30,21 +30,26 @@ def embed_text(
 ) -> DataFrame:
     """``(item_id, embedding array<float>)`` of each text.
 
-    By default a normalised TF-IDF over hashed tokens, computed by Spark ML; fitting
-    aggregates one count per dimension. ``encoder`` is a factory that Spark calls
-    once per task; what it returns maps a list of texts to a matrix.
+    By default a normalised TF-IDF over hashed tokens: a token's place comes from its md5, so
+    it is the same in every engine. Document frequencies are one count per dimension.
+    ``encoder`` is a factory that Spark calls once per task; what it returns maps a list of
+    texts to a matrix.
     """
     if encoder is not None:
         return _encode(rows.select(item_id, text), text, item_id, encoder, batch_size)
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"(?U)\W+"),
-        HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=dimensions),
-        IDF(inputCol="_counts", outputCol="_weights"),
-        Normalizer(inputCol="_weights", outputCol="_vector"),
-    ]
-    slim = rows.select(item_id, F.coalesce(text, F.lit("")).alias(text))
-    vectors = Pipeline(stages=stages).fit(slim).transform(slim)
-    return vectors.select(item_id, vector_to_array("_vector", "float32").alias("embedding"))
+    tokens = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN_TOKENS), "")
+    places = F.transform(tokens, lambda token: F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % dimensions)
+    slim, n_rows = stage_counted(rows.select(F.monotonically_increasing_id().alias("_row"), item_id, places.alias("_places")), "tokens")
+    counts = slim.select("_row", F.explode("_places").alias("_place")).groupBy("_row", "_place").agg(F.count(F.lit(1)).alias("n"))
+    known = counts.groupBy("_place").agg(F.log((n_rows + 1) / (F.count(F.lit(1)) + 1)).alias("weight"))
+    # one row for each dimension
+    weighted = counts.join(F.broadcast(known), "_place").select("_row", "_place", (F.col("n") * F.col("weight")).alias("value"))
+    held = weighted.groupBy("_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("_place", "value"))).alias("held"), F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm")
+    )
+    share = lambda place: F.coalesce(F.try_divide(F.col("held")[place], F.nullif(F.col("norm"), F.lit(0.0))), F.lit(0.0))
+    vector = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(dimensions - 1).cast("bigint")), share)
+    return slim.select("_row", item_id).join(held, "_row", "left").select(item_id, vector.cast("array<float>").alias("embedding"))
 
 
 def _encode(rows: DataFrame, text: str, item_id: str, encoder, batch_size: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from grantlens.functions import variants
 from grantlens.operators import graph, points, stats
 from grantlens.plans import inputs, oracle
+from grantlens.session import stage
 from grantlens.sources import store
 
 
@@ -168,7 +169,7 @@ def point_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def network_points(spark: SparkSession, folder: str) -> DataFrame:
     """P25, P20"""
-    rows = _items(spark, folder)
+    rows = stage(_items(spark, folder), "items")
     placed = rows.select("item_id", *_place(F.col("item_id")))
     return points.network_points(rows, placed, inputs.citations(spark, folder)).withColumn("size", F.round("size", 9))
 

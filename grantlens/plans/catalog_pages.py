@@ -19,21 +19,24 @@ def _fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def page_order(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages by their path, numbered in reading order."""
-    found = inputs.project_pages(spark, folder, page_size=5)
-    paths = found.select(F.concat_ws("/", F.lit("cache"), "page_year", "page_state", "page_file").alias("path"))
-    keys = paths.select(*pages.page_path_columns(F.col("path")))
-    return number_rows(keys, list(pages.PAGE_KEY), name="nth")
+    """The files of a cache, numbered in reading order."""
+    found = pages.scan_pages(spark, inputs.page_files(spark, inputs.project_pages(spark, folder, page_size=50)))
+    return number_rows(found.select(*pages.PAGE_KEY), list(pages.PAGE_KEY), name="nth")
+
+
+def _scanned(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages read from files, some of them damaged."""
+    return pages.scan_pages(spark, inputs.page_files(spark, inputs.damaged_pages(spark, folder)))
 
 
 def bad_pages(spark: SparkSession, folder: str) -> DataFrame:
     """S2"""
-    return pages.bad_pages(inputs.damaged_pages(spark, folder))
+    return pages.bad_pages(_scanned(spark, folder))
 
 
 def flatten_results(spark: SparkSession, folder: str) -> DataFrame:
     """S2, S3"""
-    records = pages.flatten_results(inputs.damaged_pages(spark, folder))
+    records = pages.flatten_results(_scanned(spark, folder))
     return records.select(*pages.PAGE_ORDER, variants.text(F.col("record"), "$.project_num").alias("project_num"))
 
 
@@ -114,8 +117,9 @@ def extract_projects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def convert_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages to the deduplicated grant table."""
-    return extract.written_grants(extract.convert(inputs.project_pages(spark, folder)))
+    """Page files to the deduplicated grant table."""
+    root = inputs.page_files(spark, inputs.project_pages(spark, folder))
+    return extract.written_grants(extract.convert(pages.scan_pages(spark, root)))
 
 
 def grants_tsv(spark: SparkSession, folder: str) -> DataFrame:
@@ -214,7 +218,7 @@ def grant_list(spark: SparkSession, folder: str) -> DataFrame:
 def edges_json(spark: SparkSession, folder: str) -> DataFrame:
     """Edges and statistics as JSON, read back."""
     path = _fresh_path(spark, "edges")
-    edges = graph.all_edges(inputs.links(spark, folder), store.open_papers(inputs.papers(spark, folder)))
+    edges = stage(graph.all_edges(inputs.links(spark, folder), store.open_papers(inputs.papers(spark, folder))), "edges")
     store.write_edges(edges, graph.edge_stats(edges), path)
     read = spark.read.schema("source string, target bigint, type string").json(f"{path}/edges")
     stats = spark.read.schema("total_edges bigint, grant_paper_edges bigint, author_paper_edges bigint").json(f"{path}/stats")
@@ -239,8 +243,8 @@ def network_json(spark: SparkSession, folder: str) -> DataFrame:
     path = _fresh_path(spark, "network")
     network = graph.build_network(
         store.open_grants(inputs.grants(spark, folder)),
-        store.open_papers(inputs.papers(spark, folder)),
-        inputs.links(spark, folder),
+        stage(store.open_papers(inputs.papers(spark, folder)), "papers"),  # parsed once for all tables
+        stage(inputs.links(spark, folder), "links"),
     )
     store.write_network(network, path)
     found = None
@@ -254,10 +258,10 @@ def network_json(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Pages taken as a stream into the grant store (S15, D2): the last record per core in reading order."""
-    source, path, checkpoint = (_fresh_path(spark, label) for label in ("pages", "ingested", "ingest-checkpoint"))
-    inputs.project_pages(spark, folder).write.parquet(source)
-    stream = spark.readStream.schema(pages.PAGE_SCHEMA).parquet(source)
-    ingest.ingest_grants(stream, path, checkpoint).awaitTermination()
+    path, root = _fresh_path(spark, "ingested"), inputs.page_files(spark, inputs.project_pages(spark, folder))
+    for run in ("first", "second"):  # a run with a checkpoint of its own takes all files again and loses none
+        checkpoint = _fresh_path(spark, f"{run}-checkpoint")
+        ingest.ingest_grants(ingest.page_stream(spark, root), path, checkpoint).awaitTermination()
     v = variants.parse(F.col("metadata"))
     return ingest.ingested_grants(spark, path).select(
         "core_project_num", variants.text(v, "$.project_num").alias("project_num"),
@@ -315,7 +319,7 @@ ORACLES = {
 placed AS (SELECT *, row_number() OVER (ORDER BY {oracle.PAGE_ORDER}) AS ord FROM paged WHERE core_project_num <> '')
 SELECT core_project_num, arg_max(project_num, ord) AS project_num, arg_max(award_amount, ord) AS award_amount
 FROM placed GROUP BY core_project_num""",
-    "s1_page_order": f"""WITH {oracle.paged(5)}
+    "s1_page_order": f"""WITH {oracle.paged(50)}
 SELECT page_year, page_state, page_file, row_number() OVER (ORDER BY page_year, page_state, page_file) AS nth
 FROM (SELECT DISTINCT page_year, page_state, page_file FROM paged)""",
     "s2_bad_pages": f"""WITH {oracle.paged()}

@@ -1,16 +1,21 @@
-"""The flows from end to end, each one lazy graph over the operators.
+"""The flows from end to end.
+
+Frames are lazy, but operators that work in steps stage tables while a frame is built. A flow
+run by :func:`written` drops what it staged once its result is written.
 
 Pages to the deduplicated grant table is :func:`grantlens.operators.extract.convert`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlens.functions.templates import grant_text
 from grantlens.operators import graph, points, vectors
-from grantlens.session import stage
+from grantlens.session import drop_staged, stage, staging
 
 
 def place_texts(rows: DataFrame, text: str = "text", encoder=None, landmarks: DataFrame | None = None, scale: float = 1.0) -> DataFrame:
@@ -39,7 +44,16 @@ def network_map(
     pid_column: str = "pid", scope: str = "all", encoder=None, landmarks: DataFrame | None = None,
 ) -> DataFrame:
     """Stores and a grant list as network points, placed by the item texts."""
-    papers = stage(papers.drop("metadata"), "papers")
     items = stage(graph.items(grant_rows, grants, papers, links, pid_column, scope), "items")
     placed = place_texts(items.select("item_id", "text"), encoder=encoder, landmarks=landmarks)
     return points.network_points(items, placed, citations)
+
+
+def written(spark: SparkSession, flow: Callable[[], DataFrame], path: str) -> DataFrame:
+    """The result of ``flow`` as a table at ``path``; nothing that the flow staged is left."""
+    with staging() as paths:
+        try:
+            flow().write.mode("overwrite").parquet(path)
+        finally:
+            drop_staged(spark, paths)
+    return spark.read.parquet(path)

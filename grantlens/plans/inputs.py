@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from grantlens.operators.harvest import ORG_STATES, PAGE_SIZE
 from grantlens.operators.numbering import number_rows
+from grantlens.session import staged_folder
+from grantlens.sources.pages import write_page_files
 
 SUMMARY_BATCH = 200
 
@@ -117,6 +119,13 @@ def damaged_pages(spark: SparkSession, folder: str) -> DataFrame:
     return project_pages(spark, folder).withColumn("body", body)
 
 
+def page_files(spark: SparkSession, pages: DataFrame) -> str:
+    """The folder of a cache that holds one file for each page."""
+    root = staged_folder(spark, "cache")
+    write_page_files(pages, root)
+    return root
+
+
 def page_counts(spark: SparkSession, folder: str, page_size: int = 50) -> DataFrame:
     """A partly harvested cache: per page its key, promised ``total`` and ``n_results``.
 

@@ -23,9 +23,23 @@ STORED_SCHEMA = "batch int, body string, fiscal_year string, org_state string"
 
 
 def page_path_columns(path):
-    """Year, state and file name from the last three parts of a page's path."""
+    """Year, state and file name from the last three parts of a page's path.
+
+    In the layout that Spark writes, partitioned by these names, the parts are folders that
+    hold one file each.
+    """
     parts = F.split(F.url_decode(path), "/")
-    return [F.element_at(parts, index).alias(name) for index, name in zip((-3, -2, -1), PAGE_KEY)]
+    written = F.element_at(parts, -2).startswith(f"{PAGE_KEY[-1]}=")
+    columns = []
+    for index, name in zip((-3, -2, -1), PAGE_KEY):
+        value = F.when(written, F.element_at(parts, index - 1)).otherwise(F.element_at(parts, index))
+        columns.append(F.regexp_replace(value, f"^{name}=", "").alias(name))
+    return columns
+
+
+def write_page_files(pages: DataFrame, root: str) -> None:
+    """One text file per page, partitioned by year, state and file name, as :func:`scan_pages` reads it."""
+    pages.select(*PAGE_KEY, "body").write.mode("overwrite").partitionBy(*PAGE_KEY).text(root)
 
 
 def _read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:

@@ -5,7 +5,8 @@ import json
 from pyspark.sql import functions as F
 
 from grantlens.operators import extract, graph, stats
-from grantlens.plans import flows
+from grantlens.plans import flows, inputs
+from grantlens.session import shared_folder
 from grantlens.sources import pages, responses, store, tsv
 from test_pages import page, project, write_page
 
@@ -55,3 +56,17 @@ def test_responses_to_edges(spark):
     papers = store.open_papers(responses.paper_rows(spark.createDataFrame([(body,)], "body string")))
     stats_row = graph.edge_stats(graph.all_edges(links, papers)).first().asDict()
     assert stats_row == {"total_edges": 4, "grant_paper_edges": 2, "author_paper_edges": 2}
+
+
+def test_a_written_flow_leaves_nothing_behind(spark, tmp_path):
+    before = staged_tables(spark)
+    folder = "/root/testdata/sf0.001"
+    table = flows.written(spark, lambda: flows.grant_map(inputs.flat_grants(spark, folder)), f"file://{tmp_path}/points")
+    assert table.count() == spark.read.parquet(f"{folder}/orders.parquet").count()
+    assert staged_tables(spark) == before
+
+
+def staged_tables(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {str(found.getPath()) for found in files.listStatus(path)} if files.exists(path) else set()
