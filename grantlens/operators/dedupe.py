@@ -58,11 +58,11 @@ def _twice(chains: DataFrame) -> DataFrame:
 def _follow(single: DataFrame) -> DataFrame:
     """The row that ends each chain of rows with one row before them, and whether it is an odd number of steps away.
 
-    Each table written reaches four times as far as the last, so a chain of n rows needs log4(n).
+    Each table written reaches eight times as far as the last, so a chain of n rows needs log8(n).
     """
     chains, is_open = single.select("ord", "up", F.lit(True).alias("odd")), True
     while is_open:
-        chains, seen = stage_observed(_twice(_twice(chains)), "chains", open=F.count_if("open"))
+        chains, seen = stage_observed(_twice(_twice(_twice(chains))), "chains", open=F.count_if("open"))
         is_open = bool(seen["open"])
     return chains.select("ord", "up", "odd")
 
