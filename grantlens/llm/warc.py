@@ -169,7 +169,7 @@ def write_archive(
     )
     ordered = (
         both.withColumn("shard", shard_of("key", "digest"))
-        .repartition(max(1, len(bounds)), "shard")
+        .repartitionById(max(1, len(bounds)), F.greatest("shard", F.lit(0)).cast("int"))  # one shard a task
         .sortWithinPartitions("shard", "key", "digest", "kind", "url")
         .select("shard", "key", "digest", "kind", "id", "url", "payload", "first")
     )
