@@ -10,12 +10,13 @@ from grantlens.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "grantlens-tests",
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": 4,
+            "spark.sql.warehouse.dir": f"file://{tmp_path_factory.mktemp('warehouse')}",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
