@@ -18,24 +18,23 @@ from pyspark.sql import functions as F
 
 from grantlens.llm.common import text_or_empty
 from grantlens.llm.components import components
-from grantlens.session import stage
+from grantlens.session import stage, stage_counted
 
 EDITS = 2
 #: Shorter lines are compared for equality only.
 LEAST_CHARS = 30
-#: Four bits each hold the counts of these letters, modulo sixteen.
-LETTERS = "etaonrisldhucmpé"
+#: Six bits each hold the counts of these letters, modulo 64: some of every line, others of candidates.
+LETTERS, OTHERS, COUNT = "etaonrisld", "hucmgfpbvq", 64
+#: Keys of lines are broadcast where there are at most so many (four numbers each).
+FEW = 200_000
 BLANKS = " \t\r\x0b\x0c"
 
 
-def split_lines(text: str) -> Column:
-    return F.transform(F.split(text_or_empty(text), "\n"), lambda line: F.btrim(line, F.lit(BLANKS)))
-
-
 def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``id``, ``row`` (a hash of the text), ``nth`` and ``line`` of every line that is not blank."""
-    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text_or_empty(text)).alias("row"), split_lines(text).alias("lines"))
-    return rows.select("id", "row", F.posexplode("lines").alias("nth", "line")).where("line <> ''")
+    texts = text_or_empty(text)
+    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(texts).alias("row"), F.posexplode(F.split(texts, "\n")).alias("nth", "line"))
+    return rows.withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line <> ''")
 
 
 def line_key(line: Column) -> list[Column]:
@@ -73,20 +72,22 @@ def keyed(line: Column, length: Column, edits: int) -> tuple[Column, Column]:
     return F.array(*entries), F.array(*probes)
 
 
-def letter_counts(line: Column) -> Column:
+def letter_counts(line: Column, letters: str = LETTERS) -> Column:
     packed = F.lit(0).cast("long")
-    for place, letter in enumerate(LETTERS):
-        count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
-        packed = packed.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(15)), 4 * place))
+    for place, letter in enumerate(letters):
+        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        packed = packed.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(COUNT - 1)), 6 * place))
     return packed
 
 
 def counts_near(a: Column, b: Column, edits: int) -> Column:
-    """Whether at most two letter counts differ for each edit."""
-    apart = a.bitwiseXOR(b)
-    apart = apart.bitwiseOR(F.shiftrightunsigned(apart, 1))
-    apart = apart.bitwiseOR(F.shiftrightunsigned(apart, 2))
-    return F.bit_count(apart.bitwiseAND(F.lit(0x1111111111111111))) <= 2 * edits
+    """Whether the letter counts differ by at most two for each edit."""
+    apart = F.lit(0)
+    for place in range(len(LETTERS)):
+        one, other = (F.shiftrightunsigned(packed, 6 * place).bitwiseAND(F.lit(COUNT - 1)) for packed in (a, b))
+        step = F.abs(one - other)
+        apart = apart + F.least(step, F.lit(COUNT) - step)
+    return apart <= 2 * edits
 
 
 def banded_distance(a: str, b: str, edits: int) -> Column:
@@ -105,7 +106,9 @@ def banded_distance(a: str, b: str, edits: int) -> Column:
                 place = at - (bit - edits)
                 same = F.coalesce((place >= 0) & (F.get(left, F.greatest(place, F.lit(0))) == F.get(right, at)), F.lit(False))
                 equal = equal.bitwiseOR(F.when(same, 1 << bit).otherwise(0))
-            return F.transform(F.array(equal), lambda match: advance(words, match))[0]
+            moved = F.transform(F.array(equal), lambda match: advance(words, match))[0]
+            # once no diagonal is left in the word of most edits, the rest need not be read
+            return F.when(words[edits] == 0, words).otherwise(moved)
 
         return read
 
@@ -136,47 +139,48 @@ def line_links(lines: DataFrame, docs: DataFrame, doc_id: str, text: str, edits:
     probes = lines.select(F.explode("probes").alias("key"), F.col("line_id").alias("b"), F.col("counts").alias("cb"))
     same = lines.select(F.explode("entries").alias("key"), F.col("line_id").alias("b"), F.col("counts").alias("cb"))
     near = counts_near(F.col("ca"), F.col("cb"), edits)
-    asked = probes.withColumn("own", F.lit(False)).unionByName(same.withColumn("own", F.lit(True)))
-    met = entries.join(asked, (entries["key"] == asked["key"]) & near & (F.col("a") != F.col("b")) & (~F.col("own") | (F.col("a") < F.col("b"))))
+    # lines as long as each other meet by their entries, which are dealt out once for both joins
+    met = entries.join(same, (entries["key"] == same["key"]) & near & (F.col("a") < F.col("b"))).select("a", "b")
+    met = met.unionByName(entries.join(probes, (entries["key"] == probes["key"]) & near & (F.col("a") != F.col("b"))).select("a", "b"))
     pairs = stage(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
     wanted = pairs.select(F.col("a").alias("line_id")).unionByName(pairs.select(F.col("b").alias("line_id"))).distinct()
-    known = lines.select("line_id", "k1", "k2").join(wanted, "line_id")
+    known, count = stage_counted(lines.select("line_id", "k1", "k2").join(wanted, "line_id"), "line-wanted")
+    known = F.broadcast(known) if count <= FEW else known  # else both sides are dealt out by key
     texts = occurrences(docs, doc_id, text).select(*line_key(F.col("line")), "line")
     texts = texts.join(known, ["k1", "k2"]).groupBy("line_id").agg(F.first("line").alias("line"))
-    texts = stage(texts, "line-texts")
-    both = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("left")), "a")
-    both = both.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("right")), "b")
-    return both.where(banded_distance("left", "right", edits).isNotNull()).select("a", "b")
+    texts = stage(texts.withColumn("counts", letter_counts(F.col("line"), OTHERS)), "line-texts")
+    both = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("left"), F.col("counts").alias("ca")), "a")
+    both = both.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("right"), F.col("counts").alias("cb")), "b")
+    likely = both.where(counts_near(F.col("ca"), F.col("cb"), edits))
+    return likely.where(banded_distance("left", "right", edits).isNotNull()).select("a", "b")
 
 
 def line_classes(docs: DataFrame, doc_id: str, text: str, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """Per distinct line ``k1``, ``k2``, its class's ``first`` occurrence, ``links`` and ``class_lines``.
+    """``k1``, ``k2``, class ``root`` and ``links`` of each distinct line that is repeated or has a link.
 
-    ``first`` is the least (id, row, nth), a NULL id after all others; ``links`` how many
-    distinct lines are within ``edits`` edits of this one.
+    ``links`` is how many distinct lines are within ``edits`` edits of this one.
     """
     line, length = F.col("line"), F.length("line")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "row", "nth")
-    distinct = occurrences(docs, doc_id, text).groupBy("line").agg(F.min(place).alias("place"))
+    distinct = occurrences(docs, doc_id, text).groupBy("line").agg(F.count(F.lit(1)).alias("times"))
     entries, probes = keyed(line, length, edits)
     none = F.array().cast("array<long>")
     lines = distinct.select(
         F.monotonically_increasing_id().alias("line_id"),
         *line_key(line),
-        "place",
-        letter_counts(line).alias("counts"),
+        "times",
+        F.when(length >= least_chars, letter_counts(line)).alias("counts"),
         F.when(length >= least_chars, entries).otherwise(none).alias("entries"),
         F.when(length >= least_chars, probes).otherwise(none).alias("probes"),
     )
     lines = stage(lines, "lines")  # from here on a line's number stands
     links = stage(line_links(lines, docs, doc_id, text, edits), "line-links")
-    ends = links.select(F.explode(F.array("a", "b")).alias("line_id"))
-    degree = ends.groupBy("line_id").agg(F.count(F.lit(1)).alias("links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("line_id")).groupBy("line_id").agg(F.count(F.lit(1)).alias("links"))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "line-classes")
-    linked = lines.select("line_id", "k1", "k2", "place").join(roots.withColumnRenamed("node", "line_id"), "line_id", "left")
-    linked = linked.join(degree, "line_id", "left").withColumn("root", F.coalesce("root", "line_id"))
-    firsts = linked.groupBy("root").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("class_lines"))
-    return linked.join(firsts, "root").select("k1", "k2", "first", F.coalesce("links", F.lit(0)).cast("long").alias("links"), "class_lines")
+    linked = roots.withColumnRenamed("node", "line_id").join(degree, "line_id")
+    known = lines.select("line_id", "k1", "k2", "times").join(linked, "line_id", "left")
+    return known.where("times > 1 or root is not null").select(
+        "k1", "k2", F.coalesce("root", "line_id").alias("root"), F.coalesce("links", F.lit(0)).cast("long").alias("links")
+    )
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -188,15 +192,19 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edi
     those that have a link. A NULL text has one blank line. Rows alike in id and text are one
     row of the result. Other columns are left out.
     """
-    classes = line_classes(docs, doc_id, text, edits, least_chars)
-    seen = occurrences(docs, doc_id, text).select("id", "row", "nth", *line_key(F.col("line")))
-    own = F.struct(F.col("id").isNull().alias("none"), "id", "row", "nth")
-    marked = seen.join(classes, ["k1", "k2"]).select("id", "row", "nth", (own != F.col("first")).alias("gone"), (F.col("links") > 0).alias("near"))
-    found = marked.where("gone or near").groupBy("id", "row").agg(
+    classes, count = stage_counted(line_classes(docs, doc_id, text, edits, least_chars), "line-classes")
+    classes = F.broadcast(classes) if count <= FEW else classes  # else both sides are dealt out by key
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "row", "nth")
+    seen = occurrences(docs, doc_id, text).select(*line_key(F.col("line")), place.alias("place"))
+    marked = stage(seen.join(classes, ["k1", "k2"]).select("root", "links", "place"), "line-places")
+    firsts = marked.groupBy("root").agg(F.min("place").alias("first"))
+    fates = marked.join(firsts, "root").select("place.*", (F.col("place") != F.col("first")).alias("gone"), (F.col("links") > 0).alias("near"))
+    found = fates.where("gone or near").groupBy("id", "row").agg(
         F.sort_array(F.collect_set(F.when(F.col("gone"), F.col("nth")))).alias("removed"),
         F.count_distinct(F.when(F.col("near"), F.col("nth"))).alias("near"),
     )
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text_or_empty(text)).alias("hash"), F.size(F.split(text_or_empty(text), "\n")).cast("long").alias("n_lines")).distinct()
+    texts = text_or_empty(text)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(texts).alias("hash"), (F.octet_length(texts) - F.octet_length(F.replace(texts, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines")).distinct()
     joined = rows.join(found, rows["doc_id"].eqNullSafe(found["id"]) & (rows["hash"] == found["row"]), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return joined.select("doc_id", "n_lines", F.coalesce("near", F.lit(0)).alias("n_near"), F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
