@@ -6,10 +6,15 @@ from the query, which gives the chance of every cell around the query to hold it
 visits cells in order of that chance until enough of it is covered, in each table, and all
 vectors found are ranked by exact distance.
 
-How much to cover is measured: some queries are compared with every vector, and the cover is
-set so that ``RECALL`` of their true neighbours are found. Cells are dealt to blocks of bounded size by a hash,
+All queries begin with one distance. The last neighbour a query finds is no nearer than its
+true last one, so where it lies beyond that distance, the query probes again for its own. Where
+that takes too many cells, or too few neighbours are found, it is compared with every vector.
+
+How much to cover is measured, for either probe: some queries are compared with every vector,
+and the cover is set so that ``RECALL`` of their true neighbours are found; where no cover does
+it, every vector is compared. Cells are dealt to blocks of bounded size by a hash,
 large cells over several, so the work of a hot cell spreads and a task returns the best few
-per query and block. Queries that found too few neighbours are compared with every vector.
+per query and block.
 """
 
 from __future__ import annotations
@@ -29,6 +34,10 @@ from grantlens.session import stage, stage_counted
 TABLES, SEED = 2, 20
 #: The measuring sample, and the share of its true neighbours that must be found.
 MEASURED, RECALL = 200, 0.95
+#: The first distance, in medians of the sample's; the most that is covered by cells.
+REACH, MOST_COVER = 1.1, 0.999
+#: A query that would visit more cells of a table for its own distance is compared with every vector.
+MOST_CELLS = 4096
 #: Vectors of a block, on average; queries compared at a time.
 BLOCK, CHUNK = 8192, 128
 EVERY = 0  # the key that stands for all cells
@@ -71,31 +80,44 @@ def best(ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, own: np.ndar
 
 @dataclass
 class Tables:
-    """Directions, offsets and step of each table; ``cover`` is the chance a query covers."""
+    """Directions, offsets and step of each table; ``distance`` is that of the first probe.
+
+    ``cover`` is the chance a query covers, ``wide_cover`` that of a query beyond ``distance``
+    for its own; None stands for a comparison with every vector.
+    """
 
     directions: np.ndarray
     offsets: np.ndarray
     step: float
     distance: float
-    cover: float
+    cover: float | None
+    wide_cover: float | None
 
     def places(self, vectors: np.ndarray) -> np.ndarray:
         """Per vector, table and direction: where it lies, in steps."""
         return np.einsum("nd,tdk->ntk", vectors, self.directions) / self.step + self.offsets
 
-    def cells(self, place: np.ndarray, cover: float) -> tuple[np.ndarray, np.ndarray]:
+    def cells(self, place: np.ndarray, cover: float, distance: float, most: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
         """Cells around one place of one table by falling chance, until ``cover`` is reached; the chances.
 
-        Cells are built direction by direction. What is left out on the way is so unlikely
-        that all of it together leaves the cover within reach.
+        The chances are those of a neighbour at ``distance``. None if more than ``most`` cells
+        are needed. Cells are built direction by direction. What is left out on the way is so
+        unlikely that all of it together leaves the cover within reach.
         """
-        spread = self.distance / self.step
+        spread = distance / self.step
+        if most and spread > most:
+            return None
         spare = (1 - cover) / (4 * len(place))
-        codes, chances = np.zeros((1, 0), np.int64), np.ones(1)
+        sides = []
         for at in place:
             low, high = int(np.floor(at - 4.5 * spread)), int(np.floor(at + 4.5 * spread))
             edges = [erf((edge - at) / spread / 2**0.5) for edge in range(low, high + 2)]
-            share = np.diff(edges) / 2
+            sides.append((low, high, np.diff(edges) / 2))
+        # no cell has more than the product of the greatest shares
+        if most and np.log(cover) - sum(np.log(share.max()) for *_, share in sides) > np.log(most):
+            return None
+        codes, chances = np.zeros((1, 0), np.int64), np.ones(1)
+        for low, high, share in sides:
             codes = np.column_stack((np.repeat(codes, len(share), 0), np.tile(np.arange(low, high + 1), len(codes))))
             chances = np.outer(chances, share).ravel()
             order = np.argsort(-chances, kind="stable")
@@ -103,7 +125,14 @@ class Tables:
             order = order[: int(np.searchsorted(reached, reached[-1] - spare)) + 1]
             codes, chances = codes[order], chances[order]
         count = int(np.searchsorted(np.cumsum(chances), cover)) + 1
-        return codes[:count], chances[:count]
+        return None if most and count > most else (codes[:count], chances[:count])
+
+    def visited(self, place: np.ndarray, cover: float | None, distance: float | None, most: int | None = None) -> np.ndarray | None:
+        """Keys of the cells of all tables that a query at ``place`` visits; None for every vector."""
+        if cover is None or distance is None:
+            return None
+        found = [self.cells(place[t], cover, distance, most) for t in range(len(place))]
+        return None if any(part is None for part in found) else np.concatenate([keys(t, part[0]) for t, part in enumerate(found)])
 
 
 def keys(table: int, codes: np.ndarray) -> np.ndarray:
@@ -144,26 +173,40 @@ def fit(vectors: DataFrame, count: int, k: int) -> Tables:
     near = nearest_of_all(vectors, picked, k)
     points = np.array(picked["vector"].tolist(), np.float64)
     farthest = near.groupby("row")["score"].max()
-    distance = float(farthest.median()) if len(farthest) else 1.0
-    distance = distance if distance > 0 else 1e-6
+    apart = farthest[farthest > 0]  # copies share their cells at any step
+    distance = REACH * float(apart.median()) if len(apart) else 1e-6
     width = int(np.clip(round(np.log2(max(count, 64) / 32) / 2.7), 2, 12))
     draw = np.random.default_rng(SEED)
-    tables = Tables(draw.standard_normal((TABLES, points.shape[1], width)), draw.uniform(0, 1, (TABLES, width)), distance, distance, 1.0)
+    directions, offsets = draw.standard_normal((TABLES, points.shape[1], width)), draw.uniform(0, 1, (TABLES, width))
+    tables = Tables(directions, offsets, distance, distance, MOST_COVER, MOST_COVER)
+    first, wide = [], []
     if len(near):
         places = tables.places(points)
         theirs = np.floor(tables.places(np.array(near["vector"].tolist(), np.float64))).astype(np.int64)
-        needed = np.ones(len(near))
         for row, group in near.groupby("row"):
+            own = float(farthest[row])
             at = near.index.get_indexer(group.index)
+            needed = np.ones(len(at))
             for table in range(TABLES):
-                codes, chances = tables.cells(places[int(row), table], 0.999)
+                found = tables.cells(places[int(row), table], MOST_COVER, max(own, distance), 8 * MOST_CELLS if own > distance else None)
+                if found is None:  # such a query is compared with every vector
+                    break
+                codes, chances = found
                 before = dict(zip(keys(table, codes).tolist(), np.cumsum(chances) - chances, strict=True))
-                mine = keys(table, theirs[at, table])
-                needed[at] = np.minimum(needed[at], [before.get(key, 1.0) for key in mine.tolist()])
-        tables.cover = float(np.clip(np.quantile(needed, RECALL) + 1e-9, 0.05, 0.999))
+                needed = np.minimum(needed, [before.get(key, 1.0) for key in keys(table, theirs[at, table]).tolist()])
+            else:
+                (wide if own > distance else first).append(needed)
+    tables.cover = enough(first)
+    tables.wide_cover = enough(wide)
     return tables
 
 
+def enough(needed: list[np.ndarray]) -> float | None:
+    """The cover that finds ``RECALL`` of neighbours that need so much; None if no cells do."""
+    cover = float(np.quantile(np.concatenate(needed), RECALL)) + 1e-9 if needed else RECALL
+    return max(cover, 0.05) if cover <= MOST_COVER else None
+
+
 def dealt(rows: DataFrame, large: DataFrame, blocks: int, whole: bool) -> DataFrame:
     """``rows`` with the ``block`` of their cell: a vector's own part of it, or all parts for a query."""
     found = rows.join(large, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -266,31 +309,41 @@ def search(table: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_i
                 found = np.column_stack([keys(t, codes[:, t]) for t in range(TABLES)])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(found), pa.list_(pa.int64()))], ["id", "vector", "keys"])
 
-    def query_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 100):
-                some = batch.slice(start, 100)
-                found = []
-                for place in tables.places(matrix(some.column(1))):
-                    found.append(np.concatenate([keys(t, tables.cells(place[t], tables.cover)[0]) for t in range(TABLES)]))
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(found, pa.list_(pa.int64()))], ["id", "vector", "keys"])
+    def query_keys(cover: float | None, most: int | None = None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 100):
+                    some = batch.slice(start, 100)
+                    places = tables.places(matrix(some.column(1)))
+                    found = [tables.visited(*query, most) for query in zip(places, [cover] * len(places), some.column(2).to_pylist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(found, pa.list_(pa.int64()))], ["id", "vector", "keys"])
+
+        return run
 
     schema = f"id long, vector {kind}, keys array<long>"
     index = stage(rows.select("id", "vector").mapInArrow(cell_keys, schema), "ann-index")
-    asked = stage(rows.where("asks").select("id", "vector").mapInArrow(query_keys, schema), "ann-queries")
+    asked = rows.where("asks").select("id", "vector")
+    placed = stage(asked.withColumn("reach", F.lit(tables.distance)).mapInArrow(query_keys(tables.cover), schema), "ann-queries")
     blocks = -(-count * TABLES // BLOCK)
     sizes = index.select(F.explode("keys").alias("key")).groupBy("key").count()
     large = sizes.where(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts"))
-    vectors = dealt(index.select("id", "vector", F.explode("keys").alias("key")), large, blocks, whole=False)
-    visits = dealt(asked.select("id", F.explode("keys").alias("key")), large, blocks, whole=True)
-    visits = visits.groupBy("id", "block").agg(F.collect_set("key").alias("visits")).join(asked.select("id", "vector"), "id")
-    found = stage(ranked(compared(vectors, visits, k), k), "ann-found")
-    short = asked.select("id", "vector").join(found.where(F.col("rank") == k), F.col("id") == F.col("query_id"), "left_anti")
-    short, missing = stage_counted(short, "ann-short")
-    if not missing:
+
+    def probed(placed: DataFrame) -> DataFrame:
+        vectors = dealt(index.select("id", "vector", F.explode("keys").alias("key")), large, blocks, whole=False)
+        visits = dealt(placed.select("id", F.explode("keys").alias("key")), large, blocks, whole=True)
+        visits = visits.groupBy("id", "block").agg(F.collect_set("key").alias("visits")).join(placed.where("keys is not null").select("id", "vector"), "id")
+        return compared(vectors, visits, k)
+
+    found = stage(ranked(probed(placed), k), "ann-found")
+    last = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("reach"))
+    beyond = placed.select("id", "vector").join(last, "id", "left").where(F.col("reach").isNull() | (F.col("reach") > tables.distance))
+    beyond, again = stage_counted(beyond.mapInArrow(query_keys(tables.wide_cover, MOST_CELLS), schema), "ann-beyond")
+    if not again:
         return found
-    # exact: each short query meets every block of all vectors
+    # exact: each query without cells meets every block of all vectors
     spread = index.select("id", "vector", F.lit(EVERY).cast("long").alias("key"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-    every = short.select("id", "vector", F.array(F.lit(EVERY).cast("long")).alias("visits"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    rest = ranked(compared(spread, every, k), k)
-    return found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(rest)
+    every = beyond.where("keys is null").select("id", "vector", F.array(F.lit(EVERY).cast("long")).alias("visits"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    ids = beyond.select(F.col("id").alias("query_id")).distinct()
+    before = found.join(ids, "query_id", "left_semi").select("query_id", "vec_id", "score")
+    more = before.unionByName(probed(beyond)).unionByName(compared(spread, every, k))
+    return found.join(ids, "query_id", "left_anti").unionByName(ranked(more, k))

@@ -183,6 +183,26 @@ def test_nearest_recall_and_scores(spark):
     assert all(score == 0 for ranks in hot for _, score in ranks.values())
 
 
+@pytest.mark.parametrize("apart", [3.0, 40.0])
+def test_nearest_recall_where_density_varies(spark, apart):
+    """A fifth of the vectors lie ``apart`` times as far from each other as the rest."""
+    draw = np.random.default_rng(2)
+    vectors = draw.normal(size=(20_000, 16)) + 100 * draw.normal(size=(1, 16))
+    thin = np.arange(20_000) % 5 == 0
+    vectors[thin] = draw.normal(size=(4000, 16)) * apart
+    rows = [(int(k), v.tolist()) for k, v in enumerate(vectors)]
+    asks = F.col("vec_id") % 100 < 2
+    hits = {True: [], False: []}
+    found = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), asks).collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert len(found) == 400 and all(len(near) == 10 for near in found.values())
+    for query, near in found.items():
+        true = slow_nearest(np.arange(20_000), vectors, (query, vectors[query]))
+        hits[bool(thin[query])].append(len(set(near) & {i for i, _ in true}) / 10)
+    assert np.mean(hits[False]) >= 0.9 and np.mean(hits[True]) >= 0.9
+
+
 def test_nearest_of_few_or_none(spark):
     schema = "vec_id long, embedding array<float>"
     assert ann.search(spark.createDataFrame([], schema), F.lit(True)).count() == 0
