@@ -12,6 +12,7 @@ all pieces share is numbered in many tasks.
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,6 +29,10 @@ from grantlens.llm.common import partitions, small_batches
 
 CAPACITY = 2048
 END = 1
+#: From so many white-space characters on, a run is encoded by itself: the library's pattern overflows its stack near a million.
+LONG_RUN = 100_000
+#: White space as the library's pattern has it (Python's \s has four more).
+RUNS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 @lru_cache(maxsize=2)
@@ -38,6 +43,31 @@ def tokenizer(path: str, pattern: str, special: tuple[tuple[str, int], ...]) ->
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
 
 
+def encoded(text: str, path: str, pattern: str, special: tuple[tuple[str, int], ...]) -> list[int]:
+    """The ids of a text, with white-space runs of any length.
+
+    ``pattern`` takes a run of white space as one piece: whole at the end of a text, else
+    without its last character, which may begin the next piece. Long runs are cut there.
+    """
+    own, known = tokenizer(path, pattern, special), dict(special)
+    names = [name for name in known if name in text]
+    if len(text) < LONG_RUN or all(run.end() - run.start() < LONG_RUN for run in RUNS.finditer(text)):
+        return own.encode(text, allowed_special=set(known)) if names else own.encode_ordinary(text)
+    whole, ids = tokenizer(path, r"[\s\S]+", ()), []
+    for part in re.split("(" + "|".join(map(re.escape, names)) + ")", text) if names else [text]:
+        if part in known:
+            ids.append(known[part])
+            continue
+        begin = 0
+        for run in RUNS.finditer(part):
+            end = run.end() - (run.end() < len(part))
+            if run.end() - run.start() >= LONG_RUN:
+                ids += own.encode_ordinary(part[begin : run.start()]) + whole.encode_ordinary(part[run.start() : end])
+                begin = end
+        ids += own.encode_ordinary(part[begin:])
+    return ids
+
+
 PIECE = "doc_id {}, start long, length long, doc_tokens long, ids binary"
 
 
@@ -59,13 +89,10 @@ def token_pieces(
     known = tuple(sorted((special or {}).items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(path, pattern, known)
-        names = {name for name, _ in known}
         for batch in small_batches(batches, 200):
             rows: list[tuple] = []
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                value = value or ""
-                ids = own.encode(value, allowed_special=names) if any(n in value for n in names) else own.encode_ordinary(value)
+                ids = encoded(value or "", path, pattern, known)
                 ids.append(end)
                 for start in range(0, len(ids), capacity):
                     piece = ids[start : start + capacity]

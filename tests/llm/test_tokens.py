@@ -107,6 +107,18 @@ def test_ids_equal_the_library_on_odd_texts(spark):
         assert np.frombuffer(found[k], "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_ids_equal_the_library_on_long_white_space(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a" + " " * 2_000_000 + "b", "a  " + "\n" * 1_100_000, "\u3000 " * 600_000 + "x", " \t" * 600_000 + "<|endoftext|> it's", "\x1c" * 1_100_000 + " " * 200_000 + "\x1f 1"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pieces = packing.token_pieces(frame, public_tokenizers.path("byte_bpe_50k.tiktoken"), PATTERN, {"<|endoftext|>": 50256})
+    found = defaultdict(bytes)
+    for row in pieces.orderBy("doc_id", "start").collect():
+        found[row["doc_id"]] += bytes(row["ids"])
+    for k, text in enumerate(texts):
+        assert np.frombuffer(found[k], "<u4").tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+
+
 @pytest.mark.parametrize("lengths", [[1] * 5000, [2048] * 3, [1500, 700, 700, 3, 3, 3], [5] * 700 + [2000] * 30, []])
 def test_pack_lengths(spark, lengths):
     frame = spark.createDataFrame([(k // 2, k, n) for k, n in enumerate(lengths)], "doc_id long, start long, length long")
