@@ -38,7 +38,8 @@ def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def line_key(line: Column) -> list[Column]:
-    return [F.xxhash64(line).alias("k1"), F.xxhash64(line, F.lit(1)).alias("k2")]
+    """Two hashes from different seeds, as a constant comes first in one."""
+    return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2")]
 
 
 def segments(length: Column, count: int) -> list[tuple[Column, Column]]:

@@ -96,9 +96,9 @@ def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.
 
 
 def text_keys(text: str) -> list[Column]:
-    """128 bits that stand for a text."""
+    """128 bits that stand for a text: two hashes from different seeds, as a constant comes first in one."""
     value = F.coalesce(F.col(text), F.lit("")) if text else None
-    return [F.xxhash64(value).alias("k1"), F.xxhash64(value, F.lit(1)).alias("k2")]
+    return [F.xxhash64(value).alias("k1"), F.xxhash64(F.lit(1), value).alias("k2")]
 
 
 def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:

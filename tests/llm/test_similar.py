@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from grantlens.llm import ann, simhash, sorting, suffix
+from grantlens.llm import ann, lines, simhash, sorting, suffix
 from grantlens.llm.components import components
 
 
@@ -103,6 +103,40 @@ def slow_repeats(texts, length):
     return found
 
 
+def colliding_texts():
+    """Two texts of 16 letters with one XXH64 of seed 42: the second half of one makes up for the first halves."""
+    p1, p2, p4, p5, every = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5, (1 << 64) - 1
+
+    def turned(x, n):
+        return (x << n | x >> (64 - n)) & every
+
+    def mixed(lane):
+        return turned(lane * p2 & every, 31) * p1 & every
+
+    def unmixed(value):
+        return turned(value * pow(p1, -1, 1 << 64) & every, 33) * pow(p2, -1, 1 << 64) & every
+
+    def after(half):
+        return (turned((42 + p5 + 16 & every) ^ mixed(int.from_bytes(half, "little")), 27) * p1 + p4) & every
+
+    second = b"abcdefgh"
+    held = after(b"ABCDEFGH") ^ mixed(int.from_bytes(second, "little"))
+    for k in range(1_000_000):
+        half = f"x{k:07d}".encode()
+        other = unmixed(held ^ after(half)).to_bytes(8, "little")
+        if all(32 < c < 127 for c in other):
+            return "ABCDEFGH" + second.decode(), (half + other).decode()
+
+
+def test_keys_of_texts_that_collide_in_one_hash(spark):
+    a, b = colliding_texts()
+    assert xxhash.xxh64_intdigest(a, 42) == xxhash.xxh64_intdigest(b, 42)
+    frame = spark.createDataFrame([(a,), (b,)], "text string")
+    for columns in (suffix.text_keys("text"), lines.line_key(F.col("text"))):
+        found = frame.select(*columns).collect()
+        assert found[0]["k1"] == found[1]["k1"] and found[0]["k2"] != found[1]["k2"]
+
+
 def repeated_texts():
     draw = random.Random(7)
 
