@@ -7,7 +7,7 @@ unbiased risk of positive-unlabelled learning,
     prior * mean_P loss(g) + max(0, mean_U loss(-g) - prior * mean_P loss(-g)),
 
 where the prior, the share of positives among the unlabelled, is estimated first. The fit uses
-bounded samples, taken by a hash of the id; scores are computed for every whole text.
+bounded samples of rows, taken by a hash of id and text; scores are computed for every whole text.
 """
 
 from __future__ import annotations
@@ -165,30 +165,27 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(remainder == HELD_OUT, F.lit(False))
 
 
-def sampled(ids: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` of the ids, by the order of a hash of them."""
-    count = ids.count()
-    mixed = F.xxhash64(F.col("id"), F.lit("sample"))
-    if count > most:
-        ids = ids.where(F.pmod(mixed, F.lit(PARTS)) < int(PARTS * min(1.0, 1.2 * most / count)))
-    return ids.orderBy(mixed).limit(most)
+def sampled(rows: DataFrame, most: int, *by: str) -> DataFrame:
+    """At most about ``most`` of the rows, by a hash of some of their columns."""
+    count = rows.count()
+    mixed = F.xxhash64(*by, F.lit("sample"))
+    return rows.where(F.pmod(mixed, F.lit(PARTS)) < int(PARTS * min(1.0, 1.2 * most / count))) if count > most else rows
 
 
-def sample_rows(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Features of the chosen rows (``id``, ``trusted``), and which are trusted positives."""
+def sample_rows(texts: DataFrame, most: int) -> np.ndarray:
+    """Features of the rows (``id``, ``text``); of more than ``most``, those first by a hash of both."""
     width = len(features(b""))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             rows = np.array([features(value) for value in byte_values(batch.column(1))], np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(rows), pa.list_(pa.float64()))], ["trusted", "row"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(rows), pa.list_(pa.float64()))], ["mixed", "row"])
 
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    # the chosen ids number at most MOST_POSITIVE + MOST_UNLABELLED
-    picked = texts.join(F.broadcast(chosen), "id").select("trusted", "text").mapInArrow(run, "trusted boolean, row array<double>")
-    found = picked.toArrow()
-    rows = found["row"].combine_chunks().flatten().to_numpy().reshape(-1, width) if found.num_rows else np.zeros((0, width))
-    return rows, np.array(found["trusted"].to_pylist(), bool)
+    mixed = F.xxhash64("id", "text", F.lit("sample"))
+    picked = texts.select(mixed.alias("mixed"), "text").mapInArrow(run, "mixed long, row array<double>")
+    # rows are counted, not ids: an id may have many
+    found = (picked.orderBy("mixed").limit(most) if texts.count() > most else picked).toArrow()
+    return found["row"].combine_chunks().flatten().to_numpy().reshape(-1, width) if found.num_rows else np.zeros((0, width))
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
@@ -198,16 +195,13 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     ``MOST_UNLABELLED`` rows of ``docs`` the unlabelled ones. Labels of 0 are not used.
     """
     positive = labels.where((F.col(label) == 1) & ~held_out(doc_id)).select(F.col(doc_id).alias("id")).where("id is not null").distinct()
-    everything = docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("id")).where("id is not null")
-    chosen = (
-        sampled(positive, MOST_POSITIVE).withColumn("trusted", F.lit(True))
-        .unionByName(sampled(everything, MOST_UNLABELLED).withColumn("trusted", F.lit(False)))
-    )
-    rows, trusted = sample_rows(docs, chosen, doc_id, text)
-    if not trusted.any() or trusted.all():
+    texts = docs.where(~held_out(doc_id)).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("id is not null")
+    chosen = sampled(positive, MOST_POSITIVE, "id").orderBy(F.xxhash64("id", F.lit("sample"))).limit(MOST_POSITIVE)
+    ours = sample_rows(texts.join(F.broadcast(chosen), "id").select("id", "text"), MOST_POSITIVE)
+    theirs = sample_rows(sampled(texts, MOST_UNLABELLED, "id", "text"), MOST_UNLABELLED)
+    if not len(ours) or not len(theirs):
         return None
-    ours, theirs = rows[trusted], rows[~trusted]
-    model = Model([np.unique(np.quantile(theirs[:, k], CUTS)) for k in range(rows.shape[1])], np.zeros(0), 0.0)
+    model = Model([np.unique(np.quantile(theirs[:, k], CUTS)) for k in range(theirs.shape[1])], np.zeros(0), 0.0)
     ours, theirs = model.bands(ours), model.bands(theirs)
     model.prior = class_prior(ours, theirs)
     model.weights = fit_weights(ours, theirs, model.prior)

@@ -91,6 +91,17 @@ def test_quality_does_not_read_held_out_labels(spark):
     assert np.allclose(a.weights, b.weights) and a.prior == b.prior
 
 
+def test_quality_samples_rows_of_an_id_that_many_share(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MOST_POSITIVE", 100)
+    monkeypatch.setattr(quality, "MOST_UNLABELLED", 200)
+    sizes, bands = [], quality.Model.bands
+    monkeypatch.setattr(quality.Model, "bands", lambda self, rows: sizes.append(len(rows)) or bands(self, rows))
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    labels = spark.createDataFrame([(1, 1), (4, 1)], "doc_id long, quality int")
+    assert quality.fit(docs, labels) is not None
+    assert 1 <= sizes[0] <= 100 and 100 <= sizes[1] <= 200
+
+
 def test_quality_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 9.0), (1, "", 9.0), (None, "text " * 50_000, 9.0)], "doc_id long, text string, score double")
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 1)], "doc_id long, quality int")
