@@ -15,8 +15,13 @@ from grantlens.session import staged_folder
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it is fitted on their own texts and labels."""
+    """Documents that the quality classifier accepts; it is fitted on their own texts and labels.
+
+    Where there is nothing to fit it on, all stay.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    if model is None:
+        return docs
     return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
 
 
@@ -41,10 +46,16 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings that occur elsewhere too; a text with nothing left goes.
 
-    Where a cut leaves part of a character, that part goes as well.
+    Where a cut leaves part of a character, that part goes as well; U+FFFD of the text stays.
     """
     cut = suffix.remove_repeats(docs)
-    whole = F.regexp_replace(F.expr("make_valid_utf8(cast(kept as string))"), "\ufffd", "")
+    # U+FFFD of the text is written as \x01 and 1 meanwhile, and \x01 as \x01 and 0
+    whole = F.col("kept").cast("string")
+    for old, new in (("\x01", "\x010"), ("\ufffd", "\x011")):
+        whole = F.replace(whole, F.lit(old), F.lit(new))
+    whole = F.call_function("make_valid_utf8", whole)
+    for old, new in (("\ufffd", ""), ("\x011", "\ufffd"), ("\x010", "\x01")):
+        whole = F.replace(whole, F.lit(old), F.lit(new))
     changed = F.col("n_removed") > 0
     return (
         cut.where("n_removed = 0 or n_removed < n_bytes")

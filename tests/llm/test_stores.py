@@ -146,6 +146,18 @@ def test_pipeline_stages_on_odd_rows(spark, rows):
         assert found.count() >= (0 if not rows or name == "quality" else 1)
 
 
+def test_pipeline_keeps_replacement_characters_and_unscored_documents(spark, monkeypatch):
+    shared = "é" + "".join(f"passage {k} " for k in range(40))
+    odd = "one\ufffdtwo \x01 \x010 \x011 "
+    rows = [(1, odd + "è" + shared + "\ufffd", "en", "s", 1), (2, "other " + "ê" + shared + "!", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = {row["doc_id"]: row["text"] for row in corpus_pipeline.without_repeats(spark, docs, SF).collect()}
+    left = slow_repeats([text.encode() for _, text, *_ in rows], suffix.LENGTH)
+    assert found == {k: kept.decode("utf-8", "ignore") for k, (kept, *_) in enumerate(left, 1)} and "\ufffd" in found[1]
+    monkeypatch.setattr(quality, "fit", lambda *args, **kwargs: None)
+    assert corpus_pipeline.good_quality(spark, docs, SF).count() == 2
+
+
 def test_pipeline_runs(spark):
     packed = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(packed.columns) and packed.count() > 0
