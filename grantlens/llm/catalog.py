@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.llm import ann, bpe, exact, licenses, lines, packing, quality, simhash, suffix, warc
+from grantlens.llm import ann, bpe, conversation_sql, exact, licenses, lines, packing, quality, repair, simhash, suffix, trie, warc
 from grantlens.llm.common import table
 from grantlens.session import stage, staged_folder
 
@@ -127,3 +127,13 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines to drop per document; classes are transitive, so tests compare with brute force."""
     return lines.dedup_lines(table(spark, folder, "documents"))
+
+
+@query("op11_conversation_repair", conversation_sql.REPAIR)
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.audit(table(spark, folder, "conversations"))
+
+
+@query("op13_conversation_trie", conversation_sql.TRIE)
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, folder, "conversations"))
