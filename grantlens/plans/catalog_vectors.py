@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.operators import dedupe, graph, vectors
+from grantlens.operators import dedupe, graph, layout, vectors
 from grantlens.plans import flows, inputs, oracle
 from grantlens.sources import responses, store
 
@@ -24,6 +24,12 @@ def project_2d(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("item_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
+def neighbour_map(spark: SparkSession, folder: str) -> DataFrame:
+    """V2, non-linear; tests compare neighbours on the map with those of the vectors."""
+    rows = inputs.table(spark, folder, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
+    return layout.neighbour_map(rows, scale=5.5)
+
+
 def _landmarks(spark: SparkSession, folder: str) -> DataFrame:
     """One landmark per label: the mean vector of its rows, on a diagonal."""
     long = inputs.table(spark, folder, "embeddings").select("label", F.posexplode("embedding").alias("pos", "value"))
@@ -72,6 +78,7 @@ def response_network(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "v1_embed_text": embed_text,
     "v2_project_2d": project_2d,
+    "v2_neighbour_map": neighbour_map,
     "v3_place_by_landmarks": place_by_landmarks,
     "e2_grant_map": grant_map,
     "e3_network_map": network_map,

@@ -14,21 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlens.functions.templates import grant_text
-from grantlens.operators import graph, points, vectors
+from grantlens.operators import graph, layout, points, vectors
 from grantlens.session import drop_staged, stage, staging
 
 
-def place_texts(rows: DataFrame, text: str = "text", encoder=None, landmarks: DataFrame | None = None, scale: float = 1.0) -> DataFrame:
-    """``(item_id, x, y)`` of texts, on their main axes or among ``landmarks``."""
+def place_texts(
+    rows: DataFrame, text: str = "text", encoder=None, landmarks: DataFrame | None = None, scale: float = 1.0, method: str = "axes"
+) -> DataFrame:
+    """``(item_id, x, y)`` of texts: among ``landmarks``, or by ``method`` on their main axes or by neighbours."""
     embedded = stage(vectors.embed_text(rows, text, encoder=encoder), "embedding")
     if landmarks is not None:
         return vectors.place_by_landmarks(embedded, landmarks)
-    return vectors.project_2d(embedded, scale=scale)
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method}; one of {', '.join(METHODS)}")
+    return METHODS[method](embedded, scale=scale)
+
+
+#: How texts are laid out in two dimensions.
+METHODS = {"axes": vectors.project_2d, "neighbours": layout.neighbour_map}
 
 
 def grant_map(
     grants: DataFrame, item_id: str = "item_id", template: str = "abstract", encoder=None,
-    landmarks: DataFrame | None = None, scale: float = 1.0,
+    landmarks: DataFrame | None = None, scale: float = 1.0, method: str = "axes",
 ) -> DataFrame:
     """Flat grant rows as merged points, placed by their texts.
 
@@ -36,16 +44,16 @@ def grant_map(
     """
     rows = grants.withColumn("item_id", F.col(item_id))
     texts = rows.select("item_id", grant_text(template).alias("text"))
-    return points.merged_points(rows, place_texts(texts, encoder=encoder, landmarks=landmarks, scale=scale))
+    return points.merged_points(rows, place_texts(texts, encoder=encoder, landmarks=landmarks, scale=scale, method=method))
 
 
 def network_map(
     grant_rows: DataFrame, grants: DataFrame, papers: DataFrame, links: DataFrame, citations: DataFrame | None = None,
-    pid_column: str = "pid", scope: str = "all", encoder=None, landmarks: DataFrame | None = None,
+    pid_column: str = "pid", scope: str = "all", encoder=None, landmarks: DataFrame | None = None, method: str = "axes",
 ) -> DataFrame:
     """Stores and a grant list as network points, placed by the item texts."""
     items = stage(graph.items(grant_rows, grants, papers, links, pid_column, scope), "items")
-    placed = place_texts(items.select("item_id", "text"), encoder=encoder, landmarks=landmarks)
+    placed = place_texts(items.select("item_id", "text"), encoder=encoder, landmarks=landmarks, method=method)
     return points.network_points(items, placed, citations)
 
 
