@@ -33,23 +33,74 @@ def embed_text(
     By default a normalised TF-IDF over hashed tokens: a token's place comes from its md5, so
     it is the same in every engine. Document frequencies are one count per dimension.
     ``encoder`` is a factory that Spark calls once per task; what it returns maps a list of
-    texts to a matrix.
+    texts to a matrix. No row is shuffled: tokens are counted within their row.
     """
     if encoder is not None:
         return _encode(rows.select(item_id, text), text, item_id, encoder, batch_size)
+    slim, n_rows = stage_counted(token_counts(rows, text, item_id, dimensions), "token-counts")
+    values = weighted(F.col("places"), F.col("counts"), place_weights(slim, n_rows, dimensions))
+    return slim.select(item_id, dense(F.col("places"), values, dimensions).alias("embedding"))
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def token_counts(rows: DataFrame, text: str, item_id: str, dimensions: int) -> DataFrame:
+    """``(item_id, places, counts)``: the places of the text's hashed tokens, ascending, and how often each is hit.
+
+    All is counted within the row: in the sorted places, a distinct one reaches from where it
+    first stands to where the next one does.
+    """
     tokens = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN_TOKENS), "")
-    places = F.transform(tokens, lambda token: F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % dimensions)
-    slim, n_rows = stage_counted(rows.select(F.monotonically_increasing_id().alias("_row"), item_id, places.alias("_places")), "tokens")
-    counts = slim.select("_row", F.explode("_places").alias("_place")).groupBy("_row", "_place").agg(F.count(F.lit(1)).alias("n"))
-    known = counts.groupBy("_place").agg(F.log((n_rows + 1) / (F.count(F.lit(1)) + 1)).alias("weight"))
-    # one row for each dimension
-    weighted = counts.join(F.broadcast(known), "_place").select("_row", "_place", (F.col("n") * F.col("weight")).alias("value"))
-    held = weighted.groupBy("_row").agg(
-        F.map_from_entries(F.collect_list(F.struct("_place", "value"))).alias("held"), F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm")
-    )
-    share = lambda place: F.coalesce(F.try_divide(F.col("held")[place], F.nullif(F.col("norm"), F.lit(0.0))), F.lit(0.0))
-    vector = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(dimensions - 1).cast("bigint")), share)
-    return slim.select("_row", item_id).join(held, "_row", "left").select(item_id, vector.cast("array<float>").alias("embedding"))
+    hits = F.transform(tokens, lambda token: (F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % dimensions).cast("int"))
+
+    def counted(hit: Column) -> Column:
+        starts = F.filter(F.transform(hit, lambda place, k: F.when((k == 0) | (place != F.get(hit, k - 1)), k)), lambda k: k.isNotNull())
+
+        def runs(first: Column) -> Column:
+            places = F.transform(first, lambda k: hit[k])
+            counts = F.transform(first, lambda k, nth: F.coalesce(F.get(first, nth + 1), F.size(hit)) - k)
+            return F.struct(places.alias("places"), counts.alias("counts"))
+
+        return bound(starts, runs)
+
+    return rows.select(item_id, bound(F.array_sort(hits), counted).alias("_found")).select(item_id, "_found.places", "_found.counts")
+
+
+def dense(places: Column, values: Column, dimensions: int) -> Column:
+    """The whole vector of values at ascending places, zeros between them."""
+
+    def filled(found: Column) -> Column:
+        at, held = found["places"], found["values"]
+        zeros = lambda count: F.array_repeat(F.lit(0.0).cast("float"), count)
+        parts = F.transform(at, lambda place, k: F.concat(zeros(place - F.coalesce(F.get(at, k - 1), F.lit(-1)) - 1), F.array(held[k].cast("float"))))
+        tail = zeros(dimensions - 1 - F.coalesce(F.get(at, F.size(at) - 1), F.lit(-1)))
+        return F.concat(F.flatten(parts), tail)
+
+    return bound(F.struct(places.alias("places"), values.alias("values")), filled)
+
+
+def place_weights(counted: DataFrame, n_rows: int, dimensions: int) -> list[float]:
+    """The weight of each place by the share of rows that hit it; one number per dimension."""
+    known = counted.select(F.explode("places").alias("place")).groupBy("place").agg(F.log((n_rows + 1) / (F.count(F.lit(1)) + 1)).alias("weight"))
+    weights = [0.0] * dimensions
+    for row in known.collect():  # a row for each dimension at most
+        weights[row["place"]] = row["weight"]
+    return weights
+
+
+def weighted(places: Column, counts: Column, weights: list[float]) -> Column:
+    """Counts times weights, as a vector of length one (zeros where nothing has any weight)."""
+    known = F.array(*map(F.lit, weights))
+    found = F.zip_with(counts, places, lambda count, place: count * F.get(known, place))
+
+    def scaled(values: Column) -> Column:
+        norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, value: total + value * value))
+        return bound(norm, lambda length: F.transform(values, lambda value: F.coalesce(F.try_divide(value, F.nullif(length, F.lit(0.0))), F.lit(0.0))))
+
+    return bound(found, scaled)
 
 
 def _encode(rows: DataFrame, text: str, item_id: str, encoder, batch_size: int) -> DataFrame:

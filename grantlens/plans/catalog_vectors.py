@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlens.operators import dedupe, graph, layout, vectors
+from grantlens.operators import dedupe, graph, layout, semantic, vectors
 from grantlens.plans import flows, inputs, oracle
 from grantlens.sources import responses, store
 
@@ -17,6 +17,21 @@ def embed_text(spark: SparkSession, folder: str) -> DataFrame:
     return numbers.filter("value <> 0").withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
+def learnt_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """V1, learnt from whole documents; tests compare with a singular value decomposition."""
+    rows = inputs.table(spark, folder, "documents").select(F.col("doc_id").alias("item_id"), "text")
+    return semantic.learn_vectors(rows)
+
+
+def learnt_axes(spark: SparkSession, folder: str) -> DataFrame:
+    """V1, learnt: whole documents along the two main directions of 64 places."""
+    rows = inputs.table(spark, folder, "documents").select(F.col("doc_id").alias("item_id"), "text")
+    sparse = semantic.sparse_texts(rows, dimensions=64)
+    axes, _ = semantic.main_directions(sparse, 64, 2, residue=1e-10)
+    placed = semantic.projected(sparse, axes, kind="double")
+    return placed.select("item_id", *[F.round(F.coalesce(F.get("embedding", k), F.lit(0.0)), 4).alias(name) for k, name in ((0, "x"), (1, "y"))])
+
+
 def project_2d(spark: SparkSession, folder: str) -> DataFrame:
     """V2"""
     rows = inputs.table(spark, folder, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
@@ -77,6 +92,8 @@ def response_network(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "v1_embed_text": embed_text,
+    "v1_learnt_vectors": learnt_vectors,
+    "v1_learnt_axes": learnt_axes,
     "v2_project_2d": project_2d,
     "v2_neighbour_map": neighbour_map,
     "v3_place_by_landmarks": place_by_landmarks,
@@ -104,6 +121,20 @@ def _axis(number: int, matrix: str, squarings: int = 17) -> str:
     return ",\n".join(steps)
 
 
+def _weighted_tokens(dimensions: int) -> str:
+    """Token counts times the weights of their places."""
+    return f"""tokens AS (
+  SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')) AS token FROM documents
+),
+counts AS (
+  SELECT doc_id, ((('0x' || substr(md5(token), 1, 8))::BIGINT) % {dimensions})::INTEGER AS pos, count(*) AS n FROM tokens GROUP BY ALL
+),
+weights AS (
+  SELECT pos, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (count(*) + 1)) AS weight FROM counts GROUP BY pos
+),
+weighted AS (SELECT doc_id, pos, n * weight AS value FROM counts JOIN weights USING (pos))"""
+
+
 ORACLES = {
     "v2_project_2d": f"""WITH long AS MATERIALIZED (
   SELECT vec_id, unnest(range(0, len(embedding))) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings
@@ -120,16 +151,20 @@ deflated AS MATERIALIZED (
 {_axis(2, 'deflated')}
 SELECT vec_id AS item_id, round(sum(long.v * axis1.v) * 5.5::DOUBLE, 4) AS x, round(sum(long.v * axis2.v) * 5.5::DOUBLE, 4) AS y
 FROM long JOIN axis1 USING (i) JOIN axis2 USING (i) GROUP BY vec_id""",
-    "v1_embed_text": """WITH tokens AS (
-  SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda t: t <> '')) AS token FROM documents
-),
-counts AS (
-  SELECT doc_id, ((('0x' || substr(md5(token), 1, 8))::BIGINT) % 256)::INTEGER AS pos, count(*) AS n FROM tokens GROUP BY ALL
+    "v1_learnt_axes": f"""WITH {_weighted_tokens(64)},
+long AS MATERIALIZED (
+  SELECT doc_id, pos AS i, value / sqrt(sum(value * value) OVER (PARTITION BY doc_id)) AS v FROM weighted WHERE value <> 0
 ),
-weights AS (
-  SELECT pos, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (count(*) + 1)) AS weight FROM counts GROUP BY pos
+gram AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.v * b.v) AS v FROM long a JOIN long b USING (doc_id) GROUP BY a.i, b.i),
+{_axis(1, 'gram')},
+size AS (SELECT sum(a.v * g.v * b.v) AS v FROM gram g JOIN axis1 a ON a.i = g.i JOIN axis1 b ON b.i = g.j),
+deflated AS MATERIALIZED (
+  SELECT g.i, g.j, g.v - (SELECT v FROM size) * a.v * b.v AS v FROM gram g JOIN axis1 a ON a.i = g.i JOIN axis1 b ON b.i = g.j
 ),
-weighted AS (SELECT doc_id, pos, n * weight AS value FROM counts JOIN weights USING (pos))
+{_axis(2, 'deflated')}
+SELECT doc_id AS item_id, round(coalesce(sum(long.v * axis1.v), 0), 4) AS x, round(coalesce(sum(long.v * axis2.v), 0), 4) AS y
+FROM documents LEFT JOIN long USING (doc_id) LEFT JOIN axis1 USING (i) LEFT JOIN axis2 USING (i) GROUP BY doc_id""",
+    "v1_embed_text": f"""WITH {_weighted_tokens(256)}
 SELECT doc_id AS item_id, pos, round((value / sqrt(sum(value * value) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE, 6) AS value
 FROM weighted WHERE value <> 0""",
     "e3_response_network": f"""WITH {oracle.PROJECTS}, {oracle.PAPERS},

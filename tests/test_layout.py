@@ -88,7 +88,7 @@ def test_map_keeps_neighbours_better_than_axes(spark):
     rows = frame(spark, values)
     odd = spark.createDataFrame([(9000, None), (9001, [None] * 24), (9002, [float("nan")] * 24)], rows.schema)
     copies = rows.where("item_id < 300").withColumn("item_id", F.lit(7000) + F.col("item_id") % 3).withColumn("embedding", F.lit(None).cast("array<float>"))
-    same = rows.where("item_id = 5").select((F.col("item_id") + F.explode(F.sequence(F.lit(8000), F.lit(8400)))).alias("item_id"), "embedding")
+    same = rows.where("item_id = 5").select(F.explode(F.sequence(F.lit(8005).cast("long"), F.lit(8405).cast("long"))).alias("item_id"), "embedding")
     every = rows.unionByName(odd).unionByName(copies).unionByName(same).withColumn("vector", F.lit("clash"))
     placed = layout.neighbour_map(every, steps=15).toPandas()
     assert len(placed) == 900 + 3 + 300 + 401
