@@ -17,14 +17,26 @@ def _key(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
 
 
-def _keys(rows: DataFrame, project: str, core: str, order_by: Sequence[str]) -> DataFrame:
-    """The order columns with project key ``p`` and core key ``c``.
+def _two_keys(project: str, core: str) -> tuple[Column, Column]:
+    """The project key and the core key of a row.
 
     A row without a core number stands under its project number among the cores.
     """
     core_text = F.col(core).cast("string")
     checked = F.when(F.coalesce(core_text, F.lit("")) == "", F.col(project).cast("string")).otherwise(core_text)
-    return rows.select(*order_by, _key(F.col(project)).alias("p"), _key(checked).alias("c"))
+    return _key(F.col(project)), _key(checked)
+
+
+def _keys(rows: DataFrame, project: str, core: str, order_by: Sequence[str]) -> DataFrame:
+    """The order columns with project key ``p`` and core key ``c``."""
+    p, c = _two_keys(project, core)
+    return rows.select(*order_by, p.alias("p"), c.alias("c"))
+
+
+def keyed_rows(rows: DataFrame, project: str, core: str) -> DataFrame:
+    """``rows`` with both keys, never NULL, as ``_p`` and ``_c``."""
+    p, c = _two_keys(project, core)
+    return rows.withColumns({"_p": p, "_c": c})
 
 
 def _earlier(live: DataFrame, key: str, hot: list) -> DataFrame:

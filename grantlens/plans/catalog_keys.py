@@ -9,7 +9,9 @@ from grantlens.functions import variants
 from grantlens.operators import dedupe
 from grantlens.operators.numbering import number_batches
 from grantlens.plans import inputs, oracle
+from grantlens.session import staged_folder
 from grantlens.sources import responses
+from grantlens.streaming import arrivals
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -38,6 +40,18 @@ def two_key_status_few_cores(spark: SparkSession, folder: str) -> DataFrame:
     return dedupe.two_key_status(_lines(spark, folder), "l_orderkey", "l_suppkey", ORDER)
 
 
+def two_key_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """D1 kept up to date: three quarters of the lines, then the rest, then lines that come late."""
+    lines = _lines(spark, folder).select(*ORDER)
+    most = lines.agg(F.max("l_orderkey").alias("most")).first()["most"]
+    late = (F.pmod(F.xxhash64(*ORDER), F.lit(50)) == 0) & (F.col("l_orderkey") > most * 0.6)
+    arrival = F.when(late, 2).when(F.col("l_orderkey") > most * 0.75, 1).otherwise(0)
+    log = arrivals.DedupeLog(spark, staged_folder(spark, "arrivals"), lines.schema, "l_orderkey", "l_suppkey", ORDER)
+    for batch in range(3):
+        log.take(lines.where(arrival == batch), batch)
+    return log.fates().select(*ORDER, "status")
+
+
 def _hot(rows: DataFrame) -> DataFrame:
     """Line keys of which one project has every second line and one core every third."""
     project = F.when(F.col("l_orderkey") % 2 == 0, "hot").otherwise(F.concat(F.lit("p"), "l_orderkey"))
@@ -143,6 +157,7 @@ QUERIES = {
     "d1_two_key_status": two_key_status,
     "d1_two_key_status_few_cores": two_key_status_few_cores,
     "d1_two_key_status_hot": two_key_status_hot,
+    "d1_two_key_arrivals": two_key_arrivals,
     "d1_two_key_dedupe_gaps": two_key_dedupe_gaps,
     "d1b_two_key_flag": two_key_flag,
     "d2_upsert": upsert,
@@ -174,6 +189,7 @@ SELECT {_ORDER}, status FROM placed JOIN fates USING (ord)"""
 ORACLES = {
     "d1_two_key_status": _status("l_partkey"),
     "d1_two_key_status_few_cores": _status("l_suppkey"),
+    "d1_two_key_arrivals": _status("l_suppkey"),
     "d1_two_key_status_hot": f"""WITH {_LINES},
 hot AS (SELECT *, CASE WHEN l_orderkey % 2 = 0 THEN 'hot' ELSE 'p' || l_orderkey END AS project,
   CASE WHEN l_partkey % 3 = 0 THEN 'hot' ELSE 'c' || l_partkey END AS core FROM lines),
