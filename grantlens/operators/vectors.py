@@ -6,16 +6,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
-from grantlens.session import stage_counted
+from grantlens.session import stage, stage_counted
 
 #: Landmarks and rows that one task compares.
 LANDMARK_BLOCK, ROW_BLOCK = 1024, 8192
+#: Landmarks that a pivot has on average where there are few, and the most pivots.
+PIVOT_MARKS, PIVOTS = 64, 2048
 ENCODER_BATCH = 32
 BETWEEN_TOKENS = r"[^\p{L}\p{N}]+"
 
@@ -141,6 +144,96 @@ def project_2d(
     return placed.unionByName(nowhere)
 
 
+def unit_rows(column: pa.Array, width: int) -> np.ndarray:
+    """A column of arrays as rows of length one; a row of zeros stays."""
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
+
+
+def angles(rows: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(rows @ axes.T, -1.0, 1.0))
+
+
+def pivot_blocks(marks: DataFrame, n_marks: int) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """Landmarks with the pivot nearest to each, the pivots, and each one's farthest angle and number of landmarks.
+
+    Pivots are landmarks taken by a hash, at most ``PIVOTS``.
+    """
+    count = int(np.clip(-(-n_marks // PIVOT_MARKS), 1, PIVOTS))
+    chosen = marks.orderBy(F.xxhash64("x", "y", "_vector", F.lit("pivot"))).limit(count).select("_vector").toArrow()["_vector"]
+    width = len(chosen[0].as_py())
+    pivots = unit_rows(chosen.combine_chunks(), width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            away = angles(unit_rows(batch.column(0), width), pivots)
+            near = away.argmin(axis=1)
+            columns = [*batch.columns, pa.array(near, pa.int32()), pa.array(np.take_along_axis(away, near[:, None], 1)[:, 0])]
+            yield pa.RecordBatch.from_arrays(columns, ["_vector", "x", "y", "_pivot", "_angle"])
+
+    placed = stage(marks.select("_vector", "x", "y").mapInArrow(run, "_vector array<double>, x double, y double, _pivot int, _angle double"), "landmark-blocks")
+    radius, held = np.zeros(count), np.zeros(count, np.int64)
+    for row in placed.groupBy("_pivot").agg(F.max("_angle").alias("radius"), F.count(F.lit(1)).alias("held")).collect():
+        radius[row["_pivot"]], held[row["_pivot"]] = row["radius"], row["held"]
+    return placed.drop("_angle"), pivots, radius, held
+
+
+def blocks_to_open(rows: DataFrame, pivots: np.ndarray, radius: np.ndarray, held: np.ndarray, k: int) -> DataFrame:
+    """``(_row, _vector, _pivot)``: what each row has to be compared with.
+
+    Without a column ``_worst`` these are its nearest pivots that hold ``k`` landmarks together. With one,
+    the similarity (negative) of its k-th landmark so far, they are all other pivots of which some
+    landmark may be as near: the angle to a landmark is at least that to its pivot less the pivot's radius.
+    """
+    width, bounded = pivots.shape[1], "_worst" in rows.columns
+    columns = ["_row", "_vector", *(["_worst"] if bounded else [])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                batch = whole.slice(start, 1024)
+                away = angles(unit_rows(batch.column(1), width), pivots)
+                near = np.argsort(away, axis=1, kind="stable")
+                before = np.cumsum(held[near], axis=1) - held[near]
+                opened = np.zeros(away.shape, bool)
+                np.put_along_axis(opened, near, before < k, axis=1)
+                if bounded:
+                    bound = -np.cos(np.maximum(away - radius, 0.0))
+                    opened = ~opened & (bound <= batch.column(2).to_numpy()[:, None] + 1e-9)
+                row, pivot = np.nonzero(opened & (held > 0))
+                taken = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(pivot, pa.int32())], ["_row", "_vector", "_pivot"])
+
+    return rows.select(*columns).mapInArrow(run, "_row bigint, _vector array<double>, _pivot int")
+
+
+def compared(opened: DataFrame, marks: DataFrame, held: np.ndarray, k: int) -> DataFrame:
+    """The best ``k`` landmarks of each block that a row opens.
+
+    A task holds at most ``LANDMARK_BLOCK`` landmarks of a pivot and about ``ROW_BLOCK`` rows.
+    """
+    opened = stage(opened, "opened-blocks")
+    asked = dict(opened.groupBy("_pivot").count().collect())  # a row for each pivot at most
+
+    row_parts = spread(opened.sparkSession, {pivot: -(-n // ROW_BLOCK) for pivot, n in asked.items()}, "_row_parts")
+    mark_parts = spread(opened.sparkSession, {pivot: -(-int(n) // LANDMARK_BLOCK) for pivot, n in enumerate(held) if n}, "_mark_parts")
+    numbers = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+    left = opened.join(F.broadcast(row_parts), "_pivot").join(F.broadcast(mark_parts), "_pivot").select(
+        "_pivot", F.pmod(F.xxhash64("_row"), F.col("_row_parts")).cast("int").alias("_rows"), F.explode(numbers("_mark_parts")).alias("_marks"), "_row", "_vector"
+    )
+    right = marks.join(F.broadcast(row_parts), "_pivot").join(F.broadcast(mark_parts), "_pivot").select(
+        "_pivot", F.explode(numbers("_row_parts")).alias("_rows"), F.pmod(F.xxhash64("x", "y", "_vector"), F.col("_mark_parts")).cast("int").alias("_marks"),
+        "_vector", "x", "y",
+    )
+    keys = ["_pivot", "_rows", "_marks"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_nearest(k), "_row long, away double, x double, y double")
+
+
+def spread(spark: SparkSession, counts: dict[int, int], name: str) -> DataFrame:
+    """A row for each pivot, so at most ``PIVOTS``."""
+    return spark.createDataFrame(sorted(counts.items()), f"_pivot int, {name} int")
+
+
 def place_by_landmarks(
     rows: DataFrame, landmarks: DataFrame, k: int = 3, vector: str = "embedding", item_id: str = "item_id"
 ) -> DataFrame:
@@ -150,10 +243,11 @@ def place_by_landmarks(
     similarity (negative ones count nothing; if none is positive the plain mean). Ties
     go by landmark order in (x, y). Rows without a vector get NULL.
 
-    Landmarks and rows are dealt out in blocks. A task holds one block of each, and returns the
-    best ``k`` of that block per row; these are merged by an aggregate of at most ``k`` for each block.
+    Landmarks stand in blocks around pivots. A row is first compared with its nearest blocks,
+    then with those that can still hold one as near as its ``k``-th so far. The best of each
+    block are merged by an aggregate.
     """
-    known, n_rows = stage_counted(
+    known, _ = stage_counted(
         rows.filter(F.col(vector).isNotNull()).select(
             F.monotonically_increasing_id().alias("_row"), item_id, F.col(vector).cast("array<double>").alias("_vector")
         ),
@@ -164,20 +258,12 @@ def place_by_landmarks(
     )
     if not n_marks:
         raise ValueError("no landmarks")
-    mark_blocks, row_blocks = -(-n_marks // LANDMARK_BLOCK), -(-max(n_rows, 1) // ROW_BLOCK)
-
-    def numbers(count: int) -> Column:
-        return F.sequence(F.lit(0), F.lit(count - 1))
-
-    left = known.select(
-        F.pmod(F.xxhash64("_row"), F.lit(row_blocks)).cast("int").alias("_rows"), F.explode(numbers(mark_blocks)).alias("_marks"), "_row", "_vector"
-    )
-    right = marks.select(
-        F.explode(numbers(row_blocks)).alias("_rows"), F.pmod(F.xxhash64("x", "y", "_vector"), F.lit(mark_blocks)).cast("int").alias("_marks"), "_vector", "x", "y"
-    )
-    found = left.groupBy("_rows", "_marks").cogroup(right.groupBy("_rows", "_marks")).applyInPandas(
-        _nearest(k), "_row long, away double, x double, y double"
-    )
+    marks, pivots, radius, held = pivot_blocks(marks, n_marks)
+    first = stage(compared(blocks_to_open(known, pivots, radius, held, k), marks, held, k), "first-landmarks")
+    nth = F.slice(F.sort_array(F.collect_list("away")), 1, k)
+    worst = first.groupBy("_row").agg(nth.alias("near")).select("_row", F.when(F.size("near") == k, F.get("near", k - 1)).otherwise(2.0).alias("_worst"))
+    further = compared(blocks_to_open(known.select("_row", "_vector").join(worst, "_row"), pivots, radius, held, k), marks, held, k)
+    found = first.unionByName(further)
     best = found.groupBy("_row").agg(F.slice(F.sort_array(F.collect_list(F.struct("away", "x", "y"))), 1, k).alias("near"))
     weights = F.transform("near", lambda mark: F.greatest(-mark["away"], F.lit(0.0)))
     summed = F.aggregate("weights", F.lit(0.0), lambda total, weight: total + weight)

@@ -32,15 +32,37 @@ def test_place_by_landmarks_equals_brute_force(spark, monkeypatch):
         weights = weights / weights.sum() if weights.sum() else np.array([0.5, 0.5])
         assert found["x"][i] == pytest.approx(weights @ best)
         assert found["y"][i] == pytest.approx(weights @ best**2)
-    for blocks in ((2, 7), (3, 1000)):
-        monkeypatch.setattr(vectors, "LANDMARK_BLOCK", blocks[0])
-        monkeypatch.setattr(vectors, "ROW_BLOCK", blocks[1])
+    for blocks in ((2, 7, 64), (3, 1000, 1), (1000, 1000, 2)):
+        for name, size in zip(("LANDMARK_BLOCK", "ROW_BLOCK", "PIVOT_MARKS"), blocks, strict=True):
+            monkeypatch.setattr(vectors, name, size)
         again = vectors.place_by_landmarks(rows, table, k=2).orderBy("item_id").toPandas()
         assert np.allclose(again[["x", "y"]], found[["x", "y"]])
     with pytest.raises(ValueError):
         vectors.place_by_landmarks(rows, table.limit(0))
 
 
+def test_few_blocks_are_opened_where_vectors_lie_in_clusters(spark, monkeypatch):
+    draw = np.random.default_rng(6)
+    centres = draw.normal(size=(24, 16))
+    marks, values = (np.vstack([centres[k % 24] + 0.1 * draw.normal(size=16) for k in range(n)]) for n in (480, 400))
+    values[7], marks[9] = 0, 0  # of no direction
+    marks[100:104] = marks[100]
+    table = spark.createDataFrame([([float(v) for v in m], float(i % 50), float(i)) for i, m in enumerate(marks)], "embedding array<double>, x double, y double")
+    rows = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(values)], "item_id int, embedding array<double>")
+    monkeypatch.setattr(vectors, "PIVOT_MARKS", 10)
+    opened, step = [], vectors.compared
+    monkeypatch.setattr(vectors, "compared", lambda found, *rest: opened.append(found.count()) or step(found, *rest))
+    found = vectors.place_by_landmarks(rows, table, k=4).orderBy("item_id").toPandas()
+    assert len(opened) == 2 and sum(opened) < 400 * 48 / 3
+    unit = lambda v: v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
+    alike, at = unit(values) @ unit(marks).T, np.array([[i % 50, i] for i in range(480)], float)
+    for i in range(400):
+        best = np.lexsort((at[:, 1], at[:, 0], -np.round(alike[i], 12)))[:4]
+        weights = np.maximum(alike[i][best], 0)
+        weights = weights if weights.sum() > 0 else np.ones(4)
+        assert found.loc[i, ["x", "y"]].to_numpy(float) == pytest.approx(weights @ at[best] / weights.sum(), rel=1e-6)
+
+
 def test_rows_without_a_vector_get_no_place(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])], "item_id int, embedding array<float>")
     table = spark.createDataFrame([([1.0, 0.0], 5.0, 6.0)], "embedding array<double>, x double, y double")
