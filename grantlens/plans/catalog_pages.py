@@ -10,7 +10,7 @@ from grantlens.operators import dedupe, extract, graph, stats
 from grantlens.operators.numbering import number_rows
 from grantlens.plans import inputs, oracle
 from grantlens.session import stage, staged_folder
-from grantlens.sources import pages, responses, store, tsv
+from grantlens.sources import pages, responses, split_tsv, store, tsv
 from grantlens.streaming import ingest
 
 
@@ -87,6 +87,15 @@ def tsv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return tsv.read_tsv(spark, path, "doc_id bigint, text string, lang string")
 
 
+def tsv_in_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """The same file read in ranges that may begin inside a text."""
+    path = _fresh_path(spark, "texts-tsv")
+    quoted = F.concat(F.lit('"q" '), F.regexp_replace("text", r"\.", F.lit('\t"." ')), F.lit(" "))
+    rows = inputs.table(spark, folder, "documents").select("doc_id", quoted.alias("text"), "lang")
+    tsv.write_tsv(rows, path)
+    return split_tsv.read_split_tsv(spark, path, "doc_id bigint, text string, lang string")
+
+
 def tsv_missing_words(spark: SparkSession, folder: str) -> DataFrame:
     """Words that stand for a missing value."""
     path = _fresh_path(spark, "flat-tsv")
@@ -284,6 +293,7 @@ QUERIES = {
     "s5_write_pages": write_pages,
     "s6_tsv_missing_words": tsv_missing_words,
     "s7_tsv_round_trip": tsv_round_trip,
+    "s6_tsv_in_ranges": tsv_in_ranges,
     "s8_skipped_keys": skipped_keys,
     "s9_scan_stores": scan_stores,
     "s10_citation_table": citation_table,
@@ -313,6 +323,9 @@ _EDGES = """
 SELECT core_project_num AS source, pmid AS target, 'grant-paper' AS type FROM links
 UNION ALL SELECT substr(md5(name), 1, 12), pmid, 'author-paper' FROM authors"""
 
+_QUOTED_TEXTS = """
+SELECT doc_id, '"q" ' || replace(text, '.', chr(9) || '"." ') || ' ' AS text, lang FROM documents"""
+
 ORACLES = {
     "s10_citation_table": f"WITH {oracle.CITATIONS} SELECT * FROM citations",
     "stream_ingest_grants": f"""WITH {oracle.paged()},
@@ -341,8 +354,8 @@ SELECT page_year AS fiscal_year, page_state AS org_state, batch, arg_max(n, page
 FROM both_sizes GROUP BY page_year, page_state, batch""",
     "s6_tsv_missing_words": f"""WITH {oracle.PROJECTS}
 SELECT o_orderkey AS item_id, agency_ic_admin, nullif(core_project_num, '') AS core_project_num, award_amount FROM projects""",
-    "s7_tsv_round_trip": """
-SELECT doc_id, '"q" ' || replace(text, '.', chr(9) || '"." ') || ' ' AS text, lang FROM documents""",
+    "s7_tsv_round_trip": _QUOTED_TEXTS,
+    "s6_tsv_in_ranges": _QUOTED_TEXTS,
     "s8_skipped_keys": f"""{oracle.CONVERTED}
 SELECT status AS kind, CASE status WHEN 'project' THEN coalesce(project_num, '')
   ELSE coalesce(project_num, '') || chr(9) || coalesce(core_project_num, '') END AS line

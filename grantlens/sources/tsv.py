@@ -39,7 +39,11 @@ def read_tsv(
     )
     if schema:
         reader = reader.schema(schema)
-    rows = reader.csv(path)
+    return without_missing_words(reader.csv(path), missing_words)
+
+
+def without_missing_words(rows: DataFrame, missing_words: Sequence[str]) -> DataFrame:
+    """Text columns with the words read as missing made NULL."""
     words = [word for word in missing_words]
     if not words:
         return rows
