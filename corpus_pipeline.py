@@ -10,10 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlens.llm import catalog, exact, packing, quality, simhash, suffix
-from grantlens.llm.common import table
+from grantlens.llm.common import plain_names, table
 from grantlens.session import staged_folder
 
 
+def own_names(stage):
+    """``stage`` with the columns that it does not know set aside, so that none of them is taken for one of its own."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(spark, plain_names(docs, "doc_id", "text", "n_chars"), sf_dir).toDF(*docs.columns)
+
+    return run
+
+
+@own_names
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it is fitted on their own texts and labels.
 
@@ -25,11 +35,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
 
 
+@own_names
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the one with the smallest id."""
     return exact.kept_documents(docs)
 
 
+@own_names
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest id; a NULL id comes last.
 
@@ -43,6 +55,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return docs.join(gone, same, "left_anti")
 
 
+@own_names
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings that occur elsewhere too; a text with nothing left goes.
 
@@ -57,12 +70,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     for old, new in (("\ufffd", ""), ("\x011", "\ufffd"), ("\x010", "\x01")):
         whole = F.replace(whole, F.lit(old), F.lit(new))
     changed = F.col("n_removed") > 0
-    return (
-        cut.where("n_removed = 0 or n_removed < n_bytes")
-        .withColumn("text", F.when(changed, whole).otherwise(F.col("text")))
-        .withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-        .select(*docs.columns)
-    )
+    left = cut.where("n_removed = 0 or n_removed < n_bytes").withColumn("text", F.when(changed, whole).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

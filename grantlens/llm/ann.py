@@ -58,21 +58,35 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def distances(apart: np.ndarray) -> np.ndarray:
+    """The length of each row, also where its square is beyond the numbers there are."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        found = np.sqrt((apart**2).sum(1))
+        if not np.isfinite(found).all():
+            most = np.abs(apart).max(axis=1, initial=0.0)[:, None]
+            found = np.where(np.isfinite(found), found, most[:, 0] * np.sqrt(((apart / most) ** 2).sum(1)))
+    return found
+
+
 def best(ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, own: np.ndarray, allowed: np.ndarray | None, k: int):
     """For each query the ``k`` nearest allowed vectors: (query row, vector id, distance) arrays."""
-    rough = (queries**2).sum(1)[:, None] + (vectors**2).sum(1) - 2 * queries @ vectors.T
-    rough[own[:, None] == ids] = np.inf
-    if allowed is not None:
-        rough[~allowed] = np.inf
     out = []
-    scale = 1e-9 * max(1.0, float(np.abs(vectors).max()) ** 2) * vectors.shape[1]
+    taken = own[:, None] != ids
+    if allowed is not None:
+        taken &= allowed
+    with np.errstate(over="ignore", invalid="ignore"):
+        rough = (queries**2).sum(1)[:, None] + (vectors**2).sum(1) - 2 * queries @ vectors.T
+        scale = 1e-9 * np.maximum(1.0, np.abs(vectors).max(initial=0.0) ** 2) * vectors.shape[1]
+    # where squares are beyond the numbers there are, all are compared
+    whole = np.isfinite(scale) and np.isfinite(rough).all()
+    rough[~taken] = np.inf
     for row, line in enumerate(rough):
-        if len(line) > k:
+        if whole and len(line) > k:
             limit = np.partition(line, k - 1)[k - 1]
             at = np.flatnonzero((line <= limit + scale) & np.isfinite(line))
         else:
-            at = np.flatnonzero(np.isfinite(line))
-        exact = np.sqrt(((vectors[at] - queries[row]) ** 2).sum(1))
+            at = np.flatnonzero(taken[row])
+        exact = distances(vectors[at] - queries[row])
         order = np.lexsort((ids[at], exact))[:k]
         out.append((np.full(len(order), row), ids[at][order], exact[order]))
     return [np.concatenate(part) for part in zip(*out, strict=True)]

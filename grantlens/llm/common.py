@@ -34,3 +34,8 @@ def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterato
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def plain_names(frame: DataFrame, *kept: str) -> DataFrame:
+    """``frame`` with its columns, but for ``kept``, named c0, c1, ...: no name that an operator adds or uses meanwhile can clash."""
+    return frame.toDF(*[name if name in kept else f"c{k}" for k, name in enumerate(frame.columns)])

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from grantlens.llm.common import partitions, text_or_empty
+from grantlens.llm.common import partitions, plain_names, text_or_empty
 
 #: ASCII white space, each run of which counts as one space.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -68,11 +68,19 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     replaced, and that rows known to go before the sort have a NULL text.
     """
     docs = docs.drop("keep_id", "group_size", "kept", "text_sha256")
+    plain = plain_names(docs)
+    names = dict(zip(docs.columns, plain.columns, strict=True))
+    added = ["keep_id", "group_size", "kept", "text_sha256"]
+    return _deduped(plain, names[doc_id], names[text]).select(*plain.columns, *added).toDF(*docs.columns, *added)
+
+
+def _deduped(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The same for columns that are named c0, c1, ...; those of its own begin with an underscore."""
     heavy = heavy_texts(docs, doc_id, text)
     rows = docs.withColumn("_norm", normalised(text)).withColumn("_hash", F.xxhash64("_norm"))
     if heavy is None:
         rows = rows.withColumns(
-            {"_gone": F.lit(False), "_digest": F.lit(None).cast("string"), "_least": F.lit(None).cast("long"), "_rows": F.lit(None).cast("long")}
+            {"_gone": F.lit(False), "_digest": F.lit(None).cast("string"), "_least": F.lit(None).cast(docs.schema[doc_id].dataType), "_rows": F.lit(None).cast("long")}
         )
     else:
         others = [c for c, kind in docs.dtypes if c != text and not kind.startswith(("map", "variant"))]

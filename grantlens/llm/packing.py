@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from grantlens.llm.common import partitions, small_batches
+from grantlens.llm.common import partitions, plain_names, small_batches
 
 CAPACITY = 2048
 END = 1
@@ -180,7 +180,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ``pieces`` is read three times, so it should be a written table. Repeated rows each get a
     place; which of them gets which is not told apart.
     """
-    pieces = pieces.drop("sequence_id", "offset")
+    given = pieces.drop("sequence_id", "offset")
+    pieces = plain_names(given, "length")
     # one row per length, so at most ``capacity`` of them
     histogram = {row["length"]: row["count"] for row in pieces.groupBy("length").count().collect()}
     table = places(pack_histogram(histogram, capacity))
@@ -198,7 +199,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *arrays], [*names, "sequence_id", "offset"])
 
     schema = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    return ranked(pieces, histogram).mapInArrow(run, schema)
+    return ranked(pieces, histogram).mapInArrow(run, schema).toDF(*given.columns, "sequence_id", "offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

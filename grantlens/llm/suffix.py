@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from grantlens.llm.common import byte_values, small_batches
+from grantlens.llm.common import byte_values, plain_names, small_batches
 from grantlens.llm.sorting import deep_shallow
 from grantlens.session import stage
 
@@ -37,7 +37,9 @@ LENGTH, GRAM = 200, 40
 HEAVY, SAMPLED = 20_000, 16
 #: Bytes of text taken at a time, and anchors sorted at a time (more if one k-gram has more).
 BUFFER, SORTED = 2_000_000, 20_000
-POSITION_BITS = 30
+#: Bits of a position in the texts taken at a time, and of a distance within a window.
+POSITION_BITS, NEAR_BITS = 30, 16
+NEAR = (1 << NEAR_BITS) - 1
 
 
 def grams(data: np.ndarray, size: int) -> np.ndarray:
@@ -75,6 +77,8 @@ def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.
     none = np.zeros(0, np.int64)
     if not len(texts) or ends[-1] < length:
         return none, none, none
+    if ends[-1] >> POSITION_BITS:
+        raise ValueError(f"a text has {int(sizes.max())} bytes; up to {BUFFER} fewer than {1 << POSITION_BITS} can be taken")
     data = np.frombuffer(b"".join(texts), np.uint8)
     hashes = grams(data, gram)
     low = np.uint64((1 << POSITION_BITS) - 1)
@@ -91,7 +95,7 @@ def anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, np.
     first, last = np.concatenate(([0], cuts)), np.concatenate((cuts - 1, [len(place) - 1]))
     at = place[first]
     text = np.searchsorted(ends, at, "right")
-    packed = ((at - (ends - sizes)[text]) << 16) | ((at - windows[first]) << 8) | (at - windows[last])
+    packed = ((at - (ends - sizes)[text]) << 2 * NEAR_BITS) | ((at - windows[first]) << NEAR_BITS) | (at - windows[last])
     return text, hashes[at].view(np.int64), packed
 
 
@@ -143,7 +147,7 @@ def contexts(texts: DataFrame, length: int) -> DataFrame:
             for value, k1, k2, places, copies in zip(byte_values(batch.column(2)), *columns, strict=True):
                 for entry in places:
                     place = entry["place"]
-                    at, before, least = place >> 16, place >> 8 & 255, place & 255
+                    at, before, least = place >> 2 * NEAR_BITS, place >> NEAR_BITS & NEAR, place & NEAR
                     rows.append((entry["gram"], value[at - before : at - least + length], k1, k2, place, copies))
             if rows:
                 arrays = [pa.array(list(c), pa.binary() if k == 1 else pa.int64()) for k, c in enumerate(zip(*rows, strict=True))]
@@ -154,7 +158,7 @@ def contexts(texts: DataFrame, length: int) -> DataFrame:
 
 def repeated_windows(gram: np.ndarray, around: list[bytes], place: np.ndarray, copies: np.ndarray, length: int):
     """Per anchor the least and greatest distance to the begin of a repeated window; -1 for none."""
-    before, least = place >> 8 & 255, place & 255
+    before, least = place >> NEAR_BITS & NEAR, place & NEAR
     numbers: dict[tuple, int] = {}
     kind = np.fromiter(
         (numbers.setdefault(key, len(numbers)) for key in zip(gram.tolist(), before.tolist(), around, strict=True)), np.int64, len(gram)
@@ -201,7 +205,7 @@ def sorted_spans(rows: DataFrame, length: int) -> DataFrame:
         gram, k1, k2, place, copies = (held[c].to_numpy() for c in ("gram", "k1", "k2", "place", "copies"))
         near, far = repeated_windows(gram, held["around"].to_pylist(), place, copies, length)
         hit = np.flatnonzero(far >= 0)
-        at = place[hit] >> 16
+        at = place[hit] >> 2 * NEAR_BITS
         return pa.RecordBatch.from_arrays(
             [pa.array(k1[hit]), pa.array(k2[hit]), pa.array(at - far[hit]), pa.array(at - near[hit] + length)],
             ["k1", "k2", "start", "stop"],
@@ -241,7 +245,7 @@ def counted_spans(rows: DataFrame, length: int) -> DataFrame:
         for batch in small_batches(batches, 1000):
             out: list[tuple] = []
             for around, k1, k2, place, copies in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4, 5)), strict=True):
-                at, before = place >> 16, place >> 8 & 255
+                at, before = place >> 2 * NEAR_BITS, place >> NEAR_BITS & NEAR
                 for k in range(len(around) - length + 1):
                     digest = hashlib.blake2b(around[k : k + length], digest_size=16).digest()
                     out.append((digest, k1, k2, at - before + k, copies))
@@ -293,7 +297,9 @@ def merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [(start, stop) for start, stop in runs]
 
 
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM
+) -> DataFrame:
     """Each row of ``docs`` with ``kept`` (the bytes that stay), ``n_bytes``, ``n_removed``, ``n_spans``.
 
     Removed is each byte covered by a string of ``length`` bytes that also starts anywhere
@@ -302,8 +308,17 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Rows with one id and different texts are different texts. Columns named like those added
     are replaced.
     """
+    if not gram <= length <= NEAR:
+        raise ValueError(f"strings of {length} bytes; from {gram} to {NEAR} can be found")
     docs = docs.drop("kept", "n_bytes", "n_removed", "n_spans")
-    spans = stage(repeated_spans(docs, doc_id, text, length), "suffix-spans")
+    plain = plain_names(docs)
+    names = dict(zip(docs.columns, plain.columns, strict=True))
+    return _without(plain, names[doc_id], names[text], length, gram).toDF(*docs.columns, "kept", "n_bytes", "n_removed", "n_spans")
+
+
+def _without(docs: DataFrame, doc_id: str, text: str, length: int, gram: int) -> DataFrame:
+    """The same for columns that are named c0, c1, ...; those of its own begin with an underscore."""
+    spans = stage(repeated_spans(docs, doc_id, text, length, gram), "suffix-spans")
     k1, k2 = text_keys(text)
     joined = docs.withColumns({"_k1": k1, "_k2": k2})
     joined = joined.join(spans.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("spans").alias("_spans")), ["_k1", "_k2"], "left")

@@ -21,6 +21,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from typing import BinaryIO
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
@@ -36,6 +37,8 @@ LEAST_REVISIT = 100
 SHARD_BYTES, ROLL_BYTES = 64 << 20, 8 << 20
 #: Read records go on in batches of so many bytes.
 BATCH_BYTES = 8 << 20
+#: The most tasks that archives are read by.
+READERS = 20_000
 #: The place in order of rows without an id.
 NO_ID = -(1 << 63)
 #: Every record has this date: a rerun gives the same bytes.
@@ -249,7 +252,9 @@ def read_archive(manifest: DataFrame, folder: str) -> DataFrame:
                     if rows:
                         yield as_batch(rows)
 
-    return manifest.select("file").repartition("file").mapInArrow(run, RECORD)
+    # dealt out by number, which is not merged again: a task for each file
+    files = manifest.select("file")
+    return files.repartition(int(np.clip(files.count(), 1, READERS))).mapInArrow(run, RECORD)
 
 
 def as_batch(rows: list[tuple]) -> pa.RecordBatch:
