@@ -10,7 +10,7 @@ from grantlens.operators import dedupe, extract, graph, stats
 from grantlens.operators.numbering import number_rows
 from grantlens.plans import inputs, oracle
 from grantlens.session import stage, staged_folder
-from grantlens.sources import pages, responses, split_tsv, store, tsv
+from grantlens.sources import page_files, pages, positions, responses, split_tsv, store, tsv
 from grantlens.streaming import ingest
 
 
@@ -69,6 +69,23 @@ def write_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def write_page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pages as files of their own, written twice and scanned."""
+    root = _fresh_path(spark, "page-files")
+    page_files.write_page_files(_stored(inputs.project_pages(spark, folder, page_size=20)), root)
+    sizes = [_stored(inputs.project_pages(spark, folder, page_size=size)).withColumn("size", F.lit(size)) for size in (50, 20)]
+    again = sizes[0].unionByName(sizes[1]).filter(F.col("org_state").isin("AL", "GA"))
+    page_files.write_page_files(again, root, ["size"])
+    body = variants.parse(F.col("body"))
+    return pages.scan_pages(spark, root).select(
+        F.col("page_year").alias("fiscal_year"),
+        F.col("page_state").alias("org_state"),
+        F.regexp_extract("page_file", r"^(.*)\.json$", 1).cast("int").alias("batch"),
+        F.size(variants.elements(body, "$.results")).cast("bigint").alias("n_results"),
+        variants.number(body, "$.meta.limit", "bigint").alias("page_limit"),
+    )
+
+
 def read_page(spark: SparkSession, folder: str) -> DataFrame:
     """The records of one stored page."""
     page = pages.read_page(_stored_pages(spark, folder), 1997, "AZ", 0)
@@ -167,6 +184,16 @@ def scan_stores(spark: SparkSession, folder: str) -> DataFrame:
     return opened.select("pmid", "source", "title", "pubdate", F.array_join(names, ";").alias("entries"))
 
 
+def vectors_by_position(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and vectors in two tables without a key, matched by place."""
+    rows = inputs.table(spark, folder, "embeddings").orderBy("vec_id")
+    ids, held = _fresh_path(spark, "ids"), _fresh_path(spark, "plain-vectors")
+    rows.select(F.col("vec_id").cast("string").alias("item_id")).write.parquet(ids)
+    rows.select("embedding").write.parquet(held)
+    joined = positions.join_positions(positions.read_positions(spark, ids), positions.read_positions(spark, held))
+    return joined.select("item_id", F.posexplode("embedding").alias("pos", "value")).withColumn("value", F.col("value").cast("double"))
+
+
 def vectors_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """S13"""
     path = _fresh_path(spark, "vectors")
@@ -291,6 +318,7 @@ QUERIES = {
     "s3_flatten_results": flatten_results,
     "s4_read_page": read_page,
     "s5_write_pages": write_pages,
+    "s5_page_files": write_page_files,
     "s6_tsv_missing_words": tsv_missing_words,
     "s7_tsv_round_trip": tsv_round_trip,
     "s6_tsv_in_ranges": tsv_in_ranges,
@@ -300,6 +328,7 @@ QUERIES = {
     "s11_edges_json": edges_json,
     "s12_network_json": network_json,
     "s13_vectors_round_trip": vectors_round_trip,
+    "s13_vectors_by_position": vectors_by_position,
     "s14_stage_reuse": stage_reuse,
     "s15_grant_rows": grant_rows,
     "s16_link_rows": link_rows,
@@ -323,6 +352,20 @@ _EDGES = """
 SELECT core_project_num AS source, pmid AS target, 'grant-paper' AS type FROM links
 UNION ALL SELECT substr(md5(name), 1, 12), pmid, 'author-paper' FROM authors"""
 
+_STORED_SIZES = f"""WITH {oracle.PROJECTS},
+placed AS (SELECT *, row_number() OVER (PARTITION BY page_year, page_state ORDER BY o_orderkey) - 1 AS nth FROM projects),
+both_sizes AS (
+  SELECT page_year, page_state, (nth // 20)::INTEGER AS batch, 20 AS page_limit, count(*) AS n FROM placed GROUP BY ALL
+  UNION ALL
+  SELECT page_year, page_state, (nth // 50)::INTEGER, 50, count(*) FROM placed WHERE page_state IN ('AL', 'GA') GROUP BY ALL
+)
+SELECT page_year AS fiscal_year, page_state AS org_state, batch, arg_max(n, page_limit) AS n_results,
+  max(page_limit)::BIGINT AS page_limit
+FROM both_sizes GROUP BY page_year, page_state, batch"""
+
+_VECTOR_NUMBERS = """
+SELECT vec_id::VARCHAR AS item_id, unnest(range(0, len(embedding)))::INTEGER AS pos, unnest(embedding)::DOUBLE AS value FROM embeddings"""
+
 _QUOTED_TEXTS = """
 SELECT doc_id, '"q" ' || replace(text, '.', chr(9) || '"." ') || ' ' AS text, lang FROM documents"""
 
@@ -342,16 +385,8 @@ SELECT page_year, page_state, page_file, pos, project_num FROM paged WHERE page_
     "s4_read_page": f"""WITH {oracle.paged(20)}
 SELECT page_year AS fiscal_year, page_state AS org_state, 0 AS batch, pos, project_num FROM paged
 WHERE page_year = '1997' AND page_state = 'AZ' AND page_file = '0.json'""",
-    "s5_write_pages": f"""WITH {oracle.PROJECTS},
-placed AS (SELECT *, row_number() OVER (PARTITION BY page_year, page_state ORDER BY o_orderkey) - 1 AS nth FROM projects),
-both_sizes AS (
-  SELECT page_year, page_state, (nth // 20)::INTEGER AS batch, 20 AS page_limit, count(*) AS n FROM placed GROUP BY ALL
-  UNION ALL
-  SELECT page_year, page_state, (nth // 50)::INTEGER, 50, count(*) FROM placed WHERE page_state IN ('AL', 'GA') GROUP BY ALL
-)
-SELECT page_year AS fiscal_year, page_state AS org_state, batch, arg_max(n, page_limit) AS n_results,
-  max(page_limit)::BIGINT AS page_limit
-FROM both_sizes GROUP BY page_year, page_state, batch""",
+    "s5_write_pages": _STORED_SIZES,
+    "s5_page_files": _STORED_SIZES,
     "s6_tsv_missing_words": f"""WITH {oracle.PROJECTS}
 SELECT o_orderkey AS item_id, agency_ic_admin, nullif(core_project_num, '') AS core_project_num, award_amount FROM projects""",
     "s7_tsv_round_trip": _QUOTED_TEXTS,
@@ -373,8 +408,8 @@ UNION ALL SELECT 'edges', md5(concat_ws('|', core_project_num, pmid, 'grant-pape
 UNION ALL SELECT 'edges', md5(concat_ws('|', name, pmid, 'author-paper')) FROM authors
 UNION ALL SELECT 'stats', md5(concat_ws('|', (SELECT count(*) FROM grants), (SELECT count(*) FROM papers),
   (SELECT count(DISTINCT name) FROM authors), (SELECT count(*) FROM links) + (SELECT count(*) FROM authors)))""",
-    "s13_vectors_round_trip": """
-SELECT vec_id::VARCHAR AS item_id, unnest(range(0, len(embedding)))::INTEGER AS pos, unnest(embedding)::DOUBLE AS value FROM embeddings""",
+    "s13_vectors_round_trip": _VECTOR_NUMBERS,
+    "s13_vectors_by_position": _VECTOR_NUMBERS,
     "s14_stage_reuse": """
 SELECT 'reuse' AS how, 'first' AS mark, count(*) AS n FROM orders UNION ALL SELECT 'overwrite', 'third', count(*) FROM orders""",
     "s15_grant_rows": f"""WITH {oracle.PROJECTS}

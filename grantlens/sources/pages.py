@@ -122,6 +122,16 @@ def read_stored_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_SCHEMA).parquet(path)
 
 
+#: What a stored page is known by.
+STORED_KEY = ["fiscal_year", "org_state", "batch"]
+
+
+def last_pages(pages: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """One page per key: the last by ``order_by``, then by body."""
+    last = Window.partitionBy(*STORED_KEY).orderBy(*[F.desc(name) for name in (*order_by, "body")])
+    return pages.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").select(*STORED_KEY, "body")
+
+
 def write_pages(pages: DataFrame, path: str, order_by: Sequence[str] = ()) -> None:
     """Keep pages by ``(fiscal_year, org_state, batch)``; a page with a known key replaces it.
 
@@ -129,10 +139,8 @@ def write_pages(pages: DataFrame, path: str, order_by: Sequence[str] = ()) -> No
     year/state partitions that get new pages are rewritten; which these are stays a table.
     ``pages`` is read more than once: stage it where it is costly to make.
     """
-    spark = pages.sparkSession
-    key = ["fiscal_year", "org_state", "batch"]
-    last = Window.partitionBy(*key).orderBy(*[F.desc(name) for name in (*order_by, "body")])
-    incoming = pages.withColumn("_nth", F.row_number().over(last)).filter("_nth = 1").select(*key, "body")
+    spark, key = pages.sparkSession, STORED_KEY
+    incoming = last_pages(pages, order_by)
     old = _read_if_there(lambda: read_stored_pages(spark, path))
     if old is not None:
         touched = incoming.select("fiscal_year", "org_state").distinct()
