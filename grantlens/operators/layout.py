@@ -30,6 +30,8 @@ NEIGHBOURS = 15
 STEPS = 30
 #: For the first part of the steps pulls count twofold and less momentum is kept.
 EARLY, PULL, MOMENTUM_EARLY, MOMENTUM = 0.3, 2.0, 0.7, 0.8
+#: Points that one task moves at least, where there are as many.
+POINTS = 1 << 16
 #: Corners of the grid along each side; a cell is no wider than this where they suffice.
 CELLS, CELL = 512, 0.25
 
@@ -129,11 +131,18 @@ class Grid:
         )
 
 
-def step(points: DataFrame, links: DataFrame, grid: Grid, forces: np.ndarray, pull: float, momentum: float) -> DataFrame:
-    """Every point moved once; ``points`` are ``node, x, y`` and the last move ``u, v``."""
+def step(
+    points: DataFrame, links: DataFrame, grid: Grid, forces: np.ndarray, pull: float, momentum: float, few: bool = False
+) -> DataFrame:
+    """Every point moved once; ``points`` are ``node, x, y`` and the last move ``u, v``.
+
+    Where there are ``few`` (some megabytes at most) they go to the links, which then stay where they are.
+    """
     here = points.select("node", F.col("x").alias("x0"), F.col("y").alias("y0"))
     there = points.select(F.col("node").alias("other"), F.col("x").alias("x1"), F.col("y").alias("y1"))
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    if few:
+        here, there = F.broadcast(here), F.broadcast(there)
     near = F.col("pull") / (1 + dx * dx + dy * dy)
     pulled = links.join(there, "other").join(here, "node").groupBy("node").agg(
         F.sum(near).alias("held"), F.sum(near * dx).alias("px"), F.sum(near * dy).alias("py")
@@ -170,7 +179,8 @@ def placed_nodes(nodes: DataFrame, count: int, neighbours: int, steps: int) -> D
         early = turn < EARLY * steps
         grid = Grid(tuple(bounds[name] for name in figures))
         forces = grid.forces(grid.charges(points), count)
-        moved = step(points, links, grid, forces, PULL if early else 1.0, MOMENTUM_EARLY if early else MOMENTUM)
+        moved = step(points, links, grid, forces, PULL if early else 1.0, MOMENTUM_EARLY if early else MOMENTUM, count <= POINTS)
+        moved = moved.coalesce(-(-count // POINTS))  # few points need few tasks, however many partitions shuffles have
         with staging() as after:
             points, bounds = stage_observed(moved, "map", **figures)
         drop_staged(spark, held)

@@ -126,14 +126,14 @@ def project_2d(
     """``(item_id, x, y)`` on the two main axes of the vectors, times ``scale``.
 
     The largest loading of each axis is positive, so the map is never mirrored. Rows without
-    a vector get NULL. The fit aggregates a square matrix of the vector size and reads the
+    a vector get NULL, a single vector is at zero. The fit aggregates a square matrix of the vector size and reads the
     rows twice, so stage vectors that are costly to make.
     """
     known = rows.filter(F.col(vector).isNotNull())
     prepared = known.select(item_id, array_to_vector(F.col(vector).cast("array<double>")).alias("_vector"))
     nowhere = rows.filter(F.col(vector).isNull()).select(item_id, *[F.lit(None).cast("double").alias(name) for name in ("x", "y")])
-    if known.isEmpty():
-        return nowhere
+    if known.limit(2).count() < 2:
+        return known.select(item_id, F.lit(0.0).alias("x"), F.lit(0.0).alias("y")).unionByName(nowhere)
     model = PCA(k=2, inputCol="_vector", outputCol="_axes").fit(prepared)
     loadings = model.pc.toArray()
     signs = [1.0 if axis[abs(axis).argmax()] > 0 else -1.0 for axis in loadings.T]
