@@ -10,7 +10,7 @@ from grantlens.operators import dedupe, extract, graph, stats
 from grantlens.operators.numbering import number_rows
 from grantlens.plans import inputs, oracle
 from grantlens.session import stage, staged_folder
-from grantlens.sources import page_files, pages, positions, responses, split_tsv, store, tsv
+from grantlens.sources import document, page_files, pages, positions, responses, split_tsv, store, tsv
 from grantlens.streaming import ingest
 
 
@@ -263,6 +263,20 @@ def edges_json(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def edges_document(spark: SparkSession, folder: str) -> DataFrame:
+    """The same as one document, read by its lines."""
+    path = _fresh_path(spark, "edges") + ".json"
+    edges = stage(graph.all_edges(inputs.links(spark, folder), store.open_papers(inputs.papers(spark, folder))), "edges")
+    document.write_edges_document(edges, graph.edge_stats(edges), path)
+    lines = spark.read.text(path).select(F.regexp_replace("value", "^,", "").alias("line"))
+    read = lines.where("startswith(line, '{\"source\"')").select(F.from_json("line", "source string, target bigint, type string").alias("edge")).select("edge.*")
+    kinds = "total_edges bigint, grant_paper_edges bigint, author_paper_edges bigint"
+    stats = lines.where("startswith(line, '{\"total_edges\"')").select(F.from_json("line", kinds).alias("stats")).select("stats.*")
+    return read.unionByName(
+        stats.select(F.concat_ws("/", "grant_paper_edges", "author_paper_edges").alias("source"), F.col("total_edges").alias("target"), F.lit("stats").alias("type"))
+    )
+
+
 #: The plain fields of each table of a network.
 NETWORK_FIELDS = {
     "grants": ("id", "type", "title"),
@@ -326,6 +340,7 @@ QUERIES = {
     "s9_scan_stores": scan_stores,
     "s10_citation_table": citation_table,
     "s11_edges_json": edges_json,
+    "s11_edges_document": edges_document,
     "s12_network_json": network_json,
     "s13_vectors_round_trip": vectors_round_trip,
     "s13_vectors_by_position": vectors_by_position,
@@ -369,6 +384,10 @@ SELECT vec_id::VARCHAR AS item_id, unnest(range(0, len(embedding)))::INTEGER AS
 _QUOTED_TEXTS = """
 SELECT doc_id, '"q" ' || replace(text, '.', chr(9) || '"." ') || ' ' AS text, lang FROM documents"""
 
+_ALL_EDGES = f"""WITH {oracle.LINKS}, {oracle.PAPERS} {_EDGES} UNION ALL
+SELECT (SELECT count(*) FROM links) || '/' || (SELECT count(*) FROM authors),
+  (SELECT count(*) FROM links) + (SELECT count(*) FROM authors), 'stats'"""
+
 ORACLES = {
     "s10_citation_table": f"WITH {oracle.CITATIONS} SELECT * FROM citations",
     "stream_ingest_grants": f"""WITH {oracle.paged()},
@@ -396,9 +415,8 @@ SELECT status AS kind, CASE status WHEN 'project' THEN coalesce(project_num, '')
   ELSE coalesce(project_num, '') || chr(9) || coalesce(core_project_num, '') END AS line
 FROM converted WHERE status <> 'keep'""",
     "s9_scan_stores": f"""WITH {oracle.PAPERS} SELECT pmid, source, title, pubdate, c_name || ';none;;' || source || ';Group ' || c_mktsegment AS entries FROM papers""",
-    "s11_edges_json": f"""WITH {oracle.LINKS}, {oracle.PAPERS} {_EDGES} UNION ALL
-SELECT (SELECT count(*) FROM links) || '/' || (SELECT count(*) FROM authors),
-  (SELECT count(*) FROM links) + (SELECT count(*) FROM authors), 'stats'""",
+    "s11_edges_json": _ALL_EDGES,
+    "s11_edges_document": _ALL_EDGES,
     "s12_network_json": f"""WITH {oracle.GRANTS}, {oracle.LINKS}, {oracle.PAPERS}
 SELECT 'grants' AS name, md5(concat_ws('|', core_project_num, 'grant', project_title)) AS digest FROM grants
 UNION ALL SELECT 'papers', md5(concat_ws('|', pmid, 'paper', title, source, pubdate)) FROM papers
