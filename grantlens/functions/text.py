@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from grantlens.functions.dates import free_date
+
 # Every character a Unicode-aware whitespace class matches, with the
 # four information separators that Java's class leaves out.
 WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
@@ -82,7 +84,7 @@ def year_start(year: Column) -> Column:
 
 
 def parse_date(c: Column, fiscal_year: Column | None = None) -> Column:
-    """Text in one of ``DATE_SHAPES`` as ``yyyy-MM-dd``.
+    """Text in one of ``DATE_SHAPES``, or else in free form (:func:`dates.free_date`), as ``yyyy-MM-dd``.
 
     A time of day is left out. Partial dates take the first day of their period, and so do month
     ranges and seasons: of their leading year and, if it is given, month. Empty and unparsable texts
@@ -95,7 +97,7 @@ def parse_date(c: Column, fiscal_year: Column | None = None) -> Column:
         parsed = F.when(text.rlike(shape), F.try_to_date(text, pattern)).otherwise(parsed)
     in_month = F.try_to_date(F.nullif(F.regexp_extract(text, RANGE_START, 1), F.lit("")), "yyyy MMM")
     in_year = F.try_to_date(F.nullif(F.regexp_extract(text, YEAR_START, 1), F.lit("")), "yyyy")
-    parsed = F.coalesce(parsed, in_month, in_year)
+    parsed = F.coalesce(parsed, in_month, in_year, free_date(text))
     year = F.lit(None).cast("string") if fiscal_year is None else year_start(F.nullif(fiscal_year, F.lit(0)))
     fallback = F.when(F.coalesce(c, F.lit("")) == "", F.lit(DATE_IF_EMPTY)).otherwise(F.lit(DATE_IF_UNPARSABLE))
     return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), year, fallback)

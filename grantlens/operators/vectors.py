@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
+from grantlens.functions.dates import bound
 from grantlens.session import stage, stage_counted
 
 #: Landmarks and rows that one task compares.
@@ -45,11 +46,6 @@ def embed_text(
     return slim.select(item_id, dense(F.col("places"), values, dimensions).alias("embedding"))
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def token_counts(rows: DataFrame, text: str, item_id: str, dimensions: int) -> DataFrame:
     """``(item_id, places, counts)``: the places of the text's hashed tokens, ascending, and how often each is hit.
 

@@ -63,6 +63,21 @@ def parse_date(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Ways to write a day, or only a month, beyond the fixed shapes.
+FREE_DAYS = (
+    "d MMMM yyyy", "MMMM d, yyyy", "d. MMM yyyy", "MMM d yyyy", "EEEE, d MMMM yyyy", "EEE MMM d yyyy", "yyyy, MMMM d", "yyyy/MM/dd", "yyyy.MM.dd",
+    "d'th of' MMMM yyyy", "MMMM 'the' d'rd', yyyy", "d-MMM-yyyy", "dd/MMM/yyyy", "yyyy MMM. d", "MM.dd.yyyy", "MM/dd/yy", "d MMM yy",
+)
+FREE_MONTHS = ("MMMM yyyy", "MMM. yyyy", "MM/yyyy", "'in' MMMM, yyyy")
+
+
+def free_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Days and months written in other ways."""
+    ways = [F.date_format("o_orderdate", way) for way in (*FREE_DAYS, *FREE_MONTHS)]
+    nth = (F.col("o_orderkey") % len(ways)).cast("int")
+    return inputs.table(spark, folder, "orders").select("o_orderkey", text.parse_date(F.get(F.array(*ways), nth)).alias("date"))
+
+
 def start_or_year(spark: SparkSession, folder: str) -> DataFrame:
     """P5, P15"""
     rows = inputs.flat_grants(spark, folder)
@@ -172,6 +187,7 @@ QUERIES = {
     "p9_capitalise_words": capitalise_words,
     "p10_text_templates": text_templates,
     "p14_parse_date": parse_date,
+    "p14_free_dates": free_dates,
     "p16_joined_terms": joined_terms,
     "p17_amount_size": amount_size,
     "p18_amount_count": amount_count,
@@ -224,6 +240,8 @@ FROM projects WHERE core_project_num <> ''""",
 SELECT o_orderkey AS item_id, {_filled(templates.GRANT_TEMPLATES['abstract'])} AS text FROM projects""",
     "p9_capitalise_words": f"SELECT doc_id, {oracle.capitalised(_MESSY)} AS words FROM documents",
     "p10_text_templates": f"WITH {oracle.PROJECTS} {_VERSIONS}",
+    "p14_free_dates": f"""SELECT o_orderkey, strftime(CASE WHEN o_orderkey % {len(FREE_DAYS) + len(FREE_MONTHS)} < {len(FREE_DAYS)}
+  THEN o_orderdate::DATE ELSE date_trunc('month', o_orderdate)::DATE END, '%Y-%m-%d') AS date FROM orders""",
     "p14_parse_date": f"""WITH {oracle.PAPERS}
 SELECT pmid AS o_orderkey, {oracle.parsed_date('pubdate')} AS date,
   {oracle.parsed_date('pubdate', 'year(o_orderdate)')} AS date_or_year FROM papers""",

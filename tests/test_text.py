@@ -132,3 +132,18 @@ def test_templates(spark):
     assert texts["abstract"] == "A Title | text | Project starts on 2020-01-02, ends on 2021-01-02"
     plain = row.select(templates.grant_text("{project_title}!", capitalise_title=False).alias("t")).first()["t"]
     assert plain == "a  TITLE!"
+
+
+@pytest.mark.parametrize(
+    "given, expected",
+    [
+        ("5 March 2019", "2019-03-05"), ("March 5, 2019", "2019-03-05"), ("5th of March, 2019", "2019-03-05"), ("the 1st of Sept 2019", "2019-09-01"),
+        ("Tuesday 5 Mar. 2019", "2019-03-05"), ("2019, Mar 22nd", "2019-03-22"), ("25.12.2019", "2019-12-25"), ("12.25.2019", "2019-12-25"),
+        ("2019/12/25", "2019-12-25"), ("03/04/2019", "2019-03-04"), ("25-Dec-2019", "2019-12-25"), ("12/25/98", "1998-12-25"), ("5 Mar 07", "2007-03-05"),
+        ("MARCH 2019", "2019-03-01"), ("03/2019", "2019-03-01"), ("in may 2019", "2019-05-01"), ("30 Feb 2019", "2020-01-01"), ("5 Smarch 2019", "2020-01-01"),
+        ("room 12, 2019", "2020-01-01"), ("20190305", "2020-01-01"), ("123", "2020-01-01"), ("March", "2020-01-01"), ("1 2 3 4 5", "2020-01-01"),
+        ("2019 2020", "2019-01-01"), ("ma 5 2019", "2020-01-01"), ("13/14/2019", "2020-01-01"),
+    ],
+)
+def test_dates_in_free_form(one, given, expected):
+    assert one(text.parse_date(F.col("c")), "c string", given) == expected
