@@ -97,7 +97,7 @@ def parse_date(c: Column, fiscal_year: Column | None = None) -> Column:
         parsed = F.when(text.rlike(shape), F.try_to_date(text, pattern)).otherwise(parsed)
     in_month = F.try_to_date(F.nullif(F.regexp_extract(text, RANGE_START, 1), F.lit("")), "yyyy MMM")
     in_year = F.try_to_date(F.nullif(F.regexp_extract(text, YEAR_START, 1), F.lit("")), "yyyy")
-    parsed = F.coalesce(parsed, in_month, in_year, free_date(text))
+    parsed = F.coalesce(parsed, free_date(text), in_month, in_year)
     year = F.lit(None).cast("string") if fiscal_year is None else year_start(F.nullif(fiscal_year, F.lit(0)))
     fallback = F.when(F.coalesce(c, F.lit("")) == "", F.lit(DATE_IF_EMPTY)).otherwise(F.lit(DATE_IF_UNPARSABLE))
     return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), year, fallback)
