@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from grantlens.llm import ann, exact, packing, suffix, warc
-from grantlens.llm.components import components  # noqa: F401
 from test_similar import repeated_texts, slow_repeats
 
 CLASHING = (
