@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantlens.operators.skew import null_safe_join
-from grantlens.session import stage
+from grantlens.session import stage, stage_counted
 
 ROW_BITS = 33
+#: Groups and partitions up to which the counts of pieces go to every task.
+BROADCAST_PIECES = 65_536
 
 
 def ordered(rows: DataFrame, order_by: Sequence[str], name: str = "ord") -> DataFrame:
@@ -34,14 +36,16 @@ def number_rows(
     """
     placed = stage(ordered(rows, [*partition_by, *order_by], "_place"), "numbered")
     placed = placed.withColumn("_piece", F.shiftright("_place", ROW_BITS))
-    pieces = placed.groupBy("_piece", *partition_by).agg(
-        F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")
+    pieces, n_pieces = stage_counted(
+        placed.groupBy("_piece", *partition_by).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")), "pieces"
     )
     # One row per piece: a group has at most as many as there are partitions.
     before = Window.partitionBy(*partition_by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         "_piece", *partition_by, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
+    if n_pieces <= BROADCAST_PIECES:  # else both sides are moved, which the rows are spared here
+        offsets = F.broadcast(offsets)
     number = F.col("_place") - F.col("_first") + F.col("_before") + 1
     return (
         null_safe_join(placed, offsets, ["_piece", *partition_by])

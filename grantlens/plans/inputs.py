@@ -7,6 +7,8 @@ the columns' own values, so that they occur at every size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,25 +33,41 @@ def state_of_nation(nation_key: Column) -> Column:
     return F.element_at(states, (nation_key + 1).cast("int"))
 
 
-def projects(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order with its year, state and the nested project ``record``."""
+def _project_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """One slim row per order: its year and state, and the columns that its record is made of."""
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer").withColumnRenamed("c_custkey", "o_custkey")
-    rows = orders.join(customers, "o_custkey")
-    priority, segment, name = _priority(), F.col("c_mktsegment"), F.col("c_name")
-    customer = F.col("o_custkey").cast("string")
-    date = F.col("o_orderdate")
+    return orders.join(customers, "o_custkey").select(
+        F.year("o_orderdate").cast("string").alias("page_year"),
+        state_of_nation(F.col("c_nationkey")).alias("page_state"),
+        "o_orderkey", *RECORD_SOURCES,
+    )
+
+
+#: The columns that :func:`_record` reads.
+RECORD_SOURCES = ("o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "c_name", "c_mktsegment")
+
+
+def _is_odd(of: Callable[[str], Column] = F.col) -> Column:
+    return (of("o_orderstatus") == "P") & (of("o_orderpriority") == "2-HIGH")
+
+
+def _record(of: Callable[[str], Column] = F.col) -> Column:
+    """The nested project record; ``of`` gives a source column by its name."""
+    priority, segment, name = of("o_orderpriority"), of("c_mktsegment"), of("c_name")
+    customer = of("o_custkey").cast("string")
+    date = of("o_orderdate")
     core = (
         F.when(priority == "5-LOW", "")
         .when(priority == "3-MEDIUM", None)
         .otherwise(F.concat(F.lit("C"), customer, F.lit("-"), F.substring(priority, 1, 1)))
     )
-    record = F.struct(
+    return F.struct(
         F.concat(F.lit("P"), customer, F.lit("-"), F.month(date)).alias("project_num"),
         core.alias("core_project_num"),
         F.year(date).alias("fiscal_year"),
         F.struct(F.when(segment != "MACHINERY", name).alias("org_name")).alias("organization"),
-        F.col("o_totalprice").alias("award_amount"),
+        of("o_totalprice").alias("award_amount"),
         F.array(
             F.struct(name.alias("full_name")),
             F.struct(F.lit("").alias("full_name")),
@@ -58,7 +76,7 @@ def projects(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("principal_investigators"),
         F.struct(F.when(segment != "FURNITURE", segment).alias("abbreviation")).alias("agency_ic_admin"),
         F.concat(F.lit(" "), priority, F.lit("\t;\r\n"), segment).alias("pref_terms"),
-        F.concat(name, F.lit("\n\n "), priority, F.lit(" \t"), F.col("o_orderstatus")).alias("abstract_text"),
+        F.concat(name, F.lit("\n\n "), priority, F.lit(" \t"), of("o_orderstatus")).alias("abstract_text"),
         F.concat(segment, F.lit("  "), priority).alias("project_title"),
         F.when(priority != "1-URGENT", F.concat(priority, F.lit("; "), segment)).alias("spending_categories_desc"),
         F.date_format(date, "yyyy-MM-dd'T'HH:mm:ss").alias("date_added"),
@@ -67,40 +85,48 @@ def projects(spark: SparkSession, folder: str) -> DataFrame:
         F.substring(priority, 1, 1).alias("award_type"),
         F.lit("R01").alias("activity_code"),
     )
-    return rows.select(
-        F.year(date).cast("string").alias("page_year"),
-        state_of_nation(F.col("c_nationkey")).alias("page_state"),
-        "o_orderkey",
+
+
+def projects(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order with its year, state and the nested project ``record``."""
+    return _project_rows(spark, folder).select(
+        "page_year", "page_state", "o_orderkey",
         F.col("o_orderstatus").alias("status"),
-        ((F.col("o_orderstatus") == "P") & (priority == "2-HIGH")).alias("is_odd"),
-        record.alias("record"),
+        _is_odd().alias("is_odd"),
+        _record().alias("record"),
     )
 
 
-def _record_json() -> Column:
+def _record_json(record: Column, is_odd: Column) -> Column:
     """A project as JSON text; where ``is_odd``, its agency is a plain text."""
-    common = F.to_json(F.col("record").dropFields("agency_ic_admin"), {"ignoreNullFields": "false"})
-    agency = F.when(F.col("is_odd"), F.lit('"plain"')).otherwise(F.to_json("record.agency_ic_admin"))
+    common = F.to_json(record.dropFields("agency_ic_admin"), {"ignoreNullFields": "false"})
+    agency = F.when(is_odd, F.lit('"plain"')).otherwise(F.to_json(record["agency_ic_admin"]))
     return F.concat(F.substring(common, F.lit(1), F.length(common) - 1), F.lit(',"agency_ic_admin":'), agency, F.lit("}"))
 
 
 def project_pages(spark: SparkSession, folder: str, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Result pages ``(page_year, page_state, page_file, body)`` of at most ``page_size`` records."""
-    rows = projects(spark, folder).drop("status")
-    numbered = number_rows(rows, ["o_orderkey"], ["page_year", "page_state"], "nth").select(
-        "page_year", "page_state", "nth", _record_json().alias("json")
-    )
+    """Result pages ``(page_year, page_state, page_file, body)`` of at most ``page_size`` records.
+
+    Rows are numbered and gathered by their slim columns; the records, many times as long, are made
+    where a page's rows have met.
+    """
+    numbered = number_rows(_project_rows(spark, folder), ["o_orderkey"], ["page_year", "page_state"], "nth")
     batch = F.floor((F.col("nth") - 1) / F.lit(page_size)).cast("int")
     totals = numbered.groupBy("page_year", "page_state").agg(F.count(F.lit(1)).alias("total"))
     bodies = numbered.groupBy("page_year", "page_state", batch.alias("batch")).agg(
-        F.array_sort(F.collect_list(F.struct("nth", "json"))).alias("records")
+        F.array_sort(F.collect_list(F.struct("nth", *RECORD_SOURCES))).alias("rows")
     )
+
+    def json(row: Column) -> Column:
+        return _record_json(_record(lambda name: row[name]), _is_odd(lambda name: row[name]))
+
     body = F.concat(
         F.lit('{"meta":{"total":'), F.col("total"),
         F.lit(',"offset":'), F.col("batch") * page_size,
-        F.lit(f',"limit":{page_size}}},"results":['), F.array_join("records.json", ","), F.lit("]}"),
+        F.lit(f',"limit":{page_size}}},"results":['), F.array_join(F.transform("rows", json), ","), F.lit("]}"),
     )
-    return bodies.join(totals, ["page_year", "page_state"]).select(
+    # one row for each year and state
+    return bodies.join(F.broadcast(totals), ["page_year", "page_state"]).select(
         "page_year", "page_state", F.concat(F.col("batch"), F.lit(".json")).alias("page_file"), body.alias("body")
     )
 
@@ -292,7 +318,7 @@ def grant_responses(spark: SparkSession, folder: str) -> DataFrame:
     rows = projects(spark, folder)
     return rows.select(
         F.col("o_orderkey").alias("seq"),
-        F.concat(F.lit('{"results":['), _record_json(), F.lit("]}")).alias("body"),
+        F.concat(F.lit('{"results":['), _record_json(F.col("record"), F.col("is_odd")), F.lit("]}")).alias("body"),
     )
 
 

@@ -38,8 +38,18 @@ def page_path_columns(path):
 
 
 def write_page_files(pages: DataFrame, root: str) -> None:
-    """One text file per page, partitioned by year, state and file name, as :func:`scan_pages` reads it."""
-    pages.select(*PAGE_KEY, "body").write.mode("overwrite").partitionBy(*PAGE_KEY).text(root)
+    """One text file per page, partitioned by year, state and file name, as :func:`scan_pages` reads it.
+
+    Each task puts its own files in place, as one rename per page by the driver takes longer than
+    the writing; where a write fails, files of its finished tasks are left below ``root``.
+    """
+    (
+        pages.select(*PAGE_KEY, "body")
+        .write.mode("overwrite")
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .partitionBy(*PAGE_KEY)
+        .text(root)
+    )
 
 
 def _read_if_there(read: Callable[[], DataFrame]) -> DataFrame | None:

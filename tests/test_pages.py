@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from grantlens.operators import extract
+from grantlens.plans import inputs
 from grantlens.sources import pages, responses, tsv
 
 
@@ -157,3 +158,21 @@ def test_grant_list(spark, tmp_path):
         assert "'pid' not found" in str(error) and "grant" in str(error)
     else:
         raise AssertionError("no error")
+
+
+def test_pages_are_gathered_by_slim_rows(spark, tmp_path):
+    day = "CAST('1997-03-04' AS timestamp)"
+    spark.sql(
+        f"SELECT id AS o_orderkey, id % 4 AS o_custkey, 'P' AS o_orderstatus, 1.5D AS o_totalprice, {day} AS o_orderdate, "
+        "IF(id % 2 = 0, '2-HIGH', '5-LOW') AS o_orderpriority FROM range(25)"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql(
+        "SELECT id AS c_custkey, 'C' || id AS c_name, 3 AS c_nationkey, 0D AS c_acctbal, 'BUILDING' AS c_mktsegment FROM range(4)"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    made = inputs.project_pages(spark, str(tmp_path), page_size=10)
+    gathered = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "collect_list" in line]
+    assert gathered and not [line for line in gathered if "json" in line]
+    bodies = {row["page_file"]: json.loads(row["body"]) for row in made.collect()}
+    assert {name: len(body["results"]) for name, body in bodies.items()} == {"0.json": 10, "1.json": 10, "2.json": 5}
+    assert bodies["2.json"]["meta"] == {"total": 25, "offset": 20, "limit": 10}
+    assert [record["agency_ic_admin"] for record in bodies["2.json"]["results"][:2]] == ["plain", {"abbreviation": "BUILDING"}]
