@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from grantlens.operators import skew
 from grantlens.operators.numbering import ordered
-from grantlens.session import stage_counted, stage_observed, staged_folder
+from grantlens.session import stage, stage_counted, stage_observed, staged_folder
 
 
 def _key(c: Column) -> Column:
@@ -39,20 +39,49 @@ def keyed_rows(rows: DataFrame, project: str, core: str) -> DataFrame:
     return rows.withColumns({"_p": p, "_c": c})
 
 
+def _spread(live: DataFrame, key: str, hot: list) -> tuple[DataFrame, list[str]]:
+    """``live`` and the columns that tell the groups of ``key``: with a salt beside the key where some keys are hot."""
+    if not hot:
+        return live, [key]
+    salt = f"_salt_{key}"
+    if salt not in live.columns:
+        spread = skew.salt_of(F.col("ord"), skew.salt_count(live))
+        live = live.withColumn(salt, F.when(F.col(key).isin(hot), spread).otherwise(0))
+    return live, [key, salt]
+
+
+def _unclaimed(live: DataFrame, kept: DataFrame, key: str, hot: list) -> DataFrame:
+    """``live`` without the rows that share ``key`` with a kept one, dealt as :func:`_earlier` deals them."""
+    live, groups = _spread(live, key, hot)
+    claimed = kept.select(key)
+    for salt in groups[1:]:
+        salts = F.sequence(F.lit(0), F.lit(skew.salt_count(live) - 1))
+        claimed = claimed.withColumn(salt, F.explode(F.when(F.col(key).isin(hot), salts).otherwise(F.array(F.lit(0)))))
+    return live.join(claimed, groups, "left_anti")
+
+
 def _earlier(live: DataFrame, key: str, hot: list) -> DataFrame:
     """``live`` with the rows before each one that share ``key``.
 
     Adds ``<key>_n`` (0, 1 or 2 for more) and, where it is 1, ``<key>_up``: that row's place.
-    The least and the second least place of a key tell; both are partial aggregates.
+    The rows are moved once, to be counted in order. Those of hot keys are spread instead and told
+    by the two least places of their key, one row for each such key.
     """
-    least, second, count, up = f"{key}_least", f"{key}_second", f"{key}_n", f"{key}_up"
-    spread = F.col("ord")
-    first = live.groupBy(key).agg(F.min("ord").alias(least))
-    known = skew.salted_join(live, first, key, "inner", hot, spread)
-    after = known.filter(F.col("ord") > F.col(least)).groupBy(key).agg(F.min("ord").alias(second))
-    both = skew.salted_join(known, after, key, "left", hot, spread)
-    before = F.when(F.col("ord") == F.col(least), 0).when(F.col("ord") == F.col(second), 1).otherwise(2)
-    return both.withColumns({count: before, up: F.when(before == 1, F.col(least))}).drop(least, second)
+    count, up = f"{key}_n", f"{key}_up"
+    live, groups = _spread(live, key, hot)
+    if hot:
+        first_two = Window.partitionBy(key).orderBy("ord")
+        ends = live.filter(F.col(key).isin(hot)).select(key, "ord", F.row_number().over(first_two).alias("_nth")).filter("_nth <= 2")
+        ends = ends.groupBy(key).agg(F.min("ord").alias("_least"), F.max("ord").alias("_second"))
+    order = Window.partitionBy(*groups).orderBy("ord")
+    live = live.withColumns({"_nth": F.row_number().over(order), up: F.lag("ord").over(order)})
+    before, above = F.least(F.col("_nth") - 1, F.lit(2)), F.col(up)
+    if hot:
+        live = live.join(F.broadcast(ends), key, "left")  # fewer rows than partitions
+        spread = F.when(F.col("ord") == F.col("_least"), 0).when(F.col("ord") == F.col("_second"), 1).otherwise(2)
+        known = F.col("_least").isNotNull()
+        before, above = F.when(known, spread).otherwise(before), F.when(known, F.col("_least")).otherwise(above)
+    return live.withColumn(count, before).withColumn(up, F.when(F.col(count) == 1, above)).drop("_nth", "_least", "_second", *groups[1:])
 
 
 def _twice(chains: DataFrame) -> DataFrame:
@@ -90,10 +119,9 @@ def kept_pairs(slim: DataFrame, hot_p: list, hot_c: list) -> tuple[DataFrame, in
     spark = slim.sparkSession
     folder = staged_folder(spark, "two-key")
     schema = "ord bigint, p string, c string"
-    live, n_live = stage_counted(slim.groupBy("p", "c").agg(F.min("ord").alias("ord")), "pairs")
-    kept = spark.createDataFrame([], schema)
-    spread, turn = F.col("ord"), 0
-    while n_live:
+    live = stage(slim.groupBy("p", "c").agg(F.min("ord").alias("ord")), "pairs")
+    kept, turn = spark.createDataFrame([], schema), 0
+    while True:
         marked = _earlier(_earlier(live, "p", hot_p), "c", hot_c)
         single = F.col("p_n") + F.col("c_n") == 1
         marked, seen = stage_observed(
@@ -103,24 +131,39 @@ def kept_pairs(slim: DataFrame, hot_p: list, hot_c: list) -> tuple[DataFrame, in
                 F.when(single, F.coalesce("p_up", "c_up")).alias("up"),
             ),
             "marked",
+            rows=F.count(F.lit(1)),
             single=F.count("up"),
         )
+        if not seen["rows"]:
+            break
         now = firsts = marked.filter("is_first").select("ord", "p", "c")
         if seen["single"]:
             even = _follow(marked.filter("up is not null")).filter("not odd")
             even = even.join(firsts.select(F.col("ord").alias("up")), "up", "left_semi")
-            now = firsts.unionByName(marked.select("ord", "p", "c").join(even.select("ord"), "ord", "left_semi"))
+            now = firsts.unionByName(marked.filter("up is not null").select("ord", "p", "c").join(even.select("ord"), "ord", "left_semi"))
         now.write.parquet(f"{folder}/round={turn}")
         now = spark.read.schema(schema).parquet(f"{folder}/round={turn}")
-        left = skew.salted_join(live, now.select("p"), "p", "left_anti", hot_p, spread)
-        left = skew.salted_join(left, now.select("c"), "c", "left_anti", hot_c, spread)
-        live, n_live = stage_counted(left.select("p", "c", "ord"), "live")
+        # by project last, as the next round counts by project first: the rows lie right for it
+        live = _unclaimed(_unclaimed(marked.select("ord", "p", "c"), now, "c", hot_c).select("ord", "p", "c"), now, "p", hot_p)
         turn += 1
     if turn:
         kept = spark.read.schema(schema).parquet(folder)
     return kept.select("ord", "p", "c"), turn
 
 
+def _settled(keys: DataFrame, order_by: Sequence[str], place: str | None = None) -> tuple[DataFrame, DataFrame, list]:
+    """Keys in order, staged, with the pairs kept and the hot project keys; ``place`` names a number that tells it."""
+    if place:  # of a staged table already
+        slim = keys.withColumnRenamed(place, "ord")
+        total = slim.count()
+    else:
+        slim, total = stage_counted(ordered(keys, order_by), "keys")
+    hot_p = skew.hot_values(skew.key_counts(slim, "p"), "p", total)
+    hot_c = skew.hot_values(skew.key_counts(slim, "c"), "c", total)
+    kept, _ = kept_pairs(slim, hot_p, hot_c)
+    return slim, kept, hot_p
+
+
 def two_key_status(
     rows: DataFrame, project: str, core: str, order_by: Sequence[str], row_id: str | None = None
 ) -> DataFrame:
@@ -132,10 +175,7 @@ def two_key_status(
     keys with more rows than a mean partition are salted in every join.
     """
     carried = [row_id] if row_id else list(order_by)
-    slim, total = stage_counted(ordered(_keys(rows, project, core, [*order_by, *([row_id] if row_id else [])]), order_by), "keys")
-    hot_p = skew.hot_values(skew.key_counts(slim, "p"), "p", total)
-    hot_c = skew.hot_values(skew.key_counts(slim, "c"), "c", total)
-    kept, _ = kept_pairs(slim, hot_p, hot_c)
+    slim, kept, hot_p = _settled(_keys(rows, project, core, [*order_by, *([row_id] if row_id else [])]), order_by)
     labelled = skew.salted_join(slim, kept.select("p", F.col("ord").alias("kept_ord")), "p", "left", hot_p, F.col("ord"))
     status = (
         F.when(F.col("kept_ord") == F.col("ord"), "keep")
@@ -168,9 +208,18 @@ def two_key_label(
 def two_key_dedupe(
     rows: DataFrame, project: str, core: str, order_by: Sequence[str], row_id: str | None = None
 ) -> DataFrame:
-    """The rows a first-wins reading keeps."""
-    status = two_key_status(rows, project, core, order_by, row_id)
-    return _joined(rows, status.filter("status = 'keep'"), order_by, row_id, "left_semi")
+    """The rows a first-wins reading keeps.
+
+    Without ``row_id`` the rows are staged in order, with their places, so that neither they are made
+    twice nor both sides are moved by all of ``order_by``.
+    """
+    if row_id:
+        slim, kept, _ = _settled(_keys(rows, project, core, [*order_by, row_id]), order_by)
+        return rows.join(slim.select(row_id, "ord").join(kept.select("ord"), "ord", "left_semi"), row_id, "left_semi")
+    place = "_place"
+    placed = stage(ordered(rows, order_by, place), "rows")
+    _, kept, _ = _settled(_keys(placed, project, core, [place]), [place], place)
+    return placed.join(kept.select(F.col("ord").alias(place)), place, "left_semi").select(*rows.columns)
 
 
 def two_key_flag(

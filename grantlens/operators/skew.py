@@ -33,6 +33,15 @@ def key_counts(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
+def salt_count(rows: DataFrame) -> int:
+    """As many groups as there are shuffle partitions."""
+    return max(MIN_SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def salt_of(spread_by: Column, salts: int) -> Column:
+    return F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, key: str, how: str, hot: list, spread_by: Column, salts: int | None = None
 ) -> DataFrame:
@@ -44,9 +53,9 @@ def salted_join(
     """
     if not hot:
         return left.join(right, key, how)
-    salts = salts or max(MIN_SALTS, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salts = salts or salt_count(left)
     is_hot = F.col(key).isin(hot)
-    left = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(0))
+    left = left.withColumn("_salt", F.when(is_hot, salt_of(spread_by, salts)).otherwise(0))
     groups = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = right.withColumn("_salt", F.explode(groups))
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -43,7 +43,7 @@ def two_key_status_few_cores(spark: SparkSession, folder: str) -> DataFrame:
 def two_key_arrivals(spark: SparkSession, folder: str) -> DataFrame:
     """D1 kept up to date: three quarters of the lines, then the rest, then lines that come late."""
     lines = _lines(spark, folder).select(*ORDER)
-    most = lines.agg(F.max("l_orderkey").alias("most")).first()["most"]
+    most = inputs.table(spark, folder, "lineitem").agg(F.max("l_orderkey").alias("most")).first()["most"]
     late = (F.pmod(F.xxhash64(*ORDER), F.lit(50)) == 0) & (F.col("l_orderkey") > most * 0.6)
     arrival = F.when(late, 2).when(F.col("l_orderkey") > most * 0.75, 1).otherwise(0)
     log = arrivals.DedupeLog(spark, staged_folder(spark, "arrivals"), lines.schema, "l_orderkey", "l_suppkey", ORDER)

@@ -159,3 +159,54 @@ def test_number_rows_with_one_huge_group(spark):
 def test_number_batches(spark):
     numbered = number_batches(spark.range(1001), 500, ["id"]).collect()
     assert all(row["batch"] == row["id"] // 500 for row in numbered)
+
+
+def executed(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_moved_once_to_find_those_before_them(spark, tmp_path):
+    rows = [(i, f"p{i % 7}", f"c{i % 5}") for i in range(60)]
+    spark.createDataFrame(rows, "ord bigint, p string, c string").write.parquet(f"{tmp_path}/live")
+    live = spark.read.parquet(f"{tmp_path}/live")
+    assert executed(dedupe._earlier(live, "p", [])).count("Exchange hash") == 1
+    kept = live.filter("ord = 0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(dedupe._earlier(dedupe._unclaimed(live, kept, "p", []), "p", []))
+        assert plan.count("Exchange hash") == 2  # the rows and the kept ones
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_of_hot_keys_have_the_same_rows_before_them(spark):
+    rows = [(i, "hot" if i % 3 else f"p{i % 7}", "c") for i in range(90)] + [(200, "lone", "c"), (201, "one more", "c")]
+    live = spark.createDataFrame(rows, "ord bigint, p string, c string")
+
+    def found(hot):
+        return sorted(dedupe._earlier(live, "p", hot).select("ord", "p", "c", "p_n", "p_up").collect())
+
+    seen, expected = {}, []
+    for i, p, c in rows:
+        before = seen.setdefault(p, [])
+        expected.append((i, p, c, min(len(before), 2), before[0] if len(before) == 1 else None))
+        before.append(i)
+    assert found([]) == found(["hot", "lone", "absent"]) == expected
+
+
+def test_dedupe_without_a_row_id_makes_its_rows_once(spark, tmp_path):
+    rows = [(i, f"p{i % 9}", f"c{i % 4}") for i in range(40)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/rows")
+    kept = dedupe.two_key_dedupe(spark.read.parquet(f"{tmp_path}/rows"), "p", "c", ["i"])
+    assert not [path for path in kept.inputFiles() if f"{tmp_path}" in path]
+    fates = first_wins([row[1:] for row in rows])
+    assert sorted(row["i"] for row in kept.collect()) == [i for i, fate in enumerate(fates) if fate == "keep"]
+
+
+def test_few_pieces_spare_the_numbered_rows_a_move(spark):
+    rows = spark.range(100).select(F.col("id").alias("n"), (F.col("id") % 3).alias("g"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert executed(number_rows(rows, ["n"], ["g"])).count("Exchange hash") == 1  # that of the counts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
