@@ -1,7 +1,7 @@
 """Page files under their own names: ``year/state/batch.json``, one for each page.
 
 A Python data source writes them, as Spark's own writers choose names themselves. Tasks write below a
-folder of the run, which readers do not see; the commit gives the files their names, one after the other
+folder of the run, which readers do not see; the commit gives the files their names, a few at a time
 on the driver, and an abort leaves none. Keep large harvests as tables (:func:`pages.write_pages`); this
 is the layout that other programs read.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyarrow import fs
@@ -20,6 +21,8 @@ from pyspark.sql.types import StructType
 from grantlens.sources.pages import last_pages
 
 STAGED = "_temporary"
+#: Files named at a time by a commit, which waits for the file system rather than the processor.
+NAMED_AT_ONCE = 16
 
 
 @dataclass
@@ -46,11 +49,14 @@ class PageFileWriter(DataSourceWriter):
 
     def write(self, iterator: Iterator[Row]) -> Written:
         files, root = self._root()
-        attempt, found = uuid.uuid4().hex, []
+        attempt, found, made = uuid.uuid4().hex, [], set()
         for row in iterator:
             name = page_name(row)
             held = f"{self.staged}/{attempt}/{name}"
-            files.create_dir(f"{root}/{held}".rsplit("/", 1)[0], recursive=True)
+            folder = f"{root}/{held}".rsplit("/", 1)[0]
+            if folder not in made:
+                files.create_dir(folder, recursive=True)
+                made.add(folder)
             with files.open_output_stream(f"{root}/{held}") as out:
                 out.write((row["body"] or "").encode())
             found.append((held, name))
@@ -58,14 +64,13 @@ class PageFileWriter(DataSourceWriter):
 
     def commit(self, messages: Sequence[Written | None]) -> None:
         files, root = self._root()
-        made = set()
-        for message in messages:
-            for held, name in message.files if message else ():
-                folder = name.rsplit("/", 1)[0]
-                if folder not in made:
-                    files.create_dir(f"{root}/{folder}", recursive=True)
-                    made.add(folder)
-                files.move(f"{root}/{held}", f"{root}/{name}")
+        found = [file for message in messages if message for file in message.files]
+        for folder in {name.rsplit("/", 1)[0] for _, name in found}:
+            files.create_dir(f"{root}/{folder}", recursive=True)
+        with ThreadPoolExecutor(NAMED_AT_ONCE) as pool:
+            for start in range(0, len(found), NAMED_AT_ONCE * 64):
+                some = found[start : start + NAMED_AT_ONCE * 64]
+                list(pool.map(lambda file: files.move(f"{root}/{file[0]}", f"{root}/{file[1]}"), some))
         self._clear(files, root)
 
     def abort(self, messages: Sequence[Written | None]) -> None:

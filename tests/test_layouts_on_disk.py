@@ -1,5 +1,7 @@
 """Page files under their own names, and tables matched by place."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyarrow import fs
@@ -39,6 +41,33 @@ def test_a_failed_run_leaves_no_file(spark, tmp_path):
     assert files_below(tmp_path / "cache") == {"2020/CA/0.json": "kept"}
 
 
+def test_a_commit_names_files_together(tmp_path, monkeypatch):
+    class Slow:
+        """Local files, of which a move waits for another one."""
+
+        def __init__(self):
+            self.files, self.both, self.folders = fs.LocalFileSystem(), threading.Barrier(2, timeout=20), []
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+        def create_dir(self, path, recursive):
+            self.folders.append(path)
+            self.files.create_dir(path, recursive=recursive)
+
+        def move(self, old, new):
+            self.both.wait()
+            self.files.move(old, new)
+
+    slow = Slow()
+    monkeypatch.setattr(page_files.PageFileWriter, "_root", lambda self: (slow, str(tmp_path)))
+    writer = page_files.PageFileWriter(str(tmp_path))
+    held = writer.write(iter([{"fiscal_year": "2020", "org_state": "CA", "batch": k, "body": f"b{k}"} for k in range(4)]))
+    assert len(slow.folders) == 1
+    writer.commit([held])
+    assert files_below(tmp_path) == {f"2020/CA/{k}.json": f"b{k}" for k in range(4)}
+
+
 def test_abort_and_commit_of_tasks(tmp_path):
     writer = page_files.PageFileWriter(f"file://{tmp_path}")
     rows = [{"fiscal_year": "2020", "org_state": "CA", "batch": k, "body": f"b{k}"} for k in range(3)]
