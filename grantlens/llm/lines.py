@@ -53,32 +53,54 @@ def segments(length: Column, count: int) -> list[tuple[Column, Column]]:
     return found
 
 
-def keyed(line: Column, length: Column, edits: int) -> tuple[Column, Column]:
-    """Keys of a line's index entries, and of its probes into lines at most as long.
+def segmented(lines: DataFrame, edits: int) -> DataFrame:
+    """Columns ``_length``, and ``_begin<d>_<k>`` and ``_size<d>_<k>``: segments of a line ``d`` characters shorter.
+
+    As columns of their own they are computed once for all keys, which keeps the code that Spark
+    generates for a row short enough for the compiler of the JVM.
+    """
+    known = lines.withColumn("_length", F.length("line"))
+    found = {}
+    for shorter in range(edits + 1):
+        for k, (begin, size) in enumerate(segments(F.col("_length") - shorter, edits + 1)):
+            found |= {f"_begin{shorter}_{k}": begin, f"_size{shorter}_{k}": size}
+    return known.withColumns(found)
+
+
+def keyed(edits: int) -> tuple[Column, Column]:
+    """Keys of a line's index entries, and of its probes into lines at most as long; see :func:`segmented`.
 
     Probes that equal an own entry are left to the entries.
     """
 
-    def key(target: Column, number: int, begin: Column, size: Column) -> Column:
-        return F.xxhash64(target, F.lit(number), line.substr(begin, size))
+    def key(shorter: int, number: int, shift: int) -> Column:
+        begin, size = F.col(f"_begin{shorter}_{number}"), F.col(f"_size{shorter}_{number}")
+        return F.xxhash64(F.col("_length") - shorter, F.lit(number), F.col("line").substr(begin + shift, size))
 
-    entries = [key(length, k, begin, size) for k, (begin, size) in enumerate(segments(length, edits + 1))]
+    entries = [key(0, k, 0) for k in range(edits + 1)]
     probes = []
     for shorter in range(edits + 1):
-        target = length - shorter
-        for k, (begin, size) in enumerate(segments(target, edits + 1)):
+        for k in range(edits + 1):
             for shift in range(max(-k, shorter - (edits - k)), min(k, shorter + edits - k) + 1):
                 if shorter or shift:
-                    probes.append(key(target, k, begin + shift, size))
+                    probes.append(key(shorter, k, shift))
     return F.array(*entries), F.array(*probes)
 
 
-def letter_counts(line: Column, letters: str = LETTERS) -> Column:
-    packed = F.lit(0).cast("long")
+def with_letter_counts(lines: DataFrame, letters: str = LETTERS, known: Column | None = None) -> DataFrame:
+    """``lines`` with ``counts``, the letters of ``line`` packed; NULL where ``known`` is false.
+
+    Each letter is taken out of what those before it left, so that later ones read less. What is
+    left stands in columns, which are computed once.
+    """
+    left, packed = "line", F.lit(0).cast("long")
     for place, letter in enumerate(letters):
-        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        lines = lines.withColumn(f"_left{place}", F.replace(F.col(left), F.lit(letter), F.lit("")))
+        count = F.octet_length(left) - F.octet_length(f"_left{place}")
         packed = packed.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(COUNT - 1)), 6 * place))
-    return packed
+        left = f"_left{place}"
+    lines = lines.withColumn("counts", packed if known is None else F.when(known, packed))
+    return lines.drop(*[f"_left{place}" for place in range(len(letters))])
 
 
 def counts_near(a: Column, b: Column, edits: int) -> Column:
@@ -134,6 +156,20 @@ def banded_distance(a: str, b: str, edits: int) -> Column:
     return F.transform(pair, run)[0]
 
 
+def indexed(distinct: DataFrame, edits: int, least_chars: int) -> DataFrame:
+    """A number, the hashes, letter counts and keys of each distinct line; a shorter one has no keys."""
+    line, compared, none = F.col("line"), F.col("_length") >= least_chars, F.array().cast("array<long>")
+    entries, probes = keyed(edits)
+    return with_letter_counts(segmented(distinct, edits), known=compared).select(
+        F.monotonically_increasing_id().alias("line_id"),
+        *line_key(line),
+        "times",
+        "counts",
+        F.when(compared, entries).otherwise(none).alias("entries"),
+        F.when(compared, probes).otherwise(none).alias("probes"),
+    )
+
+
 def line_links(lines: DataFrame, docs: DataFrame, doc_id: str, text: str, edits: int) -> DataFrame:
     """``a``, ``b``: ids of distinct lines within ``edits`` edits; ``lines`` has keys and counts."""
     entries = lines.select(F.explode("entries").alias("key"), F.col("line_id").alias("a"), F.col("counts").alias("ca"))
@@ -149,7 +185,7 @@ def line_links(lines: DataFrame, docs: DataFrame, doc_id: str, text: str, edits:
     known = F.broadcast(known) if count <= FEW else known  # else both sides are dealt out by key
     texts = occurrences(docs, doc_id, text).select(*line_key(F.col("line")), "line")
     texts = texts.join(known, ["k1", "k2"]).groupBy("line_id").agg(F.first("line").alias("line"))
-    texts = stage(texts.withColumn("counts", letter_counts(F.col("line"), OTHERS)), "line-texts")
+    texts = stage(with_letter_counts(texts, OTHERS), "line-texts")
     both = pairs.join(texts.select(F.col("line_id").alias("a"), F.col("line").alias("left"), F.col("counts").alias("ca")), "a")
     both = both.join(texts.select(F.col("line_id").alias("b"), F.col("line").alias("right"), F.col("counts").alias("cb")), "b")
     likely = both.where(counts_near(F.col("ca"), F.col("cb"), edits))
@@ -161,19 +197,8 @@ def line_classes(docs: DataFrame, doc_id: str, text: str, edits: int = EDITS, le
 
     ``links`` is how many distinct lines are within ``edits`` edits of this one.
     """
-    line, length = F.col("line"), F.length("line")
     distinct = occurrences(docs, doc_id, text).groupBy("line").agg(F.count(F.lit(1)).alias("times"))
-    entries, probes = keyed(line, length, edits)
-    none = F.array().cast("array<long>")
-    lines = distinct.select(
-        F.monotonically_increasing_id().alias("line_id"),
-        *line_key(line),
-        "times",
-        F.when(length >= least_chars, letter_counts(line)).alias("counts"),
-        F.when(length >= least_chars, entries).otherwise(none).alias("entries"),
-        F.when(length >= least_chars, probes).otherwise(none).alias("probes"),
-    )
-    lines = stage(lines, "lines")  # from here on a line's number stands
+    lines = stage(indexed(distinct, edits, least_chars), "lines")  # from here on a line's number stands
     links = stage(line_links(lines, docs, doc_id, text, edits), "line-links")
     degree = links.select(F.explode(F.array("a", "b")).alias("line_id")).groupBy("line_id").agg(F.count(F.lit(1)).alias("links"))
     roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "line-classes")

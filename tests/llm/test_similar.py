@@ -243,3 +243,23 @@ def test_nearest_of_few_or_none(spark):
     rows = [(100, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 1.0])]
     found = ann.search(spark.createDataFrame(rows, schema), F.col("vec_id") % 100 == 0).orderBy("rank").collect()
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in found] == [(100, 1, 1), (100, 2, 2)]
+
+
+def test_line_keys_compile_and_count(spark):
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("etaonrisldxy é😀") for _ in range(draw.randrange(40, 400))) for _ in range(40)] + ["short", "e" * 200]
+    keys = lines.indexed(spark.createDataFrame([(text, 1) for text in texts], "line string, times long"), 2, 30)
+    found = {r["k1"]: r for r in keys.collect()}
+    hashed = spark.createDataFrame([(text,) for text in texts], "line string").select("line", *lines.line_key(F.col("line"))).collect()
+    for text, row in ((r["line"], found[r["k1"]]) for r in hashed):
+        packed = sum((text.count(c) % 64) << 6 * k for k, c in enumerate("etaonrisld"))
+        assert row["counts"] == (packed if len(text) >= 30 else None)
+        assert (len(row["entries"]), len(row["probes"])) == ((3, 9) if len(text) >= 30 else (0, 0))
+    # the JVM interprets a method of more than 8,000 bytes; all keys of a line were one of 12,930
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        code = keys._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert code.nonEmpty()
+    assert max(code.apply(k)._3().maxMethodCodeSize() for k in range(code.size())) < 8000
