@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.types import ArrayType, FloatType, StructType
 
 from grantlens.functions.dates import bound
 from grantlens.session import stage, stage_counted
@@ -49,23 +50,24 @@ def embed_text(
 def token_counts(rows: DataFrame, text: str, item_id: str, dimensions: int) -> DataFrame:
     """``(item_id, places, counts)``: the places of the text's hashed tokens, ascending, and how often each is hit.
 
-    All is counted within the row: in the sorted places, a distinct one reaches from where it
-    first stands to where the next one does.
+    All is counted within the row. A task takes the md5 of each different token of a batch of rows once.
     """
     tokens = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN_TOKENS), "")
-    hits = F.transform(tokens, lambda token: (F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % dimensions).cast("int"))
 
-    def counted(hit: Column) -> Column:
-        starts = F.filter(F.transform(hit, lambda place, k: F.when((k == 0) | (place != F.get(hit, k - 1)), k)), lambda k: k.isNotNull())
-
-        def runs(first: Column) -> Column:
-            places = F.transform(first, lambda k: hit[k])
-            counts = F.transform(first, lambda k, nth: F.coalesce(F.get(first, nth + 1), F.size(hit)) - k)
-            return F.struct(places.alias("places"), counts.alias("counts"))
-
-        return bound(starts, runs)
-
-    return rows.select(item_id, bound(F.array_sort(hits), counted).alias("_found")).select(item_id, "_found.places", "_found.counts")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(1)
+            words = found.flatten().dictionary_encode()
+            digests = [md5(word, usedforsecurity=False).digest()[:4] for word in words.dictionary.cast(pa.binary()).to_pylist()]
+            place = np.array([int.from_bytes(digest, "big") % dimensions for digest in digests], np.int64)
+            row = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy())
+            hit, counts = np.unique(row * dimensions + place[words.indices.to_numpy()], return_counts=True)
+            starts = pa.array(np.searchsorted(hit, np.arange(batch.num_rows + 1) * dimensions), pa.int32())
+            lists = [pa.ListArray.from_arrays(starts, pa.array(part, pa.int32())) for part in (hit % dimensions, counts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], [item_id, "places", "counts"])
+
+    schema = StructType([*rows.select(item_id).schema.fields, *StructType.fromDDL("places array<int>, counts array<int>").fields])
+    return rows.select(item_id, tokens.alias("_tokens")).mapInArrow(run, schema)
 
 
 def dense(places: Column, values: Column, dimensions: int) -> Column:

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from grantlens.operators import semantic, vectors
 from grantlens.plans import inputs
@@ -41,6 +42,18 @@ def test_token_counts(spark):
         assert row["places"] == sorted(expected) and row["counts"] == [expected[p] for p in sorted(expected)]
 
 
+def test_each_token_of_a_batch_is_hashed_once(spark):
+    texts = ["É é İ ǅ ß x😀y 12 ½ a_b", "a b A", "a b A"]
+    rows = spark.createDataFrame([(text,) for text in texts], "item_id string").selectExpr("item_id", "item_id AS text")
+    counted = vectors.token_counts(rows, "text", "item_id", 1000)
+    assert "md5(" not in counted._jdf.queryExecution().optimizedPlan().toString()  # it was taken for every token of a row
+    split = rows.select("text", F.array_remove(F.split(F.lower("text"), vectors.BETWEEN_TOKENS), "").alias("tokens")).collect()
+    tokens = {row["text"]: row["tokens"] for row in split}
+    for row in counted.collect():
+        hits = [int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 1000 for token in tokens[row["item_id"]]]
+        assert row["places"] == sorted(set(hits)) and row["counts"] == [hits.count(place) for place in sorted(set(hits))]
+
+
 def test_no_row_is_shuffled(spark, monkeypatch):
     plans = []
     monkeypatch.setattr(vectors, "stage_counted", lambda frame, label: (plans.append(frame) or frame, 200))
