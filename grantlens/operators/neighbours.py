@@ -24,6 +24,8 @@ BLOCK, GROUPS = 512, 256
 ORDERS, ROUNDS = 2, 6
 #: New neighbours that one neighbourhood may offer to each of its members in a round.
 OFFERS = 8
+#: Numbers in the vectors of the neighbourhoods that one task sorts and compares, about.
+MEMBER_NUMBERS = 1 << 22
 #: Rounds end when fewer than this share of all links is new.
 SETTLED = 0.01
 LINKS = "node bigint, other bigint, away double"
@@ -82,11 +84,12 @@ def best(links: DataFrame, k: int) -> DataFrame:
     return ranked.drop("nth")
 
 
-def offered(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+def offered(graph: DataFrame, nodes: DataFrame, k: int, tasks: int) -> DataFrame:
     """New links between members of the same neighbourhood that are nearer than their node's farthest.
 
     Backward links of a node that very many have as a neighbour are thinned by a hash, so that a
-    neighbourhood has about ``2 * k`` members.
+    neighbourhood has about ``2 * k`` members. Each comes with its vector, so the number of ``tasks``
+    that sort them must grow with the rows.
     """
     forward = graph.select(F.col("node").alias("at"), F.col("other").alias("node"), "fresh")
     asked = graph.groupBy("other").agg(F.count(F.lit(1)).alias("n"))
@@ -102,7 +105,7 @@ def offered(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
         for part in whole_groups(batches):
             yield from compared(part)
 
-    return rows.repartition("at").sortWithinPartitions("at").mapInArrow(run, LINKS)
+    return rows.repartition(tasks, "at").sortWithinPartitions("at").mapInArrow(run, LINKS)
 
 
 def whole_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -150,6 +153,7 @@ def neighbour_graph(nodes: DataFrame, count: int, k: int, orders: Sequence[Colum
     if count < 2:
         return nodes.limit(0).select("node", F.col("node").alias("other"), F.lit(0.0).alias("away"))
     width = nodes.select(F.size("vector")).first()[0]
+    tasks = -(-2 * k * count * width // MEMBER_NUMBERS) or 1
     draw = np.random.default_rng(0)
     for _ in range(ORDERS):
         axis = F.array(*[F.lit(float(value)) for value in draw.normal(size=width)])
@@ -162,7 +166,7 @@ def neighbour_graph(nodes: DataFrame, count: int, k: int, orders: Sequence[Colum
     with staging() as staged:
         graph, total = stage_counted(best(every, k), "neighbours")
     for _ in range(ROUNDS):
-        found = offered(graph, nodes, k).withColumn("fresh", F.lit(True))
+        found = offered(graph, nodes, k, tasks).withColumn("fresh", F.lit(True))
         with staging() as after:
             graph, total = stage_counted(best(graph.withColumn("fresh", F.lit(False)).unionByName(found), k), "neighbours")
         drop_staged(nodes.sparkSession, staged)

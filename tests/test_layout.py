@@ -46,6 +46,17 @@ def test_neighbour_graph(spark, monkeypatch, block):
     assert np.mean([len(found[i] & set(true[i])) / 8 for i in range(len(values))]) > 0.9
 
 
+def test_neighbourhoods_are_dealt_to_tasks_by_size(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "MEMBER_NUMBERS", 1 << 14)
+    dealt, whole = [], neighbours.offered
+    monkeypatch.setattr(neighbours, "offered", lambda *given: dealt.append(whole(*given)) or dealt[-1])
+    for n in (300, 900):  # shuffles have four partitions at any size
+        nodes = stage(frame(spark, clusters(n), "node long, vector array<float>"), "nodes")
+        assert neighbours.neighbour_graph(nodes, n, 8).count() == n * 8
+        assert "REPARTITION_BY_NUM" in (plan := dealt[-1]._jdf.queryExecution().executedPlan().toString())
+        assert "hashpartitioning(at#" in plan and f", {-(-2 * 8 * n * 12 // (1 << 14))})" in plan
+
+
 def test_neighbours_of_few(spark):
     for count in (1, 2, 4):
         nodes = stage(frame(spark, clusters(count), "node long, vector array<float>"), "test-nodes")
