@@ -96,13 +96,26 @@ def require_input(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(path)
 
 
-def write_edges(edges: DataFrame, stats: DataFrame, path: str) -> None:
-    """Edges and their statistics as JSON lines below ``path``."""
-    edges.write.mode("overwrite").json(f"{path}/edges")
-    stats.write.mode("overwrite").json(f"{path}/stats")
+#: Rows to a file of JSON lines. One task reads a compressed file, so none is to be long.
+JSON_FILE_ROWS = 250_000
 
 
-def write_network(network: dict[str, DataFrame], path: str) -> None:
-    """Every table of a network (node kinds, edges, stats) as JSON lines below ``path``."""
+def _write_json(rows: DataFrame, path: str, compression: str) -> None:
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", JSON_FILE_ROWS)
+    writer.json(path, compression=compression)
+
+
+def write_edges(edges: DataFrame, stats: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Edges and their statistics as JSON lines below ``path``.
+
+    Every line repeats the field names, so the lines are compressed; Spark's readers take them as
+    they are. ``compression`` is any codec of the JSON writer, ``none`` for plain text.
+    """
+    _write_json(edges, f"{path}/edges", compression)
+    _write_json(stats, f"{path}/stats", compression)
+
+
+def write_network(network: dict[str, DataFrame], path: str, compression: str = "gzip") -> None:
+    """Every table of a network (node kinds, edges, stats) as JSON lines below ``path``, like :func:`write_edges`."""
     for name, table in network.items():
-        table.write.mode("overwrite").json(f"{path}/{name}")
+        _write_json(table, f"{path}/{name}", compression)

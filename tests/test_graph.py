@@ -156,3 +156,31 @@ def test_sinks_and_stages(spark, stores, tmp_path):
     with pytest.raises(FileNotFoundError):
         store.require_input(spark, str(tmp_path / "none"))
     assert store.read_citations(spark, None) is None and store.read_citations(spark, str(tmp_path / "none")) is None
+
+
+def test_json_lines_take_little_room(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "JSON_FILE_ROWS", 1_000, raising=False)
+    odd = 'a "b"\n\t\\ \u2028 é'
+    edges = spark.range(5_000).coalesce(1).select(
+        F.when(F.col("id") > 0, F.concat(F.lit("G"), "id")).alias("source"),  # a null source leaves its name out
+        (F.col("id") * 7_919 % 5_003).alias("target"), F.lit(odd).alias("type"),
+    )
+    lines = sorted(row[0] for row in edges.select(F.to_json(F.struct("*"))).collect())
+    plain_size = sum(len(line.encode()) + 1 for line in lines)
+
+    def size(folder):
+        parts = list((tmp_path / folder / "edges").glob("part-*"))
+        read = spark.read.schema(edges.schema).json(str(tmp_path / folder / "edges"))
+        assert read.exceptAll(edges).count() == 0 and edges.exceptAll(read).count() == 0
+        assert sorted(row["value"] for row in spark.read.text(str(tmp_path / folder / "edges")).collect()) == lines
+        assert spark.read.json(str(tmp_path / folder / "stats")).first()["total_edges"] == 5_000
+        return sum(part.stat().st_size for part in parts), len(parts)
+
+    network = {"edges": edges, "stats": graph.edge_stats(edges)}
+    store.write_edges(*network.values(), str(tmp_path / "e"))
+    store.write_network(network, str(tmp_path / "n"))
+    for written, files in (size("e"), size("n")):
+        assert written < plain_size / 3
+        assert files == 5, "one task reads a whole compressed file, so files must be short"
+    store.write_network(network, str(tmp_path / "plain"), compression="none")
+    assert size("plain") == (plain_size, 5)
