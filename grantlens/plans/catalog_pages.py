@@ -20,8 +20,9 @@ def _fresh_path(spark: SparkSession, label: str) -> str:
 
 def page_order(spark: SparkSession, folder: str) -> DataFrame:
     """The files of a cache, numbered in reading order."""
-    found = pages.scan_pages(spark, inputs.page_files(spark, inputs.project_pages(spark, folder, page_size=50)))
-    return number_rows(found.select(*pages.PAGE_KEY), list(pages.PAGE_KEY), name="nth")
+    root = inputs.page_files(spark, inputs.project_pages(spark, folder, page_size=50))
+    found = stage(pages.scan_pages(spark, root, pages.PAGE_KEY), "found")  # a sort reads its rows twice, files are read once
+    return number_rows(found, list(pages.PAGE_KEY), name="nth")
 
 
 def _scanned(spark: SparkSession, folder: str) -> DataFrame:

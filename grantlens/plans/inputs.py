@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from grantlens.operators.harvest import ORG_STATES, PAGE_SIZE
 from grantlens.operators.numbering import number_rows
 from grantlens.session import staged_folder
+from grantlens.sources import page_files as files
 from grantlens.sources.pages import write_page_files
 
 SUMMARY_BATCH = 200
@@ -99,9 +100,10 @@ def projects(spark: SparkSession, folder: str) -> DataFrame:
 
 def _record_json(record: Column, is_odd: Column) -> Column:
     """A project as JSON text; where ``is_odd``, its agency is a plain text."""
-    common = F.to_json(record.dropFields("agency_ic_admin"), {"ignoreNullFields": "false"})
+    # cut at its end without its length: in a lambda a text that is named twice is made twice
+    common = F.regexp_replace(F.to_json(record.dropFields("agency_ic_admin"), {"ignoreNullFields": "false"}), r"\}$", "")
     agency = F.when(is_odd, F.lit('"plain"')).otherwise(F.to_json(record["agency_ic_admin"]))
-    return F.concat(F.substring(common, F.lit(1), F.length(common) - 1), F.lit(',"agency_ic_admin":'), agency, F.lit("}"))
+    return F.concat(common, F.lit(',"agency_ic_admin":'), agency, F.lit("}"))
 
 
 def project_pages(spark: SparkSession, folder: str, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -114,7 +116,7 @@ def project_pages(spark: SparkSession, folder: str, page_size: int = PAGE_SIZE)
     batch = F.floor((F.col("nth") - 1) / F.lit(page_size)).cast("int")
     totals = numbered.groupBy("page_year", "page_state").agg(F.count(F.lit(1)).alias("total"))
     bodies = numbered.groupBy("page_year", "page_state", batch.alias("batch")).agg(
-        F.array_sort(F.collect_list(F.struct("nth", *RECORD_SOURCES))).alias("rows")
+        F.sort_array(F.collect_list(F.struct("nth", *RECORD_SOURCES))).alias("rows")
     )
 
     def json(row: Column) -> Column:
@@ -148,7 +150,8 @@ def damaged_pages(spark: SparkSession, folder: str) -> DataFrame:
 def page_files(spark: SparkSession, pages: DataFrame) -> str:
     """The folder of a cache that holds one file for each page."""
     root = staged_folder(spark, "cache")
-    write_page_files(pages, root)
+    write = files.write_cache if files.knows(root) else write_page_files
+    write(pages, root)
     return root
 
 

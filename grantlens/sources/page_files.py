@@ -1,9 +1,9 @@
 """Page files under their own names: ``year/state/batch.json``, one for each page.
 
-A Python data source writes them, as Spark's own writers choose names themselves. Tasks write below a
-folder of the run, which readers do not see; the commit gives the files their names, a few at a time
-on the driver, and an abort leaves none. Keep large harvests as tables (:func:`pages.write_pages`); this
-is the layout that other programs read.
+A Python data source writes them, as Spark's own writers choose names themselves and take a folder, a
+checksum file and some processes of the local system for each. Tasks write below a folder of the run, which
+readers do not see; the commit gives the files their names on the driver, and an abort leaves none. Keep
+large harvests as tables (:func:`pages.write_pages`); this is the layout that other programs read.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -27,9 +28,10 @@ NAMED_AT_ONCE = 16
 
 @dataclass
 class Written(WriterCommitMessage):
-    """Files of one task: where each is and the name it is to have, both below the root."""
+    """Files of one task, numbered from 0 in the folder ``held``: the names they are to have below the root."""
 
-    files: list[tuple[str, str]]
+    held: str
+    files: list[str]
 
 
 def page_name(row: Row) -> str:
@@ -49,28 +51,31 @@ class PageFileWriter(DataSourceWriter):
 
     def write(self, iterator: Iterator[Row]) -> Written:
         files, root = self._root()
-        attempt, found, made = uuid.uuid4().hex, [], set()
+        held, found = f"{self.staged}/{uuid.uuid4().hex}", []
+        files.create_dir(f"{root}/{held}", recursive=True)
         for row in iterator:
             name = page_name(row)
-            held = f"{self.staged}/{attempt}/{name}"
-            folder = f"{root}/{held}".rsplit("/", 1)[0]
-            if folder not in made:
-                files.create_dir(folder, recursive=True)
-                made.add(folder)
-            with files.open_output_stream(f"{root}/{held}") as out:
+            with files.open_output_stream(f"{root}/{held}/{len(found)}") as out:
                 out.write((row["body"] or "").encode())
-            found.append((held, name))
-        return Written(found)
+            found.append(name)
+        return Written(held, found)
 
     def commit(self, messages: Sequence[Written | None]) -> None:
         files, root = self._root()
-        found = [file for message in messages if message for file in message.files]
-        for folder in {name.rsplit("/", 1)[0] for _, name in found}:
+        tasks = [message for message in messages if message]
+        for folder in {name.rsplit("/", 1)[0] for task in tasks for name in task.files}:
             files.create_dir(f"{root}/{folder}", recursive=True)
-        with ThreadPoolExecutor(NAMED_AT_ONCE) as pool:
-            for start in range(0, len(found), NAMED_AT_ONCE * 64):
-                some = found[start : start + NAMED_AT_ONCE * 64]
-                list(pool.map(lambda file: files.move(f"{root}/{file[0]}", f"{root}/{file[1]}"), some))
+
+        # a local disk answers at once, so that threads would only wait for each other
+        at_once = 1 if isinstance(files, fs.LocalFileSystem) else NAMED_AT_ONCE
+
+        def put(first: int) -> None:
+            for task in tasks:
+                for k in range(first, len(task.files), at_once):
+                    files.move(f"{root}/{task.held}/{k}", f"{root}/{task.files[k]}")
+
+        with ThreadPoolExecutor(at_once) as pool:
+            list(pool.map(put, range(at_once)))
         self._clear(files, root)
 
     def abort(self, messages: Sequence[Written | None]) -> None:
@@ -96,11 +101,34 @@ class PageFiles(DataSource):
         return PageFileWriter(self.options["path"])
 
 
+def _write(rows: DataFrame, root: str) -> None:
+    spark: SparkSession = rows.sparkSession
+    spark.dataSource.register(PageFiles)
+    rows.write.format("page_files").mode("append").save(root)
+
+
 def write_page_files(pages: DataFrame, root: str, order_by: Sequence[str] = ()) -> None:
     """Each page in a file of its own below ``root``; one that is there already is replaced, others stay.
 
     Of pages with one key the last by ``order_by`` (then by body) is written. A NULL body is an empty file.
     """
-    spark: SparkSession = pages.sparkSession
-    spark.dataSource.register(PageFiles)
-    last_pages(pages, order_by).write.format("page_files").mode("append").save(root)
+    _write(last_pages(pages, order_by), root)
+
+
+def knows(path: str) -> bool:
+    """Whether page files can be written below ``path``; other stores take the layout of Spark's writers."""
+    try:
+        fs.FileSystem.from_uri(path)
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
+def write_cache(pages: DataFrame, root: str) -> None:
+    """Page rows as a harvest leaves them below ``root``: a file for each key, which comes once, of one line."""
+    batch = F.regexp_replace("page_file", r"\.json$", "")
+    line = F.concat(F.coalesce("body", F.lit("")), F.lit("\n"))
+    _write(
+        pages.select(F.col("page_year").alias("fiscal_year"), F.col("page_state").alias("org_state"), batch.alias("batch"), line.alias("body")),
+        root,
+    )

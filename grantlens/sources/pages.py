@@ -7,18 +7,23 @@ order of these three texts, then the position in the page: :data:`PAGE_ORDER`.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grantlens.functions import variants
-from grantlens.session import stage
+from grantlens.session import stage, staged_folder
 
 PAGE_KEY = ("page_year", "page_state", "page_file")
 PAGE_ORDER = (*PAGE_KEY, "pos")
+PAGE_COLUMNS = (*PAGE_KEY, "body")
 PAGE_SCHEMA = "page_year string, page_state string, page_file string, body string"
+#: Small page files that one task reads, and files that are listed at a time, each with about a kilobyte on the driver.
+FILES_A_TASK, FILES_AT_ONCE = 1000, 250_000
 STORED_SCHEMA = "batch int, body string, fiscal_year string, org_state string"
 
 
@@ -56,15 +61,81 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _read_if_there(lambda: spark.read.text(path)) is not None
 
 
-def scan_pages(spark: SparkSession, root: str) -> DataFrame:
+def _page_folders(spark: SparkSession, root: str) -> tuple[list[tuple[str, int]], bool]:
+    """The folders of a year and state with their numbers of files, and whether some are of the layout that Spark writes.
+
+    A folder's own name is made safe as a pattern. Folders of a write that is under way are left out.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/*")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    plain, written = [], False
+    for status in files.globStatus(path) or []:
+        year, state = status.getPath().toString().split("/")[-2:]
+        if not status.isDirectory() or year == "_temporary":
+            continue
+        if state.startswith(f"{PAGE_KEY[1]}="):
+            written = True
+        else:
+            name = re.sub(r"([\\*?\[\]{}])", r"\\\1", status.getPath().toString())
+            plain.append((name, files.getContentSummary(status.getPath()).getFileCount()))
+    return plain, written
+
+
+def _groups(folders: Sequence[tuple[str, int]], most: int) -> Iterator[list[str]]:
+    """Folders in their order, in groups of at most ``most`` files; a larger folder is a group of its own."""
+    group, held = [], 0
+    for name, n_files in folders:
+        if group and held + n_files > most:
+            yield group
+            group, held = [], 0
+        group.append(name)
+        held += n_files
+    if group:
+        yield group
+
+
+def _read_files(files: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Page rows of files that are not empty, by as many tasks as their number and bytes ask for.
+
+    Spark counts a small file as some megabytes, so that a task would get only a few of them.
+    """
+    spark, jdf = files.sparkSession, files._jdf
+    n_bytes, n_files = int(str(jdf.queryExecution().analyzed().stats().sizeInBytes())), len(jdf.inputFiles())
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    tasks = max(n_bytes // size, n_files // FILES_A_TASK, spark.sparkContext.defaultParallelism) + 1
+    held = files.filter("length > 0").select(F.col("_metadata.file_path").alias("path"), "content").coalesce(tasks)
+    return held.select(*page_path_columns(F.col("path")), F.col("content").cast("string").alias("body")).select(*columns)
+
+
+def scan_pages(spark: SparkSession, root: str, columns: Sequence[str] = PAGE_COLUMNS) -> DataFrame:
     """One row per page file; no rows where the folder is missing.
 
-    A file of zero bytes gives no row, so it is skipped without being listed as bad.
+    A file of zero bytes gives no row, so it is skipped without being listed as bad. Folders are listed
+    whole, as a look at each file by itself takes longer than to read it. The driver holds what it knows of
+    at most :data:`FILES_AT_ONCE` files of a folder's own names: where there are more, ``columns`` of a
+    group of folders after the other are staged.
     """
-    files = _read_if_there(lambda: spark.read.option("wholetext", True).text(f"{root}/*/*/*.json"))
-    if files is None:
-        return spark.createDataFrame([], PAGE_SCHEMA)
-    return files.select(*page_path_columns(F.col("_metadata.file_path")), F.col("value").alias("body"))
+    folders, written = _page_folders(spark, root)
+
+    def read(group: list[str]) -> DataFrame:
+        return _read_files(spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(group), columns)
+
+    found = []
+    groups = list(_groups(folders, FILES_AT_ONCE))
+    if len(groups) > 1:
+        path = staged_folder(spark, "scanned")
+        for group in groups:
+            read(group).write.mode("append").parquet(path)
+        found.append(spark.read.schema(PAGE_SCHEMA).parquet(path).select(*columns))
+    elif groups:
+        found.append(read(groups[0]))
+    if written:
+        pattern = f"{root}/*/{PAGE_KEY[1]}=*/*.json"
+        files = _read_if_there(lambda: spark.read.format("binaryFile").load(pattern))
+        found += [] if files is None else [_read_files(files, columns)]
+    if not found:
+        return spark.createDataFrame([], PAGE_SCHEMA).select(*columns)
+    return reduce(DataFrame.unionByName, found)
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:

@@ -122,3 +122,43 @@ def test_matrix_files_of_other_forms(spark, tmp_path):
         with pytest.raises(ValueError):
             positions.read_npy(spark, str(tmp_path / f"{name}.npy"))
     assert isinstance(fs.FileSystem.from_uri(str(tmp_path))[0], fs.LocalFileSystem)
+
+
+def page_rows(spark, n):
+    rows = [(str(2019 + k % 2), f"S{k % 3}", f"{k}.json", f'{{"results":[{k}]}}') for k in range(n)]
+    return rows, spark.createDataFrame(rows, pages.PAGE_SCHEMA).repartition(4)
+
+
+def test_a_cache_has_plain_files_that_few_tasks_read(spark, tmp_path):
+    rows, frame = page_rows(spark, 400)
+    page_files.write_cache(frame, f"file://{tmp_path}/cache")
+    found = files_below(tmp_path / "cache")  # no folder, checksum or process for each file
+    assert found == {f"{year}/{state}/{name}": f"{body}\n" for year, state, name, body in rows}
+    read = pages.scan_pages(spark, f"file://{tmp_path}/cache")
+    assert sorted(tuple(row) for row in read.collect()) == sorted((*row[:3], f"{row[3]}\n") for row in rows)
+    assert read.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism + 1
+    names = pages.scan_pages(spark, f"file://{tmp_path}/cache", pages.PAGE_KEY)
+    assert names.columns == list(pages.PAGE_KEY) and names.count() == 400
+
+
+def test_many_files_are_listed_in_groups(spark, tmp_path, monkeypatch):
+    rows, frame = page_rows(spark, 60)
+    page_files.write_cache(frame, f"file://{tmp_path}/cache")
+    monkeypatch.setattr(pages, "FILES_AT_ONCE", 25)
+    assert [len(group) for group in pages._groups([("a", 10), ("b", 15), ("c", 40), ("d", 1)], 25)] == [2, 1, 1]
+    read = pages.scan_pages(spark, f"file://{tmp_path}/cache")
+    assert sorted(tuple(row) for row in read.collect()) == sorted((*row[:3], f"{row[3]}\n") for row in rows)
+    assert pages.scan_pages(spark, f"file://{tmp_path}/cache", pages.PAGE_KEY).distinct().count() == 60
+
+
+def test_pages_of_both_layouts_are_scanned(spark, tmp_path):
+    _, frame = page_rows(spark, 9)
+    pages.write_page_files(frame, f"{tmp_path}/other")
+    assert {row["page_file"] for row in pages.scan_pages(spark, f"{tmp_path}/other").collect()} == {f"{k}.json" for k in range(9)}
+    for name in ("2020/C[A]/0.json", "2020/C[A]/_1.json", "2020/C[A]/2.txt", "2020/C[A]/deep/3.json", "2020/N Y/é %41.json", "2020/4.json"):
+        file = tmp_path / "plain" / name
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_text("{}")
+    (tmp_path / "plain/2020/N Y/5.json").write_text("")
+    found = {tuple(row) for row in pages.scan_pages(spark, f"{tmp_path}/plain").select(*pages.PAGE_KEY).collect()}
+    assert found == {("2020", "C[A]", "0.json"), ("2020", "N Y", "é %41.json")}
