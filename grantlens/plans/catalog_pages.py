@@ -72,9 +72,13 @@ def write_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def write_page_files(spark: SparkSession, folder: str) -> DataFrame:
     """The same pages as files of their own, written twice and scanned."""
-    root = _fresh_path(spark, "page-files")
-    page_files.write_page_files(_stored(inputs.project_pages(spark, folder, page_size=20)), root)
-    sizes = [_stored(inputs.project_pages(spark, folder, page_size=size)).withColumn("size", F.lit(size)) for size in (50, 20)]
+    root, numbered = _fresh_path(spark, "page-files"), inputs.numbered_projects(spark, folder)
+
+    def sized(size: int) -> DataFrame:
+        return _stored(inputs.project_pages(spark, folder, size, numbered))
+
+    page_files.write_page_files(sized(20), root)
+    sizes = [sized(size).withColumn("size", F.lit(size)) for size in (50, 20)]
     again = sizes[0].unionByName(sizes[1]).filter(F.col("org_state").isin("AL", "GA"))
     page_files.write_page_files(again, root, ["size"])
     body = variants.parse(F.col("body"))

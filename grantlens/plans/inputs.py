@@ -106,13 +106,21 @@ def _record_json(record: Column, is_odd: Column) -> Column:
     return F.concat(common, F.lit(',"agency_ic_admin":'), agency, F.lit("}"))
 
 
-def project_pages(spark: SparkSession, folder: str, page_size: int = PAGE_SIZE) -> DataFrame:
+def numbered_projects(spark: SparkSession, folder: str) -> DataFrame:
+    """The slim project rows, numbered within their year and state; they are staged and may be read often."""
+    return number_rows(_project_rows(spark, folder), ["o_orderkey"], ["page_year", "page_state"], "nth")
+
+
+def project_pages(
+    spark: SparkSession, folder: str, page_size: int = PAGE_SIZE, numbered: DataFrame | None = None
+) -> DataFrame:
     """Result pages ``(page_year, page_state, page_file, body)`` of at most ``page_size`` records.
 
     Rows are numbered and gathered by their slim columns; the records, many times as long, are made
-    where a page's rows have met.
+    where a page's rows have met. ``numbered`` are the :func:`numbered_projects` where pages of more
+    than one size are made of them.
     """
-    numbered = number_rows(_project_rows(spark, folder), ["o_orderkey"], ["page_year", "page_state"], "nth")
+    numbered = numbered_projects(spark, folder) if numbered is None else numbered
     batch = F.floor((F.col("nth") - 1) / F.lit(page_size)).cast("int")
     totals = numbered.groupBy("page_year", "page_state").agg(F.count(F.lit(1)).alias("total"))
     bodies = numbered.groupBy("page_year", "page_state", batch.alias("batch")).agg(

@@ -19,11 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from grantlens.sources.pages import last_pages
+from grantlens.operators.skew import null_safe_join
+from grantlens.session import stage_counted
+from grantlens.sources.pages import STORED_KEY, last_pages
 
 STAGED = "_temporary"
 #: Files named at a time by a commit, which waits for the file system rather than the processor.
 NAMED_AT_ONCE = 16
+#: Pages in a batch for Python, and the setting that says so.
+PAGES_AT_ONCE, BATCH_ROWS = 32, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @dataclass
@@ -102,17 +106,37 @@ class PageFiles(DataSource):
 
 
 def _write(rows: DataFrame, root: str) -> None:
+    """Pages are handed to Python a few at a time, as a batch of the usual 10,000 may be gigabytes."""
     spark: SparkSession = rows.sparkSession
     spark.dataSource.register(PageFiles)
-    rows.write.format("page_files").mode("append").save(root)
+    usual = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, PAGES_AT_ONCE)
+    try:
+        rows.write.format("page_files").mode("append").save(root)
+    finally:
+        spark.conf.set(BATCH_ROWS, usual)
+
+
+def one_a_key(pages: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """What :func:`last_pages` gives, with pages left where they are if no other has their key.
+
+    Keys that come more than once are found without the bodies, and only their pages are moved.
+    """
+    counts = pages.groupBy(*STORED_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    repeated, n_repeated = stage_counted(counts.filter("_n > 1").select(*STORED_KEY), "repeated-pages")
+    if not n_repeated:
+        return pages.select(*STORED_KEY, "body")
+    once, often = (null_safe_join(pages, repeated, STORED_KEY, how) for how in ("left_anti", "left_semi"))
+    return once.select(*STORED_KEY, "body").unionByName(last_pages(often, order_by))
 
 
 def write_page_files(pages: DataFrame, root: str, order_by: Sequence[str] = ()) -> None:
     """Each page in a file of its own below ``root``; one that is there already is replaced, others stay.
 
     Of pages with one key the last by ``order_by`` (then by body) is written. A NULL body is an empty file.
+    ``pages`` is read more than once: stage it where it is costly to make.
     """
-    _write(last_pages(pages, order_by), root)
+    _write(one_a_key(pages, order_by), root)
 
 
 def knows(path: str) -> bool:

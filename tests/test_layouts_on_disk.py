@@ -162,3 +162,30 @@ def test_pages_of_both_layouts_are_scanned(spark, tmp_path):
     (tmp_path / "plain/2020/N Y/5.json").write_text("")
     found = {tuple(row) for row in pages.scan_pages(spark, f"{tmp_path}/plain").select(*pages.PAGE_KEY).collect()}
     assert found == {("2020", "C[A]", "0.json"), ("2020", "N Y", "é %41.json")}
+
+
+def test_pages_with_keys_of_their_own_are_not_moved(spark, tmp_path):
+    rows = [("2020", "CA", k, f"b{k}") for k in range(50)]
+    frame = spark.createDataFrame(rows, PAGES).withColumn("nth", F.lit(1))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        alone = page_files.one_a_key(frame, ["nth"])
+        assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(row) for row in alone.collect()) == rows
+        more = spark.createDataFrame([("2020", "CA", 3, "a"), ("2020", None, 1, "x"), ("2020", None, 1, "y")], PAGES).withColumn("nth", F.lit(2))
+        found = {tuple(row) for row in page_files.one_a_key(frame.unionByName(more), ["nth"]).collect()}
+        assert found == {*rows, ("2020", "CA", 3, "a"), ("2020", None, 1, "y")} - {("2020", "CA", 3, "b3")}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_few_pages_at_a_time_go_to_python(spark, tmp_path, monkeypatch):
+    frame = spark.createDataFrame([("2020", "CA", 1, "b")], PAGES)
+    usual, seen = spark.conf.get(page_files.BATCH_ROWS), []
+    save = type(frame.write).save
+    monkeypatch.setattr(type(frame.write), "save", lambda self, path: (seen.append(spark.conf.get(page_files.BATCH_ROWS)), save(self, path)))
+    page_files.write_page_files(frame, f"file://{tmp_path}/cache")
+    with pytest.raises(Exception, match="no file can be named"):
+        page_files.write_page_files(frame.withColumn("org_state", F.lit("..")), f"file://{tmp_path}/cache")
+    assert seen == ["32", "32"] and spark.conf.get(page_files.BATCH_ROWS) == usual
+    assert files_below(tmp_path / "cache") == {"2020/CA/1.json": "b"}
