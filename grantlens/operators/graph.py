@@ -13,7 +13,8 @@ from grantlens.functions.templates import author_text, build_text, paper_text
 from grantlens.functions.text import author_id as hashed_author_id
 from grantlens.functions.text import joined_terms
 from grantlens.operators.numbering import number_rows
-from grantlens.session import stage
+from grantlens.operators.skew import hot_values, salted_join
+from grantlens.session import stage, stage_observed
 
 GRANT_PAPER = "grant-paper"
 AUTHOR_PAPER = "author-paper"
@@ -91,6 +92,19 @@ def author_nodes(papers: DataFrame) -> DataFrame:
     return counts.select(F.col("name").alias("id"), F.lit("author").alias("type"), "name", "n_papers")
 
 
+def author_node_papers(papers: DataFrame) -> DataFrame:
+    """The author nodes, each repeated for its papers: ``(id, type, name, n_papers, nth, pmid)``.
+
+    A join by name would bring all papers of a much used name into one task, and hold them there. The
+    papers of such names are spread, and the other side has one node per name. ``papers`` is read more
+    than once: stage it where it is costly to make.
+    """
+    nodes, seen = stage_observed(author_nodes(papers), "author-nodes", rows=F.sum("n_papers"))
+    hot = hot_values(nodes.withColumn("n", F.col("n_papers")), "name", seen["rows"] or 0)
+    joined = salted_join(author_papers(papers), nodes, "name", "inner", hot, F.struct("nth", "pmid"))
+    return joined.select("id", "type", "name", "n_papers", "nth", "pmid")
+
+
 def author_first_papers(papers: DataFrame) -> DataFrame:
     """``(name, pmid)``: the lowest pmid per author. Only names and pmids are shuffled."""
     return explode_authors(papers).groupBy("name").agg(F.min("pmid").alias("pmid"))

@@ -69,9 +69,8 @@ def paper_nodes(spark: SparkSession, folder: str) -> DataFrame:
 
 def author_nodes(spark: SparkSession, folder: str) -> DataFrame:
     """G6, A11"""
-    papers = _papers(spark, folder)
-    nodes = graph.author_nodes(papers)
-    return nodes.join(graph.author_papers(papers), "name").select("id", "type", "name", "n_papers", "nth", "pmid")
+    papers = stage(_papers(spark, folder).select("pmid", "authors"), "papers")  # parsed once for both
+    return graph.author_node_papers(papers)
 
 
 def node_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -73,6 +73,26 @@ def test_author_papers_are_rows(stores):
     assert rows == {("A", 1, 1), ("B", 1, 1), ("B", 2, 3), ("B", 3, 3)}
 
 
+def test_papers_of_a_much_used_name_meet_its_node_in_many_tasks(spark):
+    authors = F.array(*[F.struct(name.alias("name")) for name in (F.lit("all"), F.concat(F.lit("a"), F.col("id") % 40), F.lit(""))])
+    papers = spark.range(600).select(F.col("id").alias("pmid"), authors.alias("authors"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    usual = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = graph.author_node_papers(papers).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name, value in usual.items():
+            spark.conf.set(name, value)
+    tasks = [row["task"] for row in rows if row["name"] == "all"]
+    assert max(tasks.count(task) for task in tasks) < 300
+    expected = {("all", 600, pmid + 1, pmid) for pmid in range(600)} | {(f"a{pmid % 40}", 15, pmid // 40 + 1, pmid) for pmid in range(600)}
+    assert {tuple(row[name] for name in ("id", "n_papers", "nth", "pmid")) for row in rows} == expected and len(rows) == 1200
+    assert {row["type"] for row in rows} == {"author"} and all(row["id"] == row["name"] for row in rows)
+    assert graph.author_node_papers(papers.limit(0)).count() == 0
+
+
 def test_representative_papers(stores):
     _, papers, _ = stores
     assert {row["name"]: (row["pmid"], row["title"]) for row in graph.representative_papers(papers).collect()} == {
